@@ -764,3 +764,237 @@ def _q11b(t):
   ORDER BY total_complaints DESC, year ASC NULLS FIRST, make ASC NULLS FIRST, model ASC NULLS FIRST LIMIT 10""")
 def _q12(t):
     return Q.problem_vehicles(t.comp, 8, 100, 10)
+
+
+@q("J2", "SELECT * FROM vca_variants")
+def _j2(t):
+    """The reference's self-join for the group size, written as A2."""
+    return attach_group_count(I.vehicle_complaints_joined(t.vehicles, t.complaints),
+                              ["year", "make", "model"], "vehicle_variants", null_keys_match=False)
+
+
+# =====================================================================  D1..D9
+def _contract_sql():
+    parts = []
+    for key, name in [("vca", "vehicle_complaints_analysis"), ("infra", "fuel_infrastructure_analysis"),
+                      ("comp", "comprehensive_vehicle_analysis")]:
+        _req, mn = K.CONTRACT[name]
+        parts.append(f"SELECT '{name}' AS \"table\", count(*) AS rows, '' AS missing_columns, "
+                     f"CAST({mn} AS BIGINT) AS min_rows, count(*) >= {mn} AS passed FROM {key}")
+    return "\nUNION ALL ".join(parts)
+
+
+@q("D1", _contract_sql())
+def _d1(t):
+    return D.contract({"vehicle_complaints_analysis": t.vca,
+                       "fuel_infrastructure_analysis": t.infra,
+                       "comprehensive_vehicle_analysis": t.comp})
+
+
+def _rules_sql(dataset, wide_sql, rules, scored=None):
+    scored = rules if scored is None else scored
+    parts = [f"SELECT '{dataset}' AS dataset, '{r}' AS rule, CAST({r} AS BIGINT) AS violations, "
+             f"CAST({r} AS BIGINT) = 0 AS passed, {'true' if r in scored else 'false'} AS scored FROM w"
+             for r in rules]
+    return f"SELECT * FROM (WITH w AS ({wide_sql})\n" + "\nUNION ALL ".join(parts) + ")"
+
+
+_D2_RULES = ["year_in_range", "positive_mpg", "year_not_null", "make_not_null", "model_not_null"]
+_D2_WIDE = """SELECT count_if(year < 2010 OR year > 2025) AS year_in_range,
+  count_if(comb08 <= 0) AS positive_mpg, count_if(year IS NULL) AS year_not_null,
+  count_if(make IS NULL) AS make_not_null, count_if(model IS NULL) AS model_not_null FROM vca"""
+
+
+@q("D2", _rules_sql("vehicle_complaints_analysis", _D2_WIDE, _D2_RULES))
+def _d2(t):
+    return D.vehicle_rules(t.vca)
+
+
+def _nullcells(cols):
+    return " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in cols)
+
+
+def _dups(src, keys):
+    return (f"(SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM {src} "
+            f"GROUP BY {', '.join(keys)}) WHERE n > 1)")
+
+
+_D3_ORDER = ["no_pre_min_year", "no_missing_critical", "no_zero_mpg", "no_high_mpg_non_electric",
+             "no_future_year", "no_duplicate_id_rank", "mpg_consistency"]
+_D3_WIDE = f"""SELECT count_if(year < 2010) AS no_pre_min_year,
+  coalesce(sum({_nullcells(['year', 'make', 'model', 'comb08'])}), 0) AS no_missing_critical,
+  count_if(comb08 = 0) AS no_zero_mpg,
+  count_if(comb08 > 200 AND NOT coalesce(contains(lower(fuel_used), 'electric'), false)) AS no_high_mpg_non_electric,
+  count_if(year > {Y}) AS no_future_year,
+  {_dups('clean_vehicles', ['id', 'fuel_rank'])} AS no_duplicate_id_rank,
+  count_if(comb08 < least(city08, highway08) OR comb08 > greatest(city08, highway08)) AS mpg_consistency
+  FROM clean_vehicles"""
+
+
+@q("D3", _rules_sql("vehicles", _D3_WIDE, _D3_ORDER, _D3_ORDER[:-1]))
+def _d3(t):
+    return D.vehicle_checks(t.vehicles, AS_OF)
+
+
+@q("D4", """SELECT id, fuel_rank, year, make, model, city08, highway08, comb08 FROM clean_vehicles
+  WHERE coalesce(comb08 < least(city08, highway08) OR comb08 > greatest(city08, highway08), false)
+  ORDER BY id ASC NULLS FIRST, fuel_rank ASC NULLS FIRST LIMIT 5""")
+def _d4(t):
+    return D.sample_inconsistent(t.vehicles, 5)
+
+
+_D5_RULES = ["no_missing_critical", "no_duplicate_odino", "no_future_date", "no_future_year"]
+_D5_WIDE = f"""SELECT coalesce(sum({_nullcells(K.COMPLAINT_REQUIRED)}), 0) AS no_missing_critical,
+  {_dups('clean_complaints', ['ODINO'])} AS no_duplicate_odino,
+  count_if(DATEA > {DATE}) AS no_future_date, count_if(YEARTXT > {Y}) AS no_future_year
+  FROM clean_complaints"""
+
+
+@q("D5", _rules_sql("complaints", _D5_WIDE, _D5_RULES))
+def _d5(t):
+    return D.complaint_checks(t.complaints, AS_OF)
+
+
+_D6_RULES = ["no_missing_critical", "coordinates_in_bounds", "allowed_fuel_codes", "no_duplicate_id"]
+_D6_WIDE = f"""SELECT coalesce(sum({_nullcells(K.STATION_REQUIRED)}), 0) AS no_missing_critical,
+  count_if(latitude < 18 OR latitude > 72) + count_if(longitude < -180 OR longitude > -65)
+    + count_if(latitude = 0 AND longitude = 0) AS coordinates_in_bounds,
+  count_if(NOT coalesce(fuel_type_code IN ({_lst(K.ALT_FUEL_CODES)}), false)) AS allowed_fuel_codes,
+  {_dups('clean_stations', ['id'])} AS no_duplicate_id FROM clean_stations"""
+
+
+@q("D6", _rules_sql("stations", _D6_WIDE, _D6_RULES))
+def _d6(t):
+    return D.station_checks(t.stations)
+
+
+@q("D7", f"""SELECT dataset, count_if(passed) AS tests_passed, count(*) AS tests_total FROM (
+  {_rules_sql("vehicles", _D3_WIDE, _D3_ORDER, _D3_ORDER[:-1])}
+  UNION ALL {_rules_sql("complaints", _D5_WIDE, _D5_RULES)}
+  UNION ALL {_rules_sql("stations", _D6_WIDE, _D6_RULES)}) WHERE scored GROUP BY dataset""")
+def _d7(t):
+    return D.scorecard(D.vehicle_checks(t.vehicles, AS_OF), D.complaint_checks(t.complaints, AS_OF),
+                       D.station_checks(t.stations))
+
+
+@q("D9", """SELECT 'vehicles' AS source, count(*) AS rows, 16 AS columns FROM raw_vehicles
+  UNION ALL SELECT 'complaints', count(*), 18 FROM raw_complaints
+  UNION ALL SELECT 'stations', count(*), 8 FROM raw_stations""")
+def _d9(t):
+    return D.source_profile({"vehicles": t.raw_vehicles, "complaints": t.raw_complaints,
+                             "stations": t.raw_stations})
+
+
+# =====================================================================  X1..X12
+@q("X1", """SELECT c.ODINO, c.MILEAGE, coalesce(c.MILEAGE < q.q1 - 1.5 * (q.q3 - q.q1)
+    OR c.MILEAGE > q.q3 + 1.5 * (q.q3 - q.q1), false) AS is_outlier
+  FROM clean_complaints c CROSS JOIN (SELECT quantile_cont(MILEAGE, 0.25) AS q1,
+    quantile_cont(MILEAGE, 0.75) AS q3 FROM clean_complaints) q""")
+def _x1(t):
+    return X.iqr_outliers(t.complaints.select("ODINO", "MILEAGE"), "MILEAGE")
+
+
+@q("X2", f"""SELECT v.year, v.make_norm, v.model_norm, v.avg_mpg,
+    CAST(coalesce(c.complaint_count, 0) AS BIGINT) AS complaint_count, c.top_issue
+  FROM (SELECT year, {norm('make')} AS make_norm, {norm('model')} AS model_norm, avg(comb08) AS avg_mpg
+        FROM clean_vehicles GROUP BY 1, 2, 3) v
+  LEFT JOIN (SELECT year, make_norm, model_norm, sum(n) OVER (PARTITION BY year, make_norm, model_norm)
+               AS complaint_count, COMPDESC AS top_issue,
+               row_number() OVER (PARTITION BY year, make_norm, model_norm ORDER BY n DESC, COMPDESC) AS rn
+             FROM (SELECT YEARTXT AS year, make_norm, model_norm, COMPDESC, count(*) AS n FROM cc_norm
+                   WHERE YEARTXT IS NOT NULL AND make_norm IS NOT NULL AND model_norm IS NOT NULL
+                   GROUP BY 1, 2, 3, 4)) c
+    ON v.year = c.year AND v.make_norm = c.make_norm AND v.model_norm = c.model_norm AND c.rn = 1""")
+def _x2(t):
+    return X.vehicle_summary(t.vehicles, t.complaints)
+
+
+@q("X3", f"""SELECT CMPLID, regexp_replace({norm('MAKETXT')}, '[\\s-]+', '', 'g') AS make_key,
+  regexp_replace({norm('MODELTXT')}, '[\\s-]+', '', 'g') AS model_key FROM raw_complaints""")
+def _x3(t):
+    return t.raw_complaints.select("CMPLID", X.aggressive_key("MAKETXT").alias("make_key"),
+                                   X.aggressive_key("MODELTXT").alias("model_key"))
+
+
+@q("X4", """SELECT *, CASE WHEN avg_mpg = 0 THEN NULL ELSE complaints / avg_mpg END AS complaints_per_mpg
+  FROM (SELECT make, model, avg(comb08) AS avg_mpg,
+        CAST(coalesce(sum(total_complaints), 0) AS BIGINT) AS complaints
+        FROM vca WHERE make IS NOT NULL AND model IS NOT NULL GROUP BY 1, 2)""")
+def _x4(t):
+    return X.mpg_complaint_ratio(t.vca)
+
+
+@q("X5", """SELECT VClass, CAST(coalesce(sum(crash_incidents), 0) AS BIGINT) AS crash_incidents,
+  CAST(coalesce(sum(fire_incidents), 0) AS BIGINT) AS fire_incidents, count(*) AS rows
+  FROM vca WHERE VClass IS NOT NULL GROUP BY 1""")
+def _x5(t):
+    return X.class_incidents(t.vca)
+
+
+@q("X6", """SELECT make_norm, model_norm, count(MILEAGE) AS with_mileage, avg(MILEAGE) AS avg_mileage,
+  quantile_cont(MILEAGE, 0.5) AS median_mileage FROM cc_norm
+  WHERE make_norm IS NOT NULL AND model_norm IS NOT NULL GROUP BY 1, 2""")
+def _x6(t):
+    return X.complaint_mileage(t.complaints)
+
+
+@q("X7", """SELECT *, rank() OVER (PARTITION BY fuel_type_code ORDER BY total_stations DESC) AS state_rank
+  FROM stations_by_state""")
+def _x7(t):
+    return X.state_ranking(t.stations)
+
+
+@q("X8", """SELECT fuel_type_code, year, vehicle_count,
+  lag(vehicle_count) OVER (PARTITION BY fuel_type_code ORDER BY year) AS prev_vehicle_count,
+  vehicle_count - lag(vehicle_count) OVER (PARTITION BY fuel_type_code ORDER BY year) AS change
+  FROM infra""")
+def _x8(t):
+    return X.fuel_trend(t.infra)
+
+
+@q("X8_rank", """SELECT fuel_type_code, avg_combined_mpg,
+  dense_rank() OVER (ORDER BY avg_combined_mpg DESC) AS mpg_rank FROM (
+  SELECT fuel_type_code, round_even(sum(CAST(round_even(avg_combined_mpg * 10, 0) AS BIGINT))
+    / count(avg_combined_mpg), 0) / 10 AS avg_combined_mpg
+  FROM infra WHERE fuel_type_code IS NOT NULL GROUP BY 1)""")
+def _x8b(t):
+    return X.fuel_economy_ranking(t.infra)
+
+
+@q("X9", """SELECT round_even(corr(stations_nationwide, total_complaints) * 1000000000, 0) / 1000000000
+  AS corr_stations_complaints, count(*) AS rows FROM comp""")
+def _x9(t):
+    return X.infra_complaint_correlation(t.comp)
+
+
+_CS_DESC = f"""(SELECT fuel_type_code, station_name, state, latitude, longitude, status_code, access_code, id
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY access_code DESC NULLS LAST) AS _rn
+        FROM raw_stations
+        WHERE latitude IS NOT NULL AND longitude IS NOT NULL AND fuel_type_code IS NOT NULL
+          AND status_code IS NOT NULL AND latitude BETWEEN 18 AND 72
+          AND longitude BETWEEN -180 AND -65 AND (latitude <> 0 OR longitude <> 0))
+  WHERE _rn = 1 AND fuel_type_code IN ({_lst(K.ALT_FUEL_CODES)}))"""
+
+
+def _stations_rerun(t):
+    """The station snapshot re-run with the opposite keep-first order."""
+    return P.clean_stations(t.raw_stations, [F.col("access_code").desc_nulls_last()])
+
+
+@q("X11_changes", f"""SELECT coalesce(b.id, a.id) AS id,
+  CASE WHEN b.id IS NULL THEN 'insert' WHEN a.id IS NULL THEN 'delete' ELSE 'update' END AS change
+  FROM clean_stations b FULL OUTER JOIN {_CS_DESC} a ON b.id = a.id
+  WHERE b.id IS NULL OR a.id IS NULL OR b.fuel_type_code IS DISTINCT FROM a.fuel_type_code
+    OR b.station_name IS DISTINCT FROM a.station_name OR b.state IS DISTINCT FROM a.state
+    OR b.latitude IS DISTINCT FROM a.latitude OR b.longitude IS DISTINCT FROM a.longitude
+    OR b.status_code IS DISTINCT FROM a.status_code OR b.access_code IS DISTINCT FROM a.access_code""")
+def _x11(t):
+    return X.changed_rows(t.stations, _stations_rerun(t), ["id"])
+
+
+@q("X11_upsert", f"""SELECT * EXCLUDE (_src, _rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY _src) AS _rn FROM (
+    SELECT *, 1 AS _src FROM clean_stations UNION ALL SELECT *, 0 AS _src FROM {_CS_DESC}))
+  WHERE _rn = 1""")
+def _x11b(t):
+    return X.upsert(t.stations, _stations_rerun(t), ["id"])

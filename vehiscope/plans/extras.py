@@ -1 +1,185 @@
-"""Capabilities the reference documents but does not code."""
+"""Capabilities the reference documents but does not code.
+
+All are compositions of built-in operators. Windows appear only over
+aggregates whose size is bounded by a small vocabulary (fuel codes x states,
+fuel codes x years), never over raw rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions.scalar import norm_key, round_even
+from ..operators.aggregates import stations_by_state, sum0
+from ..operators.dedupe import dedupe_first
+
+
+# X1 ----------------------------------------------------------------------
+def iqr_outliers(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
+    """Flag values outside [Q1 - k*IQR, Q3 + k*IQR] (exact, linearly
+    interpolated quartiles). The quartiles are one uncorrelated scalar
+    subquery, evaluated once; rows are flagged without a join."""
+    qs = df.agg(F.percentile(col, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).scalar()
+    q1, q3 = qs[0], qs[1]
+    iqr = q3 - q1
+    lo, hi = q1 - F.lit(k) * iqr, q3 + F.lit(k) * iqr
+    out = F.coalesce((F.col(col) < lo) | (F.col(col) > hi), F.lit(False))
+    return df.withColumn("is_outlier", out)
+
+
+# X2 ----------------------------------------------------------------------
+def vehicle_summary(vehicles: DataFrame, complaints: DataFrame) -> DataFrame:
+    """Per (year, make, model): mean MPG, complaint count, most common
+    component (ties: alphabetically first). Both sides are aggregated before
+    the join; the mode is a ``min_by`` over per-component counts (partial
+    aggregation, no window over complaints)."""
+    v = (vehicles.withColumns({"make_norm": norm_key("make"), "model_norm": norm_key("model")})
+         .groupBy("year", "make_norm", "model_norm")
+         .agg(F.avg("comb08").alias("avg_mpg")))
+    c = (complaints.withColumns({"make_norm": norm_key("MAKETXT"),
+                                 "model_norm": norm_key("MODELTXT")})
+         .na.drop(subset=["YEARTXT", "make_norm", "model_norm"])
+         .groupBy(F.col("YEARTXT").alias("year"), "make_norm", "model_norm", "COMPDESC")
+         .agg(F.count(F.lit(1)).alias("n")))
+    top = c.groupBy("year", "make_norm", "model_norm").agg(
+        F.sum("n").alias("complaint_count"),
+        F.min_by("COMPDESC", F.struct(-F.col("n"), F.col("COMPDESC"))).alias("top_issue"))
+    return (v.join(top, ["year", "make_norm", "model_norm"], "left")
+            .na.fill(0, subset=["complaint_count"]))
+
+
+# X3 ----------------------------------------------------------------------
+def aggressive_key(col, abbreviations: Mapping[str, str] | None = None) -> Column:
+    """F1 plus removal of hyphens and all whitespace, then optional
+    whole-key abbreviation expansion (a lookup map; none by default)."""
+    k = F.regexp_replace(norm_key(col), r"(?U)[\s-]+", "")
+    if abbreviations:
+        from ..functions.scalar import map_code
+        k = F.coalesce(map_code(k, {a.upper(): b.upper() for a, b in abbreviations.items()}), k)
+    return k
+
+
+# X4 / X5 / X6 ---------------------------------------------------------------
+def mpg_complaint_ratio(vca: DataFrame) -> DataFrame:
+    """Per (make, model): mean MPG, complaints, complaints per MPG point."""
+    g = (vca.na.drop(subset=["make", "model"]).groupBy("make", "model")
+         .agg(F.avg("comb08").alias("avg_mpg"),
+              sum0("total_complaints").cast("bigint").alias("complaints")))
+    return g.withColumn("complaints_per_mpg", F.try_divide(F.col("complaints"), F.col("avg_mpg")))
+
+
+def class_incidents(vca: DataFrame) -> DataFrame:
+    """Crash and fire incidents per vehicle class."""
+    return (vca.na.drop(subset=["VClass"]).groupBy("VClass")
+            .agg(sum0("crash_incidents").cast("bigint").alias("crash_incidents"),
+                 sum0("fire_incidents").cast("bigint").alias("fire_incidents"),
+                 F.count(F.lit(1)).alias("rows")))
+
+
+def complaint_mileage(complaints: DataFrame) -> DataFrame:
+    """Complaint mileage by normalised make and model: mean and exact
+    median (per-group value counts; partial-aggregated)."""
+    c = complaints.withColumns({"make_norm": norm_key("MAKETXT"),
+                                "model_norm": norm_key("MODELTXT")})
+    return (c.na.drop(subset=["make_norm", "model_norm"]).groupBy("make_norm", "model_norm")
+            .agg(F.count("MILEAGE").alias("with_mileage"),
+                 F.avg("MILEAGE").alias("avg_mileage"),
+                 F.median("MILEAGE").alias("median_mileage")))
+
+
+# X7 / X8 -------------------------------------------------------------------
+def state_ranking(stations: DataFrame) -> DataFrame:
+    """States ranked by station count within each fuel (ties share a rank)."""
+    s = stations_by_state(stations)
+    w = Window.partitionBy("fuel_type_code").orderBy(F.col("total_stations").desc())
+    return s.withColumn("state_rank", F.rank().over(w))
+
+
+def fuel_trend(infra: DataFrame) -> DataFrame:
+    """Per fuel, vehicle count by year with the previous year's count and
+    the change."""
+    w = Window.partitionBy("fuel_type_code").orderBy("year")
+    prev = F.lag("vehicle_count").over(w)
+    return infra.select("fuel_type_code", "year", "vehicle_count",
+                        prev.alias("prev_vehicle_count"),
+                        (F.col("vehicle_count") - prev).alias("change"))
+
+
+def fuel_economy_ranking(infra: DataFrame) -> DataFrame:
+    """Fuels ranked by their mean yearly combined MPG (exact mean of the
+    tenths, then dense rank). The ranked input has one row per fuel code."""
+    tenths = F.rint(F.col("avg_combined_mpg") * 10).cast("bigint")
+    g = (infra.na.drop(subset=["fuel_type_code"]).groupBy("fuel_type_code")
+         .agg(F.sum(tenths).alias("_t"), F.count(tenths).alias("_n")))
+    g = g.select("fuel_type_code",
+                 (F.rint(F.try_divide(F.col("_t"), F.col("_n"))) / 10).alias("avg_combined_mpg"))
+    # bounded: at most one row per fuel code of the lookup
+    w = Window.orderBy(F.col("avg_combined_mpg").desc())
+    return g.withColumn("mpg_rank", F.dense_rank().over(w))
+
+
+# X9 ----------------------------------------------------------------------
+def infra_complaint_correlation(comp: DataFrame, places: int = 9) -> DataFrame:
+    """Pearson correlation of nationwide stations and complaints."""
+    return comp.agg(round_even(F.corr("stations_nationwide", "total_complaints"), places)
+                    .alias("corr_stations_complaints"),
+                    F.count(F.lit(1)).alias("rows"))
+
+
+# X10 ---------------------------------------------------------------------
+def categorize(col, rules: Sequence[tuple[str, str]], default: str = "OTHER") -> Column:
+    """First matching (regex, category) rule, case-insensitive."""
+    expr = None
+    for pattern, category in rules:
+        cond = F.coalesce(F.col(col).rlike(f"(?i){pattern}"), F.lit(False))
+        expr = F.when(cond, F.lit(category)) if expr is None else expr.when(cond, F.lit(category))
+    return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
+
+
+# X11 ---------------------------------------------------------------------
+def _row_hash(df: DataFrame, cols: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c) for c in cols])
+
+
+def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """X11: rows of ``updates`` replace rows of ``base`` with the same key;
+    other base rows stay (latest wins, via keep-first on a source rank)."""
+    u = (base.withColumn("_src", F.lit(1))
+         .unionByName(updates.withColumn("_src", F.lit(0)), allowMissingColumns=True))
+    return dedupe_first(u, list(keys), ["_src"]).drop("_src")
+
+
+def changed_rows(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """X11: (key, change) for inserted, deleted and updated rows, found by a
+    full outer join on the key comparing a hash of the remaining columns."""
+    vals = [c for c in after.columns if c not in keys]
+    b = before.select(*keys, _row_hash(before, vals).alias("_hb"))
+    a = after.select(*keys, _row_hash(after, vals).alias("_ha"))
+    j = b.join(a, list(keys), "full_outer")
+    change = (F.when(F.col("_hb").isNull(), F.lit("insert"))
+              .when(F.col("_ha").isNull(), F.lit("delete"))
+              .when(F.col("_hb") != F.col("_ha"), F.lit("update")))
+    return j.select(*keys, change.alias("change")).filter(F.col("change").isNotNull())
+
+
+# X12 ---------------------------------------------------------------------
+def write_snapshot(df: DataFrame, root: str, version: int) -> str:
+    """Write a dated/numbered snapshot ``root/version=N`` (never mutated)."""
+    path = f"{root.rstrip('/')}/version={int(version)}"
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
+def read_snapshot(spark, root: str, version: int) -> DataFrame:
+    """Read a previous version."""
+    return spark.read.parquet(f"{root.rstrip('/')}/version={int(version)}")
+
+
+def restore_snapshot(spark, root: str, version: int, target: str) -> DataFrame:
+    """restore = overwrite ``target`` from a snapshot."""
+    df = read_snapshot(spark, root, version)
+    df.write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
