@@ -39,20 +39,24 @@ def cap_unless_pred(col: str, cap_value, text_col: str, needle: str) -> Column:
     return F.coalesce(F.col(col) <= F.lit(cap_value), F.lit(False)) | icontains(text_col, needle)
 
 
+def _keep_null(p: Column, keep_null: bool) -> Column:
+    """``col IS NULL OR p`` written as ``coalesce(p, true)``: the same truth
+    table, but the (possibly derived) column appears once, so the expression
+    is not evaluated twice after Catalyst inlines it into the filter."""
+    return F.coalesce(p, F.lit(True)) if keep_null else p
+
+
 def not_after_year_pred(col: str, as_of, keep_null: bool) -> Column:
     y = _as_date(as_of).year
-    p = F.col(col) <= F.lit(y)
-    return (F.col(col).isNull() | p) if keep_null else p
+    return _keep_null(F.col(col) <= F.lit(y), keep_null)
 
 
 def not_after_pred(col: str, as_of, keep_null: bool = True) -> Column:
-    p = F.col(col) <= F.lit(_as_date(as_of))
-    return (F.col(col).isNull() | p) if keep_null else p
+    return _keep_null(F.col(col) <= F.lit(_as_date(as_of)), keep_null)
 
 
 def cap_pred(col: str, hi, keep_null: bool = True) -> Column:
-    p = F.col(col) <= F.lit(hi)
-    return (F.col(col).isNull() | p) if keep_null else p
+    return _keep_null(F.col(col) <= F.lit(hi), keep_null)
 
 
 def bbox_pred(lat: str, lon: str, box=K.STATION_BBOX) -> Column:
