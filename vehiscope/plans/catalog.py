@@ -998,3 +998,108 @@ def _x11(t):
   WHERE _rn = 1""")
 def _x11b(t):
     return X.upsert(t.stations, _stations_rerun(t), ["id"])
+
+
+# =====================================================================  S1..S9, L4
+# Sources and sinks round-trip data derived from the given tables through the
+# real file formats, in a folder below the session's shared checkpoint folder.
+def _io_root(t, key):
+    from ..session import shared_path
+    return shared_path(t.spark, "catalog", key)
+
+
+@q("S1", "SELECT * FROM raw_vehicles")
+def _s1(t):
+    from ..sources import readers as RD, sinks as SK
+    p = SK.write_layer(t.raw_vehicles, f"{_io_root(t, 'S1')}/vehicles_csv", "csv")
+    return RD.read_vehicles(t.spark, p)
+
+
+def _complaints_tsv(t, path):
+    """The bound complaints as a 49-column headerless TSV (positions of the
+    source contract; the other positions carry filler text)."""
+    at = dict(zip(K.COMPLAINT_POSITIONS, K.COMPLAINT_NAMES))
+    cols = [F.col(at[i]).cast("string").alias(f"c{i}") if i in at else F.lit(f"f{i}").alias(f"c{i}")
+            for i in range(K.COMPLAINT_RAW_WIDTH)]
+    (t.raw_complaints.select(*cols).write.mode("overwrite")
+     .option("sep", "\t").option("header", False).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+    return path
+
+
+@q("S2", """SELECT ODINO, CMPLID, MFGTXT, MAKETXT, MODELTXT, YEARTXT, CRASH, DATEA, FIRE, INJURED,
+  DEATHS, COMPDESC, VIN, CAST(MILEAGE AS DOUBLE) AS MILEAGE FROM raw_complaints""")
+def _s2(t):
+    from ..sources import readers as RD
+    return RD.read_complaints(t.spark, _complaints_tsv(t, f"{_io_root(t, 'S2')}/complaints_tsv"))
+
+
+@q("S3", "SELECT * FROM raw_stations")
+def _s3(t):
+    from ..sources import readers as RD, sinks as SK
+    p = SK.write_layer(t.raw_stations, f"{_io_root(t, 'S3')}/stations_csv", "csv")
+    return RD.read_stations(t.spark, p)
+
+
+@q("S4", """SELECT id, fuel_type_code, station_name, state, latitude, longitude, status_code,
+  access_code FROM raw_stations""")
+def _s4(t):
+    from ..sources import readers as RD
+    path = f"{_io_root(t, 'S4')}/stations_json"
+    doc = F.struct(F.array(F.struct(*[F.col(c) for c in t.raw_stations.columns]))
+                   .alias("fuel_stations"))
+    t.raw_stations.select(F.to_json(doc).alias("value")).write.mode("overwrite").text(path)
+    rows = RD.read_station_json(t.spark, path, multi_line=False)
+    return rows.select("id", "fuel_type_code", "station_name", "state", "latitude", "longitude",
+                       "status_code", "access_code")
+
+
+@q("S6", """SELECT 'vehicles' AS name, count(*) AS rows FROM clean_vehicles
+  UNION ALL SELECT 'complaints', count(*) FROM clean_complaints
+  UNION ALL SELECT 'stations', count(*) FROM clean_stations""")
+def _s6(t):
+    from ..sources import sinks as SK
+    paths = SK.write_layers({"vehicles": t.vehicles, "complaints": t.complaints,
+                             "stations": t.stations}, f"{_io_root(t, 'S6')}/processed")
+    return SK.layer_counts(t.spark, paths)
+
+
+@q("S7", """SELECT 'vehicle_complaints_analysis' AS name, count(*) AS rows FROM vca
+  UNION ALL SELECT 'fuel_infrastructure_analysis', count(*) FROM infra
+  UNION ALL SELECT 'comprehensive_vehicle_analysis', count(*) FROM comp""")
+def _s7(t):
+    from ..sources import sinks as SK
+    paths = SK.write_layers({"vehicle_complaints_analysis": t.vca,
+                             "fuel_infrastructure_analysis": t.infra,
+                             "comprehensive_vehicle_analysis": t.comp},
+                            f"{_io_root(t, 'S7')}/integrated")
+    return SK.layer_counts(t.spark, paths)
+
+
+@q("S8", "SELECT * FROM infra")
+def _s8(t):
+    from ..sources import readers as RD, sinks as SK
+    return RD.read_layer(t.spark, SK.write_layer(t.infra, f"{_io_root(t, 'S8')}/infra"))
+
+
+@q("S9", None)
+def _s9(t):
+    from ..sources import sinks as SK
+    return SK.compare_formats(t.vca, f"{_io_root(t, 'S9')}/formats")
+
+
+@q("L4", """SELECT 'vehiscope_vehicle_complaints_analysis' AS dataset, true AS ok, count(*) AS rows,
+  'PARTIAL FAILURE' AS status FROM vca
+  UNION ALL SELECT 'vehiscope_fuel_infrastructure_analysis', true, count(*), 'PARTIAL FAILURE' FROM infra
+  UNION ALL SELECT 'vehiscope_missing_dataset', false, NULL, 'PARTIAL FAILURE'""")
+def _l4(t):
+    """L1-L4: publish the integrated tables (full refresh + statistics); the
+    third input does not exist, so the load is a partial failure."""
+    from ..sources import sinks as SK
+    root = _io_root(t, "L4")
+    paths = SK.write_layers({"vca": t.vca, "infra": t.infra}, f"{root}/integrated")
+    return SK.load_all(t.spark, {"vehiscope_vehicle_complaints_analysis": paths["vca"],
+                                 "vehiscope_fuel_infrastructure_analysis": paths["infra"],
+                                 "vehiscope_missing_dataset": f"{root}/integrated/absent"},
+                       location=f"{root}/tables")
