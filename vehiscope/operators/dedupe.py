@@ -38,14 +38,6 @@ def distinct(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def attach_group_count(df: DataFrame, keys: Sequence[str], name: str,
                        null_keys_match: bool = True) -> DataFrame:
     """Attach the row count of each key group to every row.

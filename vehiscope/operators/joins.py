@@ -2,9 +2,10 @@
 
 Join strategy is left to Catalyst + AQE (runtime size check: broadcast when
 the built side is small, sort-merge otherwise, skewed partitions split).
-An explicit broadcast is used only for the station-by-fuel side, whose size is
-bounded by construction: it is grouped by fuel code after the membership
-filter C12, so it has at most ``len(ALT_FUEL_CODES)`` rows.
+An explicit broadcast is opt-in (``broadcast_right``) and used by the jobs
+only for the station-by-fuel sides, whose size is bounded by construction:
+they are grouped by fuel code after the membership filter C12, so they have
+at most ``len(ALT_FUEL_CODES)`` rows whatever the data volume.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def join_complaints(vehicles: DataFrame, rollup: DataFrame,
 
 
 def join_stations(vehicle_counts: DataFrame, by_fuel: DataFrame,
-                  broadcast_right: bool = True) -> DataFrame:
+                  broadcast_right: bool = False) -> DataFrame:
     """LEFT join (year, fuel) vehicle counts to station counts per fuel, fill 0."""
     right = F.broadcast(by_fuel) if broadcast_right else by_fuel
     j = vehicle_counts.join(right, on="fuel_type_code", how="left")
@@ -35,7 +36,7 @@ def join_stations(vehicle_counts: DataFrame, by_fuel: DataFrame,
 
 
 def join_nationwide(df: DataFrame, nationwide: DataFrame,
-                    broadcast_right: bool = True) -> DataFrame:
+                    broadcast_right: bool = False) -> DataFrame:
     """LEFT join rows to nationwide station counts by fuel code; a null
     code never matches (trap T12) and gets 0."""
     right = F.broadcast(nationwide) if broadcast_right else nationwide

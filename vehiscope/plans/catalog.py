@@ -572,13 +572,13 @@ def _j1(t):
 @q("J3", "SELECT * FROM infra_joined")
 def _j3(t):
     vc = A.fuel_year_rollup(t.vehicles.withColumn("fuel_type_code", S.map_code("fuel_used")))
-    return J.join_stations(vc, A.stations_by_fuel(t.stations))
+    return J.join_stations(vc, A.stations_by_fuel(t.stations), broadcast_right=True)
 
 
 @q("J4", "SELECT * FROM comp")
 def _j4(t):
     b = t.vca.withColumn("fuel_type_code", S.map_code("fuel_used"))
-    return J.join_nationwide(b, A.stations_nationwide(t.stations))
+    return J.join_nationwide(b, A.stations_nationwide(t.stations), broadcast_right=True)
 
 
 # =====================================================================  R1..R4

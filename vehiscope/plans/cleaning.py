@@ -19,6 +19,15 @@ from ..operators.dedupe import dedupe_first
 from ..operators.expand import explode_ranked
 
 
+def _all(preds) -> Column:
+    """AND of the step predicates as ONE filter (Catalyst would merge
+    adjacent filters anyway; one call keeps driver-side planning short)."""
+    out = None
+    for p in preds:
+        out = p if out is None else out & p
+    return out
+
+
 # ------------------------------------------------------------------ P1
 def vehicle_filter_steps(as_of=K.DEFAULT_AS_OF, min_year: int = K.VEHICLE_MIN_YEAR,
                          mpg_cap=K.VEHICLE_MPG_CAP) -> list[tuple[str, Column]]:
@@ -39,9 +48,7 @@ def clean_vehicles_unexploded(raw: DataFrame, as_of=K.DEFAULT_AS_OF,
                               min_year: int = K.VEHICLE_MIN_YEAR,
                               mpg_cap=K.VEHICLE_MPG_CAP) -> DataFrame:
     """P1 up to (not including) the dual-fuel explosion: C1-C6, K1, C13, C14."""
-    df = raw
-    for _name, pred in vehicle_filter_steps(as_of, min_year, mpg_cap):
-        df = df.filter(pred)
+    df = raw.filter(_all(p for _n, p in vehicle_filter_steps(as_of, min_year, mpg_cap)))
     # K1 runs BEFORE the projection and keys on the raw combined fuelType
     df = dedupe_first(df, K.VEHICLE_DEDUPE_KEYS, list(order_by))
     df = C.select_existing(df, K.VEHICLE_KEEP_COLUMNS)
@@ -108,9 +115,7 @@ def clean_stations(raw: DataFrame, order_by: Sequence = ("id",), box=K.STATION_B
     fuel disappears even if a later row has an allowed one. Catalyst does not
     push the C12 filter below the keep-first window (not a partition key).
     """
-    df = raw
-    for _name, pred in station_filter_steps(box):
-        df = df.filter(pred)
+    df = raw.filter(_all(p for _n, p in station_filter_steps(box)))
     df = dedupe_first(df, ["id"], list(order_by))
     df = C.keep_in(df, "fuel_type_code", fuel_codes)
     return C.select_existing(df, K.STATION_KEEP_COLUMNS)

@@ -36,6 +36,32 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(total_input_bytes: int, executors: int, cores_per_executor: int = 4,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized to the data for a large cluster (apply at session build).
+
+    Shuffle partitions are sized so that a shuffle of the whole input gives
+    ``target_partition_bytes`` per partition (at least 3 waves of tasks); AQE
+    then coalesces small partitions and splits skewed ones at runtime, and
+    broadcasts a join side only when its measured size is under the
+    threshold (a runtime size check with sort-merge join as the fallback).
+    """
+    slots = executors * cores_per_executor
+    parts = max(3 * slots, total_input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(int(parts)),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when none is set."""
     sc = spark.sparkContext

@@ -10,40 +10,90 @@ a row are produced by a generator (``inline``), not by self-unions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _case(key: Column, pairs: list[tuple[int, str | None]]) -> Column:
-    """CASE key WHEN v THEN s ... END (no ELSE: null)."""
-    expr = None
-    for v, s in pairs:
-        lit = F.lit(s) if s is not None else F.lit(None).cast("string")
-        expr = F.when(key == v, lit) if expr is None else expr.when(key == v, lit)
-    return expr
+def _copies(key: str, extra: list[tuple[int, int, str | None]]) -> str:
+    """SQL generator of (index, offset, override) rows: the row itself plus
+    each extra copy ``(offset, modulus, override)`` whose key is divisible by
+    modulus, as ``inline(filter(array(...), ...))`` (one scan, no union)."""
+    items = ["named_struct('_i', 0, '_off', CAST(0 AS BIGINT), '_ovr', CAST(NULL AS STRING))"]
+    conds = ["x._i = 0"]
+    for i, (off, mod, ovr) in enumerate(extra, start=1):
+        o = "CAST(NULL AS STRING)" if ovr is None else f"'{ovr}'"
+        items.append(f"named_struct('_i', {i}, '_off', CAST({off} AS BIGINT), '_ovr', {o})")
+        conds.append(f"(x._i = {i} AND {key} % {mod} = 0)")
+    return f"inline(filter(array({', '.join(items)}), x -> {' OR '.join(conds)}))"
+
+
+# Column expressions of the bound sources (Spark SQL; one JVM call per column).
+VEHICLE_EXPRS = [
+    "CAST(p_partkey + _off AS BIGINT) AS id",
+    "CAST(CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE 2005 + p_size % 23 END AS INT) AS year",
+    "CASE WHEN p_partkey % 89 = 0 THEN NULL ELSE p_brand END AS make",
+    "p_name AS model",
+    "p_type AS VClass",
+    "CASE p_partkey % 4 WHEN 0 THEN 'FWD' WHEN 1 THEN 'RWD' WHEN 2 THEN 'AWD' END AS drive",
+    "coalesce(_ovr, CASE p_partkey % 2 WHEN 0 THEN 'Auto' ELSE 'Manual' END) AS trany",
+    "CASE WHEN p_partkey % 5 = 3 THEN NULL ELSE CAST(4 + 2 * (p_partkey % 3) AS DOUBLE) END AS cylinders",
+    "CASE WHEN p_partkey % 5 = 3 THEN NULL ELSE CAST(1 + p_partkey % 4 AS DOUBLE) END AS displ",
+    "CASE p_partkey % 5 WHEN 0 THEN 'Regular' WHEN 1 THEN 'Premium' WHEN 2 THEN 'Diesel' "
+    "WHEN 3 THEN 'Electricity' ELSE 'Hydrogen' END AS fuelType",
+    "CASE p_partkey % 5 WHEN 0 THEN 'Regular Gasoline' WHEN 1 THEN 'Premium Gasoline' "
+    "WHEN 2 THEN 'Diesel' WHEN 3 THEN 'Electricity' ELSE 'Hydrogen' END AS fuelType1",
+    "CASE WHEN p_partkey % 5 > 1 THEN NULL WHEN p_partkey % 11 = 0 THEN 'Electricity' "
+    "WHEN p_partkey % 13 = 0 THEN 'E85' END AS fuelType2",
+    "CAST(CASE WHEN p_partkey % 82 = 0 THEN NULL ELSE 10 + p_size END AS INT) AS city08",
+    "CAST(CASE WHEN p_partkey % 82 = 0 THEN NULL ELSE 15 + p_size END AS INT) AS highway08",
+    "CAST(CASE WHEN p_partkey % 41 = 0 THEN NULL WHEN p_partkey % 37 = 0 THEN 0 "
+    "WHEN p_partkey % 31 = 0 THEN 250 ELSE 12 + p_size END AS INT) AS comb08",
+    "CAST(100 + p_partkey % 300 AS DOUBLE) AS co2TailpipeGpm",
+]
+
+COMPLAINT_EXPRS = [
+    "CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE CAST(l_orderkey AS BIGINT) END AS ODINO",
+    "CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS CMPLID",
+    "p_brand AS MFGTXT",
+    "CASE l_linenumber % 3 WHEN 0 THEN upper(p_brand) WHEN 1 THEN concat(' ', lower(p_brand), ' ') "
+    "ELSE p_brand END AS MAKETXT",
+    "upper(p_name) AS MODELTXT",
+    "CASE WHEN p_partkey % 503 = 7 THEN 'unknown' ELSE CAST(2005 + p_size % 23 AS STRING) END AS YEARTXT",
+    "CASE WHEN l_returnflag = 'R' THEN 'Y' WHEN l_returnflag = 'A' THEN 'N' END AS CRASH",
+    "CASE WHEN l_orderkey % 211 = 0 THEN '2019x' ELSE CAST((year(l_shipdate) + 24) * 10000 "
+    "+ month(l_shipdate) * 100 + day(l_shipdate) AS STRING) END AS DATEA",
+    "CASE WHEN l_linestatus = 'F' THEN 'Y' ELSE 'N' END AS FIRE",
+    "CAST(CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE l_linenumber % 3 END AS INT) AS INJURED",
+    "CAST(CASE WHEN l_partkey % 6 = 0 THEN NULL ELSE l_linenumber % 2 END AS INT) AS DEATHS",
+    "concat('COMPONENT ', CAST(l_suppkey % 7 AS STRING)) AS COMPDESC",
+    "CAST(NULL AS STRING) AS VIN",
+    "CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE CAST(floor(l_extendedprice * 12) AS BIGINT) END AS MILEAGE",
+    "CAST(l_linenumber AS INT) AS l_linenumber",
+    "CAST(l_partkey AS BIGINT) AS l_partkey",
+    "CAST(l_suppkey AS BIGINT) AS l_suppkey",
+    "CAST(l_extendedprice AS DOUBLE) AS l_extendedprice",
+]
+
+STATION_EXPRS = [
+    "CAST(c_custkey AS BIGINT) AS id",
+    "CASE c_custkey % 8 WHEN 0 THEN 'LPG' WHEN 1 THEN 'BD' WHEN 2 THEN 'CNG' WHEN 3 THEN 'E85' "
+    "WHEN 4 THEN 'HY' WHEN 5 THEN NULL ELSE 'ELEC' END AS fuel_type_code",
+    "c_name AS station_name",
+    "CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE n_name END AS state",
+    "CASE WHEN c_custkey % 43 = 0 THEN 0.0D ELSE CAST(15 + (c_custkey * 37) % 60 AS DOUBLE) END AS latitude",
+    "CASE WHEN c_custkey % 43 = 0 THEN 0.0D ELSE CAST(-60 - (c_custkey * 13) % 125 AS DOUBLE) END AS longitude",
+    "CASE c_custkey % 10 WHEN 8 THEN 'P' WHEN 9 THEN 'T' WHEN 7 THEN NULL ELSE 'E' END AS status_code",
+    "coalesce(_ovr, CASE WHEN c_custkey % 3 = 0 THEN 'private' ELSE 'public' END) AS access_code",
+]
 
-
-def _copies(k: Column, extra: list[tuple[int, int, str | None]]) -> Column:
-    """Array of (index, offset, override) structs: the row itself plus each
-    extra copy ``(offset, modulus, override)`` whose key is divisible by
-    modulus."""
-    items = [F.struct(F.lit(0).alias("_i"), F.lit(0).cast("bigint").alias("_off"),
-                      F.lit(None).cast("string").alias("_ovr"))]
-    for i, (off, _mod, ovr) in enumerate(extra, start=1):
-        items.append(F.struct(F.lit(i).alias("_i"), F.lit(off).cast("bigint").alias("_off"),
-                              F.lit(ovr).cast("string").alias("_ovr")))
-    arr = F.array(*items)
-
-    def keep(x):
-        cond = x["_i"] == 0
-        for i, (_off, mod, _) in enumerate(extra, start=1):
-            cond = cond | ((x["_i"] == i) & (k % mod == 0))
-        return cond
-    return F.filter(arr, keep)
+# keep-first order of the bound complaint source (total within ODINO)
+COMPLAINT_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+# keep-first order of the bound vehicle and station sources
+VEHICLE_ORDER = ["id"]
+STATION_ORDER = ["access_code"]
 
 
 def raw_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,40 +104,8 @@ def raw_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     transmission 'CVT' (survive K1, collapse in K4).
     """
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    k = F.col("p_partkey")
-    size = F.col("p_size")
-    x = p.select("*", F.inline(_copies(k, [(1000000, 23, None), (2000000, 19, "CVT")])))
-    fuel = k % 5
-    return x.select(
-        (k + F.col("_off")).cast("bigint").alias("id"),
-        F.when(k % 97 == 0, F.lit(None)).otherwise(2005 + size % 23).cast("int").alias("year"),
-        F.when(k % 89 == 0, F.lit(None)).otherwise(F.col("p_brand")).alias("make"),
-        F.col("p_name").alias("model"),
-        F.col("p_type").alias("VClass"),
-        _case(k % 4, [(0, "FWD"), (1, "RWD"), (2, "AWD")]).alias("drive"),
-        F.coalesce(F.col("_ovr"), _case(k % 2, [(0, "Auto"), (1, "Manual")])).alias("trany"),
-        F.when(k % 5 == 3, F.lit(None)).otherwise((4 + 2 * (k % 3)).cast("double")).alias("cylinders"),
-        F.when(k % 5 == 3, F.lit(None)).otherwise((1 + k % 4).cast("double")).alias("displ"),
-        _case(fuel, [(0, "Regular"), (1, "Premium"), (2, "Diesel"), (3, "Electricity"),
-                     (4, "Hydrogen")]).alias("fuelType"),
-        _case(fuel, [(0, "Regular Gasoline"), (1, "Premium Gasoline"), (2, "Diesel"),
-                     (3, "Electricity"), (4, "Hydrogen")]).alias("fuelType1"),
-        F.when(fuel > 1, F.lit(None).cast("string"))
-         .when(k % 11 == 0, F.lit("Electricity"))
-         .when(k % 13 == 0, F.lit("E85")).alias("fuelType2"),
-        F.when(k % 82 == 0, F.lit(None)).otherwise(10 + size).cast("int").alias("city08"),
-        F.when(k % 82 == 0, F.lit(None)).otherwise(15 + size).cast("int").alias("highway08"),
-        F.when(k % 41 == 0, F.lit(None)).when(k % 37 == 0, F.lit(0))
-         .when(k % 31 == 0, F.lit(250)).otherwise(12 + size).cast("int").alias("comb08"),
-        (100 + k % 300).cast("double").alias("co2TailpipeGpm"),
-    )
-
-
-# keep-first order of the bound complaint source (total within ODINO)
-COMPLAINT_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-# keep-first order of the bound vehicle and station sources
-VEHICLE_ORDER = ["id"]
-STATION_ORDER = ["access_code"]
+    x = p.selectExpr("*", _copies("p_partkey", [(1000000, 23, None), (2000000, 19, "CVT")]))
+    return x.selectExpr(*VEHICLE_EXPRS)
 
 
 def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,37 +116,9 @@ def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
     p = (table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size")
-         .filter(F.col("p_partkey") % 7 != 3))
+         .filter("p_partkey % 7 <> 3"))
     j = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
-    ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-    sd = F.col("l_shipdate")
-    return j.select(
-        F.when(ok % 101 == 0, F.lit(None)).otherwise(ok).cast("bigint").alias("ODINO"),
-        (ok * 10 + ln).cast("bigint").alias("CMPLID"),
-        F.col("p_brand").alias("MFGTXT"),
-        F.when(ln % 3 == 0, F.upper("p_brand"))
-         .when(ln % 3 == 1, F.concat(F.lit(" "), F.lower("p_brand"), F.lit(" ")))
-         .otherwise(F.col("p_brand")).alias("MAKETXT"),
-        F.upper("p_name").alias("MODELTXT"),
-        F.when(F.col("p_partkey") % 503 == 7, F.lit("unknown"))
-         .otherwise((2005 + F.col("p_size") % 23).cast("string")).alias("YEARTXT"),
-        F.when(F.col("l_returnflag") == "R", F.lit("Y"))
-         .when(F.col("l_returnflag") == "A", F.lit("N")).alias("CRASH"),
-        F.when(ok % 211 == 0, F.lit("2019x"))
-         .otherwise(((F.year(sd) + 24) * 10000 + F.month(sd) * 100 + F.dayofmonth(sd))
-                    .cast("string")).alias("DATEA"),
-        F.when(F.col("l_linestatus") == "F", F.lit("Y")).otherwise(F.lit("N")).alias("FIRE"),
-        F.when(pk % 6 == 0, F.lit(None)).otherwise(ln % 3).cast("int").alias("INJURED"),
-        F.when(pk % 6 == 0, F.lit(None)).otherwise(ln % 2).cast("int").alias("DEATHS"),
-        F.concat(F.lit("COMPONENT "), (F.col("l_suppkey") % 7).cast("string")).alias("COMPDESC"),
-        F.lit(None).cast("string").alias("VIN"),
-        F.when(pk % 9 == 0, F.lit(None))
-         .otherwise(F.floor(F.col("l_extendedprice") * 12)).cast("bigint").alias("MILEAGE"),
-        ln.cast("int").alias("l_linenumber"),
-        pk.cast("bigint").alias("l_partkey"),
-        F.col("l_suppkey").cast("bigint").alias("l_suppkey"),
-        F.col("l_extendedprice").cast("double").alias("l_extendedprice"),
-    )
+    return j.selectExpr(*COMPLAINT_EXPRS)
 
 
 def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,20 +127,5 @@ def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "inner")
-    k = F.col("c_custkey")
-    x = j.select("*", F.inline(_copies(k, [(0, 29, "public")])))
-    return x.select(
-        k.cast("bigint").alias("id"),
-        _case(k % 8, [(0, "LPG"), (1, "BD"), (2, "CNG"), (3, "E85"), (4, "HY"), (5, None),
-                      (6, "ELEC"), (7, "ELEC")]).alias("fuel_type_code"),
-        F.col("c_name").alias("station_name"),
-        F.when(k % 17 == 0, F.lit(None)).otherwise(F.col("n_name")).alias("state"),
-        F.when(k % 43 == 0, F.lit(0.0))
-         .otherwise((15 + (k * 37) % 60).cast("double")).alias("latitude"),
-        F.when(k % 43 == 0, F.lit(0.0))
-         .otherwise((-60 - (k * 13) % 125).cast("double")).alias("longitude"),
-        _case(k % 10, [(8, "P"), (9, "T"), (7, None), (0, "E"), (1, "E"), (2, "E"), (3, "E"),
-                       (4, "E"), (5, "E"), (6, "E")]).alias("status_code"),
-        F.coalesce(F.col("_ovr"),
-                   F.when(k % 3 == 0, F.lit("private")).otherwise(F.lit("public"))).alias("access_code"),
-    )
+    x = j.selectExpr("*", _copies("c_custkey", [(0, 29, "public")]))
+    return x.selectExpr(*STATION_EXPRS)
