@@ -29,8 +29,9 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_sql():
+    # S9 reports byte sizes of written files: no SQL equivalent, rows-only
     missing = [k for k in E.queries() if k not in E.oracle_sql()]
-    assert missing == []
+    assert missing == ["S9"]
 
 
 def test_entry_smoke(spark):
