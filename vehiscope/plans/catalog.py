@@ -1103,3 +1103,47 @@ def _l4(t):
                                  "vehiscope_fuel_infrastructure_analysis": paths["infra"],
                                  "vehiscope_missing_dataset": f"{root}/integrated/absent"},
                        location=f"{root}/tables")
+
+
+@q("L1", "SELECT * FROM infra")
+def _l1(t):
+    """L1: full-refresh publish of an integrated table, read back as a table."""
+    from ..sources import sinks as SK
+    root = _io_root(t, "L1")
+    SK.publish_table(t.infra, "vehiscope_l1_infra", path=f"{root}/table")
+    return t.spark.table("vehiscope_l1_infra")
+
+
+@q("L3", "SELECT count(*) AS rows, 1 AS files FROM vca")
+def _l3(t):
+    """L2 + L3: publish with many files, refresh statistics, compact to one
+    file; report rows and the number of files now backing the table."""
+    from ..sources import sinks as SK
+    root = _io_root(t, "L3")
+    SK.publish_table(t.vca.repartition(8), "vehiscope_l3_vca", path=f"{root}/table")
+    SK.analyze_table(t.spark, "vehiscope_l3_vca")
+    SK.compact_table(t.spark, "vehiscope_l3_vca", 1)
+    tbl = t.spark.table("vehiscope_l3_vca").select(F.input_file_name().alias("_file"))
+    return tbl.agg(F.count(F.lit(1)).alias("rows"),
+                   F.count_distinct("_file").cast("int").alias("files"))
+
+
+@q("X11_stream", f"""SELECT * EXCLUDE (_src, _rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY _src) AS _rn FROM (
+    SELECT *, 1 AS _src FROM clean_stations UNION ALL SELECT *, 0 AS _src FROM {_CS_DESC}))
+  WHERE _rn = 1""")
+def _x11s(t):
+    """X11 as Structured Streaming: two station snapshots (the first run and a
+    re-run with the opposite keep-first order) land as files; the streaming
+    merge keeps the latest version of every station."""
+    import uuid
+    from ..streaming import incremental as INC
+    root = f"{_io_root(t, 'X11_stream')}/{uuid.uuid4().hex}"
+    base = t.stations.withColumn("snapshot", F.lit(1))
+    rerun = _stations_rerun(t).withColumn("snapshot", F.lit(2))
+    base.write.mode("overwrite").parquet(f"{root}/landing/s1")
+    rerun.write.mode("overwrite").parquet(f"{root}/landing/s2")
+    q_ = INC.start_incremental_load(t.spark, f"{root}/landing/*", base.schema, f"{root}/merged",
+                                    ["id"], [F.col("snapshot").desc()], f"{root}/checkpoint")
+    q_.awaitTermination()
+    return INC.latest_version(t.spark, f"{root}/merged").drop("snapshot")

@@ -23,14 +23,16 @@ from ..operators.dedupe import dedupe_first
 
 def merge_latest(current: DataFrame | None, batch: DataFrame, keys: Sequence[str],
                  order_by: Sequence[Column]) -> DataFrame:
-    """Rows of ``batch`` (latest per key by ``order_by``) replace ``current``
-    rows with the same key; other current rows stay."""
+    """Per key, the latest row by ``order_by`` over ``current`` and ``batch``
+    together wins (a late-arriving older row does not overwrite a newer one);
+    on a tie the batch row wins. Keep-first runs as a partial
+    ``WindowGroupLimit`` before its shuffle."""
     b = batch.withColumn("_vs_src", F.lit(0))
     if current is None:
         u = b
     else:
         u = b.unionByName(current.withColumn("_vs_src", F.lit(1)), allowMissingColumns=True)
-    return dedupe_first(u, list(keys), [F.col("_vs_src").asc(), *order_by]).drop("_vs_src")
+    return dedupe_first(u, list(keys), [*order_by, F.col("_vs_src").asc()]).drop("_vs_src")
 
 
 def snapshot_path(root: str, version: int) -> str:
