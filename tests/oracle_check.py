@@ -22,6 +22,11 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -52,11 +57,17 @@ def compare(spark, con, key, fn, sql, sf_dir):
     t1 = time.time()
     if sql is None:
         return key, "rows-only", len(s), None, t1 - t0
-    cur = con.execute(sql)
-    names = [x[0] for x in cur.description]
-    d = pd.DataFrame(cur.fetchall(), columns=names, dtype=object)
+    rel = con.sql(sql)
+    names = rel.columns
+    dtypes = {n: str(ty) for n, ty in zip(names, rel.types)}
+    d = pd.DataFrame(rel.fetchall(), columns=names, dtype=object)
     if sorted(s.columns) != sorted(d.columns):
         return key, "SCHEMA", len(s), len(d), t1 - t0, sorted(s.columns), sorted(d.columns)
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    tdiff = {c: (stypes[c], dtypes[c]) for c in stypes if stypes[c] != dtypes[c]}
+    if tdiff:
+        return key, "TYPES", len(s), len(d), t1 - t0, tdiff
     cs, cd = canon(s), canon(d)
     if cs == cd:
         return key, "ok", len(s), len(d), t1 - t0

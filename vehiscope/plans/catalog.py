@@ -938,7 +938,8 @@ def _x6(t):
     return X.complaint_mileage(t.complaints)
 
 
-@q("X7", """SELECT *, rank() OVER (PARTITION BY fuel_type_code ORDER BY total_stations DESC) AS state_rank
+@q("X7", """SELECT *, CAST(rank() OVER (PARTITION BY fuel_type_code ORDER BY total_stations DESC) AS INTEGER)
+  AS state_rank
   FROM stations_by_state""")
 def _x7(t):
     return X.state_ranking(t.stations)
@@ -953,7 +954,7 @@ def _x8(t):
 
 
 @q("X8_rank", """SELECT fuel_type_code, avg_combined_mpg,
-  dense_rank() OVER (ORDER BY avg_combined_mpg DESC) AS mpg_rank FROM (
+  CAST(dense_rank() OVER (ORDER BY avg_combined_mpg DESC) AS INTEGER) AS mpg_rank FROM (
   SELECT fuel_type_code, round_even(sum(CAST(round_even(avg_combined_mpg * 10, 0) AS BIGINT))
     / count(avg_combined_mpg), 0) / 10 AS avg_combined_mpg
   FROM infra WHERE fuel_type_code IS NOT NULL GROUP BY 1)""")
