@@ -8,6 +8,7 @@ re-read tables.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -78,18 +79,29 @@ INTEGRATED = {"vca": "vehicle_complaints_analysis",
               "comp": "comprehensive_vehicle_analysis"}
 
 
+def _write_all(jobs: dict[str, tuple[DataFrame, str]], parallel: bool) -> dict[str, DataFrame]:
+    """Materialise independent datasets; with ``parallel`` the write jobs are
+    submitted from separate driver threads, so the scheduler runs them at the
+    same time (one job's narrow stage does not leave the cluster idle)."""
+    if not parallel or len(jobs) == 1:
+        return {n: materialize(df, path) for n, (df, path) in jobs.items()}
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futs = {n: pool.submit(materialize, df, path) for n, (df, path) in jobs.items()}
+        return {n: f.result() for n, f in futs.items()}
+
+
 def run(spark: SparkSession, sf_dir: str, as_of=K.DEFAULT_AS_OF,
-        out_dir: str | None = None) -> Tables:
+        out_dir: str | None = None, parallel: bool = True) -> Tables:
     """Build and materialise both layers; later layers read the written ones,
-    so P6 reuses the stored P4 instead of recomputing it."""
+    so P6 reuses the stored P4 instead of recomputing it. Independent layers
+    (P1-P3, then P4 and P5) are written concurrently."""
     root = out_dir or shared_path(spark, "pipeline")
     t = Tables(spark, sf_dir, as_of)
-    over = {}
-    for name in PROCESSED:
-        over[name] = materialize(getattr(t, name), f"{root}/processed/{name}")
-    t2 = Tables(spark, sf_dir, as_of, over)
-    over["vca"] = materialize(t2.vca, f"{root}/integrated/{INTEGRATED['vca']}")
-    over["infra"] = materialize(t2.infra, f"{root}/integrated/{INTEGRATED['infra']}")
-    t3 = Tables(spark, sf_dir, as_of, over)
+    over = _write_all({n: (getattr(t, n), f"{root}/processed/{n}") for n in PROCESSED},
+                      parallel)
+    t2 = Tables(spark, sf_dir, as_of, dict(over))
+    over.update(_write_all({n: (getattr(t2, n), f"{root}/integrated/{INTEGRATED[n]}")
+                            for n in ("vca", "infra")}, parallel))
+    t3 = Tables(spark, sf_dir, as_of, dict(over))
     over["comp"] = materialize(t3.comp, f"{root}/integrated/{INTEGRATED['comp']}")
     return Tables(spark, sf_dir, as_of, over)
