@@ -78,3 +78,36 @@ def test_l1_to_l4_publish_compact_and_partial_failure(spark, tmp_out):
     res = {r.dataset: (r.ok, r.rows, r.status) for r in out}
     assert res == {"vs_ok": (True, 100, "PARTIAL FAILURE"),
                    "vs_missing": (False, None, "PARTIAL FAILURE")}
+
+
+def test_run_files_end_to_end(spark, tmp_out):
+    from vehiscope.plans.pipeline import run_files
+    v = _write(os.path.join(tmp_out, "veh.csv"),
+               "id,year,make,model,VClass,drive,trany,cylinders,displ,fuelType,fuelType1,"
+               "fuelType2,city08,highway08,comb08,co2TailpipeGpm\n"
+               "1,2020,Ford,F-150,Truck,AWD,Auto,6,3.5,Regular,Regular Gasoline,,20,25,22,400\n"
+               "2,2021,Tesla,Model 3,Car,RWD,Auto,NA,NA,Electricity,Electricity,,130,120,125,0\n"
+               "3,2005,Ford,Old,Truck,AWD,Auto,6,3.5,Regular,Regular Gasoline,,20,25,22,400\n")
+    row = ["0"] * 49
+    lines = []
+    for odino, cmplid, make, model in [(10, 100, " ford ", "F-150"), (10, 101, "FORD", "F-150"),
+                                       (11, 110, "TESLA", "MODEL 3")]:
+        r = list(row)
+        r[0], r[1], r[2], r[3], r[4], r[5] = str(odino), str(cmplid), make, make, model, "2020"
+        r[6], r[7], r[8], r[9], r[10], r[11], r[14], r[17] = "Y", "20200102", "N", "1", "0", "ENGINE", "", "1000"
+        if model == "MODEL 3":
+            r[5] = "2021"
+        lines.append("\t".join(r))
+    c = _write(os.path.join(tmp_out, "cmp.tsv"), "\n".join(lines) + "\n")
+    s = _write(os.path.join(tmp_out, "st.csv"),
+               "id,fuel_type_code,station_name,state,latitude,longitude,status_code,access_code\n"
+               "1,ELEC,a,CA,35,-100,E,public\n2,ELEC,b,,36,-101,P,public\n")
+    t = run_files(spark, v, c, s, os.path.join(tmp_out, "out"))
+    vca = {r.model: r for r in t.vca.collect()}
+    assert set(vca) == {"F-150", "Model 3"}
+    assert vca["F-150"].total_complaints == 1 and vca["F-150"].crash_incidents == 1
+    assert vca["Model 3"].total_complaints == 1
+    infra = {r.fuel_type_code: r for r in t.infra.collect()}
+    assert infra["ELEC"].total_stations == 1
+    comp = {r.model: r.stations_nationwide for r in t.comp.collect()}
+    assert comp == {"F-150": 0, "Model 3": 2}

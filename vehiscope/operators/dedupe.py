@@ -25,8 +25,13 @@ def _order(order_by: Sequence) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
 
 
-def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:
-    """K1/K2/K3/K5: keep the first row per key (nulls in keys compare equal)."""
+def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence | None) -> DataFrame:
+    """K1/K2/K3/K5: keep the first row per key (nulls in keys compare equal).
+
+    ``order_by=None`` orders by every column, a total order up to identical
+    rows (whose choice does not change the result)."""
+    if order_by is None:
+        order_by = [c for c in df.columns if c not in keys]
     w = Window.partitionBy(*keys).orderBy(*_order(order_by))
     return (df.withColumn("_vs_rn", F.row_number().over(w))
               .filter(F.col("_vs_rn") == 1)

@@ -71,12 +71,13 @@ def _complaints_typed(raw: DataFrame, as_of) -> DataFrame:
     return C.not_after_year(df, "YEARTXT", as_of, keep_null=True)
 
 
-def _complaints_deduped(raw: DataFrame, as_of, order_by: Sequence) -> DataFrame:
-    return dedupe_first(_complaints_typed(raw, as_of), ["ODINO"], list(order_by))
+def _complaints_deduped(raw: DataFrame, as_of, order_by: Sequence | None) -> DataFrame:
+    return dedupe_first(_complaints_typed(raw, as_of), ["ODINO"],
+                        None if order_by is None else list(order_by))
 
 
 def clean_complaints(raw: DataFrame, as_of=K.DEFAULT_AS_OF,
-                     order_by: Sequence = ("ODINO",)) -> DataFrame:
+                     order_by: Sequence | None = ("CMPLID",)) -> DataFrame:
     """S2 -> C2 -> V1 -> V2 -> C8 -> C9 -> C7 -> K2 -> V4 -> V5.
 
     Departures (stated): DATEA stays a DATE; a year that is still null at V4
@@ -91,7 +92,7 @@ def clean_complaints(raw: DataFrame, as_of=K.DEFAULT_AS_OF,
 
 
 def complaint_rejects(raw: DataFrame, as_of=K.DEFAULT_AS_OF,
-                      order_by: Sequence = ("ODINO",)) -> DataFrame:
+                      order_by: Sequence | None = ("CMPLID",)) -> DataFrame:
     """V4 reject set: complaints whose model year cannot become an integer."""
     df = _complaints_deduped(raw, as_of, order_by).filter(F.col("YEARTXT").isNull())
     return df.select("ODINO", "CMPLID", "MAKETXT", "MODELTXT",
@@ -107,7 +108,7 @@ def station_filter_steps(box=K.STATION_BBOX) -> list[tuple[str, Column]]:
     ]
 
 
-def clean_stations(raw: DataFrame, order_by: Sequence = ("id",), box=K.STATION_BBOX,
+def clean_stations(raw: DataFrame, order_by: Sequence | None = None, box=K.STATION_BBOX,
                    fuel_codes: Sequence[str] = K.ALT_FUEL_CODES) -> DataFrame:
     """C2 -> C10 -> C11 -> K3 -> C12 -> C13.
 
@@ -116,7 +117,7 @@ def clean_stations(raw: DataFrame, order_by: Sequence = ("id",), box=K.STATION_B
     push the C12 filter below the keep-first window (not a partition key).
     """
     df = raw.filter(_all(p for _n, p in station_filter_steps(box)))
-    df = dedupe_first(df, ["id"], list(order_by))
+    df = dedupe_first(df, ["id"], None if order_by is None else list(order_by))
     df = C.keep_in(df, "fuel_type_code", fuel_codes)
     return C.select_existing(df, K.STATION_KEEP_COLUMNS)
 

@@ -105,3 +105,32 @@ def run(spark: SparkSession, sf_dir: str, as_of=K.DEFAULT_AS_OF,
     t3 = Tables(spark, sf_dir, as_of, dict(over))
     over["comp"] = materialize(t3.comp, f"{root}/integrated/{INTEGRATED['comp']}")
     return Tables(spark, sf_dir, as_of, over)
+
+
+def run_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stations: str,
+              out_dir: str, as_of=K.DEFAULT_AS_OF, stations_format: str = "csv",
+              parallel: bool = True) -> Tables:
+    """The pipeline on raw files: header CSV of vehicles, headerless TSV of
+    complaints, stations as header CSV or ``{"fuel_stations": [...]}`` JSON.
+    The raw edge is ingested once into Parquet (multi-line text is not
+    splittable), then the layers are built as in ``run``."""
+    from ..sources import readers as RD
+    st = (RD.read_station_json(spark, stations) if stations_format == "json"
+          else RD.read_stations(spark, stations))
+    raw = {"raw_vehicles": RD.read_vehicles(spark, vehicles_csv),
+           "raw_complaints": RD.read_complaints(spark, complaints_tsv),
+           "raw_stations": st}
+    root = out_dir.rstrip("/")
+    over = _write_all({n: (df, f"{root}/raw/{n}") for n, df in raw.items()}, parallel)
+    over.update({
+        "vehicles": cleaning.clean_vehicles(over["raw_vehicles"], as_of),
+        "complaints": cleaning.clean_complaints(over["raw_complaints"], as_of),
+        "stations": cleaning.clean_stations(over["raw_stations"]),
+    })
+    over.update(_write_all({n: (over[n], f"{root}/processed/{n}") for n in PROCESSED}, parallel))
+    t2 = Tables(spark, "", as_of, dict(over))
+    over.update(_write_all({n: (getattr(t2, n), f"{root}/integrated/{INTEGRATED[n]}")
+                            for n in ("vca", "infra")}, parallel))
+    t3 = Tables(spark, "", as_of, dict(over))
+    over["comp"] = materialize(t3.comp, f"{root}/integrated/{INTEGRATED['comp']}")
+    return Tables(spark, "", as_of, over)

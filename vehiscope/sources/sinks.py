@@ -86,6 +86,8 @@ def compact_table(spark: SparkSession, table: str, files: int) -> None:
     """L3: rewrite ``table`` into ``files`` files. The data is first cut from
     its lineage with a reliable checkpoint (in the shared checkpoint folder),
     so the table can be overwritten while it is the source."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     data = spark.table(table).repartition(files).checkpoint(eager=True)
     data.write.mode("overwrite").insertInto(table, overwrite=True)
 
