@@ -6,7 +6,7 @@ from vehiscope.plans.pipeline import Tables
 
 SF = "/root/testdata/sf0.001"
 # registered entries that perform writes when built
-IO_KEYS = {"S1", "S2", "S3", "S4", "S6", "S7", "S8", "S9", "L1", "L3", "L4", "X11_stream"}
+IO_KEYS = {"S1", "S2", "S3", "S4", "S6", "S7", "S8", "S9", "L1", "L2", "L3", "L4", "X11_stream", "X12"}
 
 
 def plan(df) -> str:

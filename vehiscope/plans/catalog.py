@@ -1148,3 +1148,48 @@ def _x11s(t):
                                     ["id"], [F.col("snapshot").desc()], f"{root}/checkpoint")
     q_.awaitTermination()
     return INC.latest_version(t.spark, f"{root}/merged").drop("snapshot")
+
+
+@q("X11", f"""SELECT * EXCLUDE (_src, _rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY _src) AS _rn FROM (
+    SELECT *, 1 AS _src FROM clean_stations UNION ALL SELECT *, 0 AS _src FROM {_CS_DESC}))
+  WHERE _rn = 1""")
+def _x11a(t):
+    """X11: incremental load of a changed station snapshot (upsert by id)."""
+    return X.upsert(t.stations, _stations_rerun(t), ["id"])
+
+
+@q("L2", "SELECT count(*) AS rows FROM infra")
+def _l2(t):
+    """L2: after ANALYZE TABLE the catalog statistics hold the row count."""
+    from ..sources import sinks as SK
+    SK.publish_table(t.infra, "vehiscope_l2_infra", path=f"{_io_root(t, 'L2')}/table")
+    SK.analyze_table(t.spark, "vehiscope_l2_infra")
+    d = t.spark.sql("DESCRIBE TABLE EXTENDED vehiscope_l2_infra")
+    return (d.filter(F.col("col_name") == "Statistics")
+            .select(F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint").alias("rows")))
+
+
+# X10 rule table for the bound complaints (a parameter, like a threshold)
+X10_RULES = [("COMPONENT [0-2]$", "GROUP A"), ("COMPONENT [3-4]$", "GROUP B"),
+             ("COMPONENT 5$", "GROUP C")]
+
+
+@q("X10", "SELECT category, count(*) AS complaints FROM (SELECT CASE "
+    + " ".join(f"WHEN coalesce(regexp_matches(COMPDESC, '(?i){p}'), false) THEN '{c}'"
+               for p, c in X10_RULES)
+    + " ELSE 'OTHER' END AS category FROM clean_complaints) GROUP BY category")
+def _x10(t):
+    """Component text categorised by the first matching rule."""
+    return (t.complaints.select(X.categorize("COMPDESC", X10_RULES).alias("category"))
+            .groupBy("category").agg(F.count(F.lit(1)).alias("complaints")))
+
+
+@q("X12", "SELECT * FROM clean_stations")
+def _x12(t):
+    """Two snapshot versions written; version 1 restored as the live copy."""
+    import uuid
+    root = f"{_io_root(t, 'X12')}/{uuid.uuid4().hex}"
+    X.write_snapshot(t.stations, f"{root}/snapshots", 1)
+    X.write_snapshot(_stations_rerun(t), f"{root}/snapshots", 2)
+    return X.restore_snapshot(t.spark, f"{root}/snapshots", 1, f"{root}/live")
