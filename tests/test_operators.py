@@ -245,3 +245,13 @@ def test_group_count_skew_safe_plan(spark):
     df = vehicles(spark, dict(id=1), dict(id=2))
     plan = attach_group_count(df, ["make"], "n")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan
+
+
+def test_station_audit_dead_first_row_does_not_win(spark):
+    raw = stations(spark, dict(id=5, access_code="a", latitude=0.0, longitude=0.0),
+                   dict(id=5, access_code="b"), dict(id=6, fuel_type_code="LPG"))
+    a = {r.step: (r.rows_in, r.rows_out) for r in P.station_audit(raw, ["access_code"]).collect()}
+    assert a["in_bbox"] == (3, 2)
+    assert a["dedupe"] == (2, 2)
+    assert a["alt_fuel_only"] == (2, 1)
+    assert P.clean_stations(raw, ["access_code"]).count() == 1
