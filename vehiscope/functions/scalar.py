@@ -125,7 +125,8 @@ def require_int(col, strict: bool = False, what: str = "value") -> Column:
 
 
 def to_nullable_int(col) -> Column:
-    """V5: number to nullable BIGINT; a non-integral value raises."""
+    """V5: fractional number to nullable BIGINT; a non-integral value raises.
+    (An integral column needs only a cast; see ``clean_complaints``.)"""
     d = _c(col).cast("double")
     return F.when(d.isNull() | (d == F.floor(d)), d.cast("bigint")).otherwise(
         F.raise_error(F.concat(F.lit("non-integral value: "), d.cast("string"))))

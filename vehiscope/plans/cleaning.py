@@ -86,8 +86,9 @@ def clean_complaints(raw: DataFrame, as_of=K.DEFAULT_AS_OF,
     """
     df = _complaints_deduped(raw, as_of, order_by)
     df = df.filter(F.col("YEARTXT").isNotNull())
-    df = df.withColumns({"YEARTXT": require_int("YEARTXT"),
-                         "MILEAGE": to_nullable_int("MILEAGE")})
+    integral = dict(df.dtypes).get("MILEAGE") in ("tinyint", "smallint", "int", "bigint")
+    mileage = F.col("MILEAGE").cast("bigint") if integral else to_nullable_int("MILEAGE")
+    df = df.withColumns({"YEARTXT": require_int("YEARTXT"), "MILEAGE": mileage})
     return df.select(*K.COMPLAINT_NAMES)
 
 
