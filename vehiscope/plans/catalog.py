@@ -58,9 +58,6 @@ def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in _REG.items() if v[1] is not None}
 
 
-VEH_COLS = ["id", "year", "make", "model", "VClass", "drive", "trany", "cylinders", "displ",
-            "fuelType", "fuelType1", "fuelType2", "city08", "highway08", "comb08",
-            "co2TailpipeGpm"]
 ORDER_TAIL = ", ".join(f"{c} ASC NULLS LAST" for c in Q.ANALYSIS_ROW_ORDER)
 
 

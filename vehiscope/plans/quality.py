@@ -9,7 +9,6 @@ that sums; no window, no self-join.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
