@@ -255,3 +255,21 @@ def test_station_audit_dead_first_row_does_not_win(spark):
     assert a["dedupe"] == (2, 2)
     assert a["alt_fuel_only"] == (2, 1)
     assert P.clean_stations(raw, ["access_code"]).count() == 1
+
+
+def test_t13_corrected_map_counts_plain_e85(spark):
+    v = P.clean_vehicles(vehicles(spark, dict(id=1, fuelType1="Regular Gasoline", fuelType2="E85")),
+                         AS_OF)
+    s = stations(spark, dict(id=1, fuel_type_code="E85"))
+    assert I.fuel_infrastructure_analysis(v, s).count() == 0
+    out = I.fuel_infrastructure_analysis(v, s, K.FUEL_CODE_MAP_CORRECTED).collect()
+    assert [(r.fuel_type_code, r.vehicle_count, r.total_stations) for r in out] == [("E85", 1, 1)]
+
+
+def test_t15_unmapped_rows_count_as_poor_unless_mapped_only(spark):
+    schema = "fuel_type_code string, stations_nationwide long, total_complaints long"
+    df = spark.createDataFrame([(None, 0, 9), ("ELEC", 50, 1), ("ELEC", 5000, 2)], schema)
+    r = Q.infrastructure_vs_complaints(df, 100).first()
+    assert (r.poor_infra_count, r.poor_infra_avg) == (2, 5.0)
+    r = Q.infrastructure_vs_complaints(df, 100, mapped_only=True).first()
+    assert (r.poor_infra_count, r.poor_infra_avg) == (1, 1.0)

@@ -101,9 +101,13 @@ def infrastructure_gaps(infra: DataFrame, year: int = 2024, per_1000: float = 10
                               ", ").alias("constrained_fuels"))
 
 
-def infrastructure_vs_complaints(comp: DataFrame, stations: int = 10000) -> DataFrame:
+def infrastructure_vs_complaints(comp: DataFrame, stations: int = 10000,
+                                 mapped_only: bool = False) -> DataFrame:
     """Q5: mean complaints with good (> stations) vs poor (<=) infrastructure.
-    Unmapped fuels have 0 stations, so they count as poor (trap T15)."""
+    Unmapped fuels have 0 stations, so they count as poor (trap T15), as in
+    the reference; ``mapped_only=True`` leaves rows without a fuel code out."""
+    if mapped_only:
+        comp = comp.filter(F.col("fuel_type_code").isNotNull())
     m = mean_where(comp, "total_complaints",
                    {"good_infra": F.col("stations_nationwide") > stations,
                     "poor_infra": F.col("stations_nationwide") <= stations})

@@ -1190,3 +1190,15 @@ def _x12(t):
     X.write_snapshot(t.stations, f"{root}/snapshots", 1)
     X.write_snapshot(_stations_rerun(t), f"{root}/snapshots", 2)
     return X.restore_snapshot(t.spark, f"{root}/snapshots", 1, f"{root}/live")
+
+
+@q("Q5_mapped_only", """SELECT *, CASE WHEN poor_infra_avg > good_infra_avg THEN (poor_infra_avg - good_infra_avg) / good_infra_avg * 100 END AS poor_pct_more,
+  CASE WHEN poor_infra_avg > good_infra_avg THEN 'poor infrastructure has more complaints' ELSE 'no clear correlation' END AS verdict
+  FROM (SELECT avg(CASE WHEN stations_nationwide > 100 THEN total_complaints END) AS good_infra_avg,
+    CAST(count_if(stations_nationwide > 100) AS BIGINT) AS good_infra_count,
+    avg(CASE WHEN stations_nationwide <= 100 THEN total_complaints END) AS poor_infra_avg,
+    CAST(count_if(stations_nationwide <= 100) AS BIGINT) AS poor_infra_count
+    FROM comp WHERE fuel_type_code IS NOT NULL)""")
+def _q5m(t):
+    """Q5 with unmapped (gasoline) rows left out (option for trap T15)."""
+    return Q.infrastructure_vs_complaints(t.comp, 100, mapped_only=True)
