@@ -49,9 +49,9 @@ def canon(df: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=lambda r: tuple((x is None, x or "") for x in r))
 
 
-def compare(spark, con, key, fn, sql, sf_dir):
+def compare(spark, con, key, fn, sql, sf_dir, sdf=None):
     t0 = time.time()
-    sdf = fn(spark, sf_dir)
+    sdf = fn(spark, sf_dir) if sdf is None else sdf
     rows = sdf.collect()
     s = pd.DataFrame([tuple(r) for r in rows], columns=sdf.columns, dtype=object)
     t1 = time.time()

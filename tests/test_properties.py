@@ -43,3 +43,39 @@ def test_nullify_tokens(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x string")
     got = [r[0] for r in df.select(S.nullify("x")).collect()]
     assert got == [None if v is None or v in K.NA_TOKENS else v for v in values]
+
+
+rows_st = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)),
+                             st.one_of(st.none(), st.sampled_from(["a", "b"])),
+                             st.integers(0, 1000)),
+                   min_size=1, max_size=30)
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows_st)
+def test_keep_first_matches_brute_force(spark, rows):
+    from vehiscope.operators.dedupe import dedupe_first
+    data = [(k1, k2, pos, val) for pos, (k1, k2, val) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k1 int, k2 string, pos int, val int")
+    got = sorted((tuple(r) for r in dedupe_first(df, ["k1", "k2"], ["pos"]).collect()),
+                 key=lambda r: r[2])
+    first = {}
+    for r in data:  # brute force: the first row of every key, nulls equal
+        first.setdefault((r[0], r[1]), r)
+    assert got == sorted(first.values(), key=lambda r: r[2])
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows_st)
+def test_group_count_matches_brute_force(spark, rows):
+    from vehiscope.operators.dedupe import attach_group_count
+    df = spark.createDataFrame(rows, "k1 int, k2 string, val int")
+    got = sorted(((r.k1, r.k2, r.val, r.n) for r in
+                  attach_group_count(df, ["k1", "k2"], "n").collect()),
+                 key=lambda r: (str(r[0]), str(r[1]), r[2], r[3]))
+    counts = {}
+    for k1, k2, _ in rows:
+        counts[(k1, k2)] = counts.get((k1, k2), 0) + 1
+    exp = sorted(((k1, k2, v, counts[(k1, k2)]) for k1, k2, v in rows),
+                 key=lambda r: (str(r[0]), str(r[1]), r[2], r[3]))
+    assert got == exp
