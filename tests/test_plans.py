@@ -35,3 +35,12 @@ def test_scan_reads_only_needed_columns(spark):
 def test_filters_reach_the_scan(spark):
     p = plan(Tables(spark, SF).stations)
     assert "PushedFilters: [IsNotNull(c_nationkey)" in p or "PushedFilters" in p
+
+
+def test_cluster_conf_sizes_partitions():
+    from vehiscope.session import cluster_conf
+    c = cluster_conf(100 * (1 << 40), executors=1000, cores_per_executor=4)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = cluster_conf(1 << 20, executors=10)
+    assert int(small["spark.sql.shuffle.partitions"]) == 3 * 10 * 4

@@ -55,6 +55,10 @@ def cluster_conf(total_input_bytes: int, executors: int, cores_per_executor: int
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split a hot join key even when the join's output partitioning is
+        # reused downstream (e.g. P4's distinct on a superset of the join key);
+        # costs one extra shuffle instead of one straggler task
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.session.timeZone": "UTC",
