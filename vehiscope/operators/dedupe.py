@@ -7,8 +7,8 @@ row per key: a key holding a third of all rows costs one row per task, not a
 third of the data in one reducer.
 
 Group sizes (A2, K6) are computed with a partial aggregate joined back instead
-of an unbounded window: a window would put a whole hot group in one task,
-while the join lets AQE split a skewed partition.
+of an unbounded window (which would put a whole hot group in one task); the
+join back salts the hot keys.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import hot_keys, skew_safe_join
+
 
 def _order(order_by: Sequence) -> list[Column]:
     if not order_by:
@@ -47,20 +49,15 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], name: str,
                        null_keys_match: bool = True) -> DataFrame:
     """Attach the row count of each key group to every row.
 
-    Partial aggregation shrinks the counting side to one row per key and
-    task; the join back is a shuffle join that AQE may turn into a broadcast
-    (runtime size check) or split when skewed. ``null_keys_match`` groups null
-    keys together (pandas ``duplicated``) instead of leaving them unmatched.
+    The counts are a partial aggregate (one row per key and task before the
+    shuffle); the join back salts hot keys (``operators.skew``), so a key
+    holding a third of the rows is spread over many tasks. ``null_keys_match``
+    groups null keys together (pandas ``duplicated``); otherwise a null key
+    gets no count (pandas ``groupby`` + ``merge``).
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    if not null_keys_match:
-        return df.join(counts, on=list(keys), how="left")
-    c = counts.select(*[F.col(k).alias(f"_vs_k_{k}") for k in keys], name)
-    cond = None
-    for k in keys:
-        e = df[k].eqNullSafe(c[f"_vs_k_{k}"])
-        cond = e if cond is None else cond & e
-    return df.join(c, cond, "left").drop(*[f"_vs_k_{k}" for k in keys])
+    hot = hot_keys(counts, keys, name)
+    return skew_safe_join(df, counts, keys, hot, "left", null_safe=null_keys_match)
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], name: str = "dup_count") -> DataFrame:

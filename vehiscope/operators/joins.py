@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.scalar import norm_key
+from .skew import hot_keys, skew_safe_join
 
 
 def join_complaints(vehicles: DataFrame, rollup: DataFrame,
@@ -22,8 +23,12 @@ def join_complaints(vehicles: DataFrame, rollup: DataFrame,
     """LEFT join vehicles to the complaint roll-up on (year, normalised
     make, normalised model); the right side is unique per key (no fan-out);
     vehicles without complaints get 0 in all six measures."""
+    keys = ["year", "make_norm", "model_norm"]
     v = vehicles.withColumns({"make_norm": norm_key("make"), "model_norm": norm_key("model")})
-    j = v.join(rollup, on=["year", "make_norm", "model_norm"], how="left")
+    # the roll-up's shuffle partitions this join, so AQE cannot split a hot
+    # vehicle key: hot keys are found with a partial aggregate and salted
+    hot = hot_keys(v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_vs_n")), keys, "_vs_n")
+    j = skew_safe_join(v, rollup, keys, hot, "left")
     return j.na.fill(0, subset=list(measures)).drop("make_norm", "model_norm")
 
 
