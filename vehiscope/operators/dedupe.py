@@ -46,16 +46,20 @@ def distinct(df: DataFrame) -> DataFrame:
 
 
 def attach_group_count(df: DataFrame, keys: Sequence[str], name: str,
-                       null_keys_match: bool = True) -> DataFrame:
+                       null_keys_match: bool = True,
+                       counts_from: DataFrame | None = None) -> DataFrame:
     """Attach the row count of each key group to every row.
 
     The counts are a partial aggregate (one row per key and task before the
     shuffle); the join back salts hot keys (``operators.skew``), so a key
     holding a third of the rows is spread over many tasks. ``null_keys_match``
     groups null keys together (pandas ``duplicated``); otherwise a null key
-    gets no count (pandas ``groupby`` + ``merge``).
+    gets no count (pandas ``groupby`` + ``merge``). ``counts_from`` counts
+    another DataFrame with the same rows per key (e.g. the input of a
+    row-preserving join), so the counting jobs do not re-run that join.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    src = df if counts_from is None else counts_from
+    counts = src.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     hot = hot_keys(counts, keys, name)
     return skew_safe_join(df, counts, keys, hot, "left", null_safe=null_keys_match)
 

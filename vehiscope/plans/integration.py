@@ -43,8 +43,10 @@ def vehicle_complaints_analysis(vehicles: DataFrame, complaints: DataFrame) -> D
     collapses rows that differed only in unprojected columns (trap T17).
     """
     a = vehicle_complaints_joined(vehicles, complaints)
+    # J1 keeps every vehicle row exactly once (the roll-up is unique per key),
+    # so the group sizes are counted on the vehicles themselves
     a = attach_group_count(a, ["year", "make", "model"], "vehicle_variants",
-                           null_keys_match=False)
+                           null_keys_match=False, counts_from=vehicles)
     return distinct(a)
 
 
