@@ -273,3 +273,17 @@ def test_t15_unmapped_rows_count_as_poor_unless_mapped_only(spark):
     assert (r.poor_infra_count, r.poor_infra_avg) == (2, 5.0)
     r = Q.infrastructure_vs_complaints(df, 100, mapped_only=True).first()
     assert (r.poor_infra_count, r.poor_infra_avg) == (1, 1.0)
+
+
+def test_hot_keys_bound_and_salted_join_equals_plain_join(spark):
+    from vehiscope.operators.skew import hot_keys, skew_safe_join
+    rows = [(1, i) for i in range(60)] + [(k, k) for k in range(2, 42)]  # key 1 holds 60%
+    df = spark.createDataFrame(rows, "k int, v int")
+    counts = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    hot = hot_keys(counts, ["k"], "n", partitions=4)
+    got = [(r.k, r._vs_b) for r in hot.collect()]
+    assert got == [(1, 3)]  # ceil(60 * 4 / 100) buckets; fewer than 4 hot keys possible
+    right = counts.withColumn("x", F.col("k") * 10)
+    salted = skew_safe_join(df, right.drop("n"), ["k"], hot, "left")
+    plain = df.join(right.drop("n"), ["k"], "left")
+    assert sorted(tuple(r) for r in salted.collect()) == sorted(tuple(r) for r in plain.collect())
