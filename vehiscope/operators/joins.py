@@ -1,7 +1,9 @@
 """Left equi-joins of the integration step.
 
 Join strategy is left to Catalyst + AQE (runtime size check: broadcast when
-the built side is small, sort-merge otherwise, skewed partitions split).
+the built side is small, sort-merge otherwise). J1's right side is an
+aggregate on the join key, so AQE cannot split a hot key there; hot keys are
+salted instead (``operators.skew``).
 An explicit broadcast is opt-in (``broadcast_right``) and used by the jobs
 only for the station-by-fuel sides, whose size is bounded by construction:
 they are grouped by fuel code after the membership filter C12, so they have
