@@ -59,3 +59,13 @@ def test_changed_rows_and_upsert(spark):
     assert ch == [(2, "update"), (3, "delete"), (4, "insert")]
     up = sorted((r.id, r.v) for r in X.upsert(before, after, ["id"]).collect())
     assert up == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+
+
+def test_complaint_mileage_exact_and_approx(spark):
+    schema = "MAKETXT string, MODELTXT string, MILEAGE long"
+    df = spark.createDataFrame([("ford", "f", 10), (" FORD", "F", 20), ("Ford", "f ", 30),
+                                ("ford", "f", None)], schema)
+    r = X.complaint_mileage(df).first()
+    assert (r.make_norm, r.model_norm, r.with_mileage, r.avg_mileage, r.median_mileage) == (
+        "FORD", "F", 3, 20.0, 20.0)
+    assert X.complaint_mileage(df, approx=True).first().median_mileage == 20.0

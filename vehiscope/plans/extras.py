@@ -79,15 +79,20 @@ def class_incidents(vca: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("rows")))
 
 
-def complaint_mileage(complaints: DataFrame) -> DataFrame:
-    """Complaint mileage by normalised make and model: mean and exact
-    median (per-group value counts; partial-aggregated)."""
+def complaint_mileage(complaints: DataFrame, approx: bool = False) -> DataFrame:
+    """Complaint mileage by normalised make and model: mean and median.
+
+    The exact median keeps per-group value counts (partial-aggregated); its
+    memory is bounded by the distinct mileages, at most 1,000,001 after the
+    cap C9. ``approx=True`` uses ``percentile_approx`` (fixed-size sketch)."""
     c = complaints.withColumns({"make_norm": norm_key("MAKETXT"),
                                 "model_norm": norm_key("MODELTXT")})
+    med = (F.percentile_approx("MILEAGE", 0.5, 10000).cast("double") if approx
+           else F.median("MILEAGE"))
     return (c.na.drop(subset=["make_norm", "model_norm"]).groupBy("make_norm", "model_norm")
             .agg(F.count("MILEAGE").alias("with_mileage"),
                  F.avg("MILEAGE").alias("avg_mileage"),
-                 F.median("MILEAGE").alias("median_mileage")))
+                 med.alias("median_mileage")))
 
 
 # X7 / X8 -------------------------------------------------------------------
