@@ -52,8 +52,10 @@ def main() -> None:
            f"(`{sf}`), before execution (AQE may still switch joins at runtime).",
            "Things to look for: `WindowGroupLimit` (Partial) below the `Exchange` of every",
            "keep-first; partial `HashAggregate` before every aggregate `Exchange`;",
-           "`BroadcastExchange` only over the per-fuel station aggregates (at most six",
-           "rows) and over inputs that AQE/the planner sized as small; no",
+           "explicit `BroadcastExchange` only over the per-fuel station aggregates (at",
+           "most six rows) and over the hot-key tables of the salted joins (fewer",
+           "than P keys; `Generate` replicates a hot key's right row per bucket);",
+           "other broadcasts are the planner's size-based choice at this scale; no",
            "`CartesianProduct`/`BroadcastNestedLoopJoin`; no Python evaluation.",
            ""]
     for name, df in jobs.items():
