@@ -7,12 +7,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vehiscope.llm import decontamination, sentencepieces
+from vehiscope.llm import decontamination, lines, quality, sentencepieces, simhash
 from vehiscope.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.filter_quality(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that equal or resemble an earlier line go, and documents that have
+    no line left."""
+    return lines.dedup_lines(docs)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash.drop_near_duplicates(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a word inside a benchmark window go."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -25,6 +41,9 @@ def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 #: (name, function) in order; each calls one operator.
 STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("simhash near-dedup", simhash_near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("sentencepiece encoding", sentencepiece_encoding),
 ]

@@ -88,3 +88,16 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                 e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         mark = tuple(seen)
     raise RuntimeError("the components did not settle; raise max_rounds")
+
+
+def fresh(df: DataFrame, *bases: str) -> list[str]:
+    """Column names that do not occur in ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for base in bases:
+        name = base
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
