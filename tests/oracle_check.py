@@ -5,6 +5,7 @@ Usage: python tests/oracle_check.py SF_DIR [key ...]
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -81,7 +82,7 @@ def main():
     keys = sys.argv[2:]
     import __spark_entry__ as E
     from vehiscope.session import get_spark
-    spark = get_spark("local[8]")
+    spark = get_spark(os.environ.get("ORACLE_MASTER", "local[8]"))
     con = duck(sf_dir)
     qs, os_ = E.queries(), E.oracle_sql()
     bad = 0
