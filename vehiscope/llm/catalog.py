@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vehiscope.llm import decontamination, licenses, lines, quality, sentencepieces, sharding, simhash, urls, warc
+from vehiscope.llm import decontamination, licenses, lines, passages, quality, sentencepieces, sharding, simhash, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": lines.op1_line_dedup,
         "op2_sentencepiece": sentencepieces.op2_sentencepiece,
         "op3_warc_fixity": warc.op3_warc_fixity,
+        "op4_passages": passages.op4_passages,
         "op5_sharding": sharding.op5_sharding,
         "op6_quality": quality.op6_quality,
         "op7_url_filter": urls.op7_url_filter,

@@ -49,6 +49,29 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: Bits of a set that spares a shuffle the rows that are surely not wanted.
+BITSET = 1 << 23
+
+
+def bit_set(keys: DataFrame, name: str) -> Column:
+    """A set of the long column ``name`` as a scalar subquery: an array of
+    BITSET / 64 longs, of the same size for any number of keys. It only ever
+    lets too much through; an exact join follows."""
+    at = F.pmod(F.xxhash64(name), F.lit(BITSET))
+    words = keys.groupBy(F.floor(at / 64).alias("i")).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast(pmod(xxhash64(`{name}`), 64L) as int)))").alias("v"))
+    full = keys.sparkSession.range(BITSET // 64).select(F.col("id").alias("i")).join(words, "i", "left")
+    return full.agg(F.transform(F.array_sort(F.collect_list(
+        F.struct("i", F.coalesce("v", F.lit(0).cast("long")).alias("v")))), lambda x: x["v"]).alias("a")).scalar()
+
+
+def in_bit_set(bits: Column, name: str) -> Column:
+    """Whether ``name`` may be in the set (never false for a member)."""
+    at = F.floor(F.pmod(F.xxhash64(name), F.lit(BITSET)) / 64).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{name}`), 64L) as int))")
+    return bit.bitwiseAND(F.get(bits, at)) != 0
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph.
 

@@ -17,7 +17,7 @@ lines that are left meet all earlier lines of their tokens. No candidate is
 dropped.
 
 DataFrame functions only. What is gathered has a fixed size: ``RARITY_BUCKETS``
-count classes and two bit sets of ``BITSET`` bits, which only spare shuffles.
+count classes and two bit sets, which only spare shuffles.
 
 Defined results
     null text stays null; blank lines stay; null doc_id: sorted last; rows that
@@ -33,13 +33,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vehiscope.llm.common import NOT_BLANK, fresh, lower_ascii, table, words_of, written
+from vehiscope.llm.common import NOT_BLANK, bit_set, fresh, in_bit_set, lower_ascii, table, words_of, written
 
 SHINGLE = 5
 #: Similarity as a fraction of integers: 4 / 5.
 T_NUM, T_DEN = 4, 5
 RARITY_BUCKETS = 1 << 16
-BITSET = 1 << 23
 #: The rarity class is in the bits above the hash.
 HASH_BITS = 57
 ROUNDS = 2
@@ -69,14 +68,6 @@ def _shingles(words: Column) -> Column:
         lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, SHINGLE), " ")))))
 
 
-def _scalar_array(rows: DataFrame, index: str, value: str, size: int) -> Column:
-    """A small table (one row per index) as one array, absent rows as 0."""
-    full = rows.sparkSession.range(size).select(F.col("id").alias("i")).join(
-        rows.select(F.col(index).cast("long").alias("i"), F.col(value).alias("v")), "i", "left")
-    return full.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", F.coalesce("v", F.lit(0).cast("long")).alias("v")))),
-                                lambda x: x["v"]).alias("a")).scalar()
-
-
 def _rarity(lines: DataFrame) -> DataFrame:
     """``bucket, class``: four times the binary logarithm of the tokens seen."""
     tokens = lines.where(F.size("words") >= SHINGLE).select(F.explode(_shingles(F.col("words"))).alias("t"))
@@ -102,20 +93,6 @@ def _tokens(words: Column, rarity: Column) -> Column:
     return F.sort_array(F.transform(_shingles(words), number))
 
 
-def _bits(keys: DataFrame, name: str) -> Column:
-    """A bit set of the long column ``name``: an array of BITSET / 64 longs."""
-    at = F.pmod(F.xxhash64(name), F.lit(BITSET))
-    words = keys.groupBy(F.floor(at / 64).alias("w")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(pmod(xxhash64(`%s`), 64L) as int)))" % name).alias("b"))
-    return _scalar_array(words, "w", "b", BITSET // 64)
-
-
-def _in_bits(bits: Column, name: str) -> Column:
-    """Whether ``name`` may be in the set (never false for a member)."""
-    at = F.floor(F.pmod(F.xxhash64(name), F.lit(BITSET)) / 64).cast("int")
-    return F.expr("shiftleft(1L, cast(pmod(xxhash64(`%s`), 64L) as int))" % name).bitwiseAND(F.get(bits, at)) != 0
-
-
 def _overlap(a: Column, b: Column) -> Column:
     """Least overlap of sets of sizes a and b at similarity T: ceil(T/(1+T) (a+b))."""
     return F.ceil((T_NUM * (a + b)) / (T_NUM + T_DEN))
@@ -148,14 +125,14 @@ def similar_lines(docs: DataFrame, lines: DataFrame, first: DataFrame) -> DataFr
     prefix = tokens.select("k1", "k2", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), size)).alias("i", "token"))
     shared = written(prefix.groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
                      .where("a <> b").select("token"), "shared-tokens")
-    places = (prefix.where(_in_bits(_bits(shared, "token"), "token")).join(shared, "token")
+    places = (prefix.where(in_bit_set(bit_set(shared, "token"), "token")).join(shared, "token")
               .groupBy("token", "k1", "k2").agg(F.min("n").alias("n"), F.min("i").alias("i")))
     # a line is known by its place from here on
     places = written(places.join(first, ["k1", "k2"]).select("token", "k1", "k2", F.col("place").alias("line"), "n", "i"),
                      "line-prefixes")
     known = places.select("k1", "k2", "line").distinct()
-    involved = _bits(known.select("k1"), "k1")
-    sets = written(tokens.where(_in_bits(involved, "k1")).join(known, ["k1", "k2"])
+    involved = bit_set(known.select("k1"), "k1")
+    sets = written(tokens.where(in_bit_set(involved, "k1")).join(known, ["k1", "k2"])
                    .groupBy("line").agg(F.first("tokens").alias("tokens")), "line-tokens")
 
     open_, found, earlier = places, None, None
