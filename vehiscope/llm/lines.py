@@ -183,18 +183,18 @@ def _same(a: Column, b: Column) -> Column:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents without the lines that go."""
-    digest, gone, left = fresh(docs, "digest", "removed", "left")
+    digest, left, r_id, r_digest, gone = fresh(docs, "digest", "left", "removed_id", "removed_digest", "removed")
     removed = written(removed_lines(docs), "removed-lines").select(
-        F.col("doc_id").alias("r_id"), F.col("digest").alias("r_digest"), F.col("removed").alias("r_removed"))
+        F.col("doc_id").alias(r_id), F.col("digest").alias(r_digest), F.col("removed").alias(gone))
     keyed = docs.withColumn(digest, F.md5(F.col("text").cast("binary")))
-    joined = keyed.join(removed, _same(F.col("doc_id"), F.col("r_id")) & (F.col(digest) == F.col("r_digest")), "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("r_removed"), i))
-    text = F.when(F.col("r_removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = joined.withColumn(left, text).where(F.col("r_removed").isNull() | F.col(left).rlike(NOT_BLANK))
+    joined = keyed.join(removed, _same(F.col("doc_id"), F.col(r_id)) & (F.col(digest) == F.col(r_digest)), "left")
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(gone), i))
+    text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    out = joined.withColumn(left, text).where(F.col(gone).isNull() | F.col(left).rlike(NOT_BLANK))
     new = {"text": F.col(left)}
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
-        new["n_chars"] = F.when(F.col("r_removed").isNull(), F.col("n_chars")).otherwise(
+        new["n_chars"] = F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(
             F.length(F.col(left)).cast(kind))
     return out.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 

@@ -198,14 +198,14 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BI
     """One document of each component: the one of the smallest doc_id (nulls
     last), then digest; of rows that repeat both, the first by all columns."""
     marked = near_duplicates(docs, shingle, bits)
-    digest, nth = fresh(docs, "digest", "nth")
+    digest, nth, k1, k2 = fresh(docs, "digest", "nth", "kept_id", "kept_digest")
     kept = (marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest"))
-                                       .alias("m")).select(F.col("m.doc_id").alias("k1"), F.col("m.digest").alias("k2")))
+                                       .alias("m")).select(F.col("m.doc_id").alias(k1), F.col("m.digest").alias(k2)))
     keyed = docs.withColumn(digest, F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     order = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0)]
     first = keyed.withColumn(nth, F.row_number().over(
         Window.partitionBy("doc_id", digest).orderBy(*order))).where(F.col(nth) == 1)
-    return (first.join(kept, F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col(digest) == F.col("k2")), "left_semi")
+    return (first.join(kept, F.col("doc_id").eqNullSafe(F.col(k1)) & (F.col(digest) == F.col(k2)), "left_semi")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
