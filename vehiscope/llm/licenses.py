@@ -26,7 +26,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vehiscope.llm.common import lower_ascii, table
+from vehiscope.llm.common import table
 
 DICE = 0.8
 MAX_TEMPLATES = 10_000
@@ -54,7 +54,7 @@ TEMPLATES = [
 
 def bigrams(text: Column) -> Column:
     """The distinct word bigrams of a text."""
-    words = F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
     return F.transform(F.array(words), lambda w: F.when(F.size(w) >= 2, F.array_distinct(F.transform(
         F.sequence(F.lit(0), F.size(w) - 2),
         lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1))))).otherwise(F.array().cast("array<string>")))[0]
@@ -62,8 +62,7 @@ def bigrams(text: Column) -> Column:
 
 def template_bigrams(text: str) -> list[str]:
     """The same for a template, on the driver."""
-    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
-    w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low)
+    w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.lower())
     return list(dict.fromkeys(" ".join(p) for p in zip(w, w[1:])))
 
 
@@ -118,7 +117,7 @@ OP9_SQL = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 u AS (SELECT k, unnest(range(0, len(ls))) AS line, unnest(ls) AS unit FROM d
   UNION ALL SELECT k, -1, text FROM d WHERE len(ls) > 1),
-w AS (SELECT k, line, regexp_extract_all(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+w AS (SELECT k, line, regexp_extract_all(lower(unit),
   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM u),
 g AS MATERIALIZED (SELECT DISTINCT k, line, w[i] || ' ' || w[i + 1] AS g
   FROM (SELECT k, line, w, unnest(range(1, len(w))) AS i FROM w WHERE len(w) >= 2)),

@@ -1,7 +1,7 @@
 """Line dedup by exact set-similarity join.
 
-A line is the set of its five-word shingles (a line of fewer words is one
-token; a line without words is never touched). Tokens are ordered by rarity: by
+A line is lower-cased and seen as the set of its five-word shingles (a line of
+fewer words is one token; a line without words is never touched). Tokens are ordered by rarity: by
 the count class of their hash bucket over the whole corpus, then by hash, which
 is one total order for all lines. Two lines of Jaccard similarity ``t`` or more
 share a token among the first ``n - ceil(t n) + 1`` of each (prefix filter); a
@@ -33,64 +33,117 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vehiscope.llm.common import NOT_BLANK, bit_set, fresh, in_bit_set, lower_ascii, table, words_of, written
+from vehiscope.llm.common import bit_set, fresh, in_bit_set, table, written
 
 SHINGLE = 5
+#: A line with a word; words end at spaces, tabs and carriage returns.
+A_WORD = r"[^ \t\r]"
 #: Similarity as a fraction of integers: 4 / 5.
 T_NUM, T_DEN = 4, 5
-RARITY_BUCKETS = 1 << 16
+RARITY_BUCKETS = 1 << 15
 #: The rarity class is in the bits above the hash.
 HASH_BITS = 57
 ROUNDS = 2
 
 
-def _let(value: Column, body) -> Column:
-    return F.transform(F.array(value), body)[0]
-
-
 def _docs(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").where("text is not null").select(
         "doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, pos, words, k1, k2`` of every line with a word."""
-    lines = (_docs(docs).select("doc_id", "digest", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-             .where(F.col("line").rlike(NOT_BLANK)))
-    words = lines.select("doc_id", "digest", "pos", words_of(lower_ascii(F.col("line"))).alias("words"))
-    return words.withColumns({"k1": F.xxhash64("words"), "k2": F.xxhash64(F.lit("second"), "words")})
+    """``doc_id, digest, pos, line, k1, k2`` of every line with a word, lower-cased."""
+    lines = _docs(docs).select("doc_id", "digest", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return lines.where(F.col("line").rlike(A_WORD)).withColumn("line", F.lower("line")).withColumns(
+        {"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit("second"), "line")})
+
+
+def _words(line: Column) -> Column:
+    plain = F.replace(F.replace(line, F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" "))
+    return F.array_remove(F.split(plain, " "), "")
+
+
+def _gram(words: Column, i: Column) -> Column:
+    """Hash of the shingle that starts at word i; a short line ends early."""
+    return F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)])
 
 
-def _shingles(words: Column) -> Column:
-    """Hashes of the distinct shingles of an array of words."""
-    return _let(words, lambda w: F.array_distinct(F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0))),
-        lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, SHINGLE), " ")))))
+def _starts(words: Column) -> Column:
+    return F.sequence(F.lit(0), F.greatest(F.size(words) - SHINGLE, F.lit(0)))
 
 
 def _rarity(lines: DataFrame) -> DataFrame:
     """``bucket, class``: four times the binary logarithm of the tokens seen."""
-    tokens = lines.where(F.size("words") >= SHINGLE).select(F.explode(_shingles(F.col("words"))).alias("t"))
-    return tokens.groupBy(F.pmod("t", F.lit(RARITY_BUCKETS)).cast("int").alias("bucket")).agg(
+    words = lines.select(_words(F.col("line")).alias("w"))
+    buckets = words.select("w", F.explode(_starts(F.col("w"))).alias("i")).select(
+        _gram(F.col("w"), F.col("i")).bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int").alias("bucket"))
+    return buckets.groupBy("bucket").agg(F.least(F.lit(63), F.floor(4 * F.log2(F.count("*")))).cast("long").alias("class"))
+
+
+def _rarity_literal(rarity: DataFrame) -> Column:
+    """The classes of all buckets as one constant array."""
+    classes = ["0"] * RARITY_BUCKETS
+    for r in rarity.collect():  # RARITY_BUCKETS rows at most
+        classes[r["bucket"]] = str(r["class"])
+    return F.split(F.lit(",".join(classes)), ",").cast("array<bigint>")
+
+
+def _tokens(line: Column, rarity: Column) -> Column:
+    """Distinct token numbers of a line, rarest first."""
+    def number(t: Column) -> Column:
+        rank = F.get(rarity, t.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int"))
+        return F.shiftleft(rank, HASH_BITS).bitwiseOR(t.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+
+    grams = F.transform(F.array(_words(line)), lambda w: F.transform(_starts(w), lambda i: _gram(w, i)))[0]
+    return F.sort_array(F.array_distinct(F.transform(grams, number)))
+
+
+def _overlap(a: Column, b: Column) -> Column:
+    """Least overlap of sets of sizes a and b at similarity T: ceil(T/(1+T) (a+b))."""
+    return F.ceil((T_NUM * (a + b)) / (T_NUM + T_DEN))
+
+
+def _possible(na: Column, ia: Column, nb: Column, ib: Column) -> Column:
+    """Length and positional filter for a token at places ia, ib (from 0)."""
+    return ((T_DEN * F.least(na, nb) >= T_NUM * F.greatest(na, nb))
+            & (1 + F.least(ia, ib) + F.least(na - ia - 1, nb - ib - 1) >= _overlap(na, nb)))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The candidate pairs ``x, y`` (line numbers) of similarity T or more."""
+    a = sets.select(F.col("line").alias("x"), F.col("tokens").alias("tx"))
+    b = sets.select(F.col("line").alias("y"), F.col("tokens").alias("ty"))
+    both = F.size(F.array_intersect("tx", "ty"))
+    return (pairs.join(a, "x").join(b, "y")
+            .where(T_DEN * both >= T_NUM * (F.size("tx") + F.size("ty") - both)).select("x", "y"))
+
+
+def similar_lines(docs: DataFrame, lines: DataFrame, first: DataFrame) -> DataFrame:
+    """``k1, k2`` of the distinct lines that have a similar line before them.
+
+    ``first`` has ``k1, k2, place`` of all distinct lines, ``place`` sortable.
+    """
+    rare = _rarity_literal(_rarity(lines))
+    tokens = lines.select(F.explode(_shingles(F.col("line"))).alias("t"))
+    return tokens.groupBy(F.col("t").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int").alias("bucket")).agg(
         F.least(F.lit(63), F.floor(4 * F.log2(F.count("*")))).cast("long").alias("class"))
 
 
 def _rarity_literal(rarity: DataFrame) -> Column:
-    """The classes of all buckets as one binary constant, a printable byte each."""
-    classes = bytearray([32]) * RARITY_BUCKETS
+    """The classes of all buckets as one constant array."""
+    classes = ["0"] * RARITY_BUCKETS
     for r in rarity.collect():  # RARITY_BUCKETS rows at most
-        classes[r["bucket"]] = 32 + r["class"]
-    return F.lit(classes)
+        classes[r["bucket"]] = str(r["class"])
+    return F.split(F.lit(",".join(classes)), ",").cast("array<bigint>")
 
 
-def _tokens(words: Column, rarity: Column) -> Column:
-    """Token numbers of a line, rarest first."""
+def _tokens(line: Column, rarity: Column) -> Column:
+    """Distinct token numbers of a line, rarest first."""
     def number(t: Column) -> Column:
-        at = F.pmod(t, F.lit(RARITY_BUCKETS)).cast("int") + 1
-        rank = F.ascii(F.substring(rarity, at, 1).cast("string")).cast("long") - 32
+        rank = F.get(rarity, t.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int"))
         return F.shiftleft(rank, HASH_BITS).bitwiseOR(t.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
-    return F.sort_array(F.transform(_shingles(words), number))
+    return F.sort_array(F.array_distinct(F.transform(_shingles(line), number)))
 
 
 def _overlap(a: Column, b: Column) -> Column:
@@ -119,10 +172,11 @@ def similar_lines(docs: DataFrame, lines: DataFrame, first: DataFrame) -> DataFr
     ``first`` has ``k1, k2, place`` of all distinct lines, ``place`` sortable.
     """
     rare = _rarity_literal(_rarity(lines))
-    tokens = lines.where(F.size("words") >= SHINGLE).select("k1", "k2", _tokens(F.col("words"), rare).alias("tokens"))
+    tokens = lines.select("k1", "k2", _tokens(F.col("line"), rare).alias("tokens"))
     n = F.size("tokens")
     size = (n - F.ceil(T_NUM * n / T_DEN) + 1).cast("int")
-    prefix = tokens.select("k1", "k2", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), size)).alias("i", "token"))
+    prefix = written(tokens.select("k1", "k2", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), size))
+                                   .alias("i", "token")), "prefix-tokens")
     shared = written(prefix.groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
                      .where("a <> b").select("token"), "shared-tokens")
     places = (prefix.where(in_bit_set(bit_set(shared, "token"), "token")).join(shared, "token")
@@ -132,7 +186,8 @@ def similar_lines(docs: DataFrame, lines: DataFrame, first: DataFrame) -> DataFr
                      "line-prefixes")
     known = places.select("k1", "k2", "line").distinct()
     involved = bit_set(known.select("k1"), "k1")
-    sets = written(tokens.where(in_bit_set(involved, "k1")).join(known, ["k1", "k2"])
+    some = lines.where(in_bit_set(involved, "k1")).select("k1", "k2", _tokens(F.col("line"), rare).alias("tokens"))
+    sets = written(some.join(known, ["k1", "k2"])
                    .groupBy("line").agg(F.first("tokens").alias("tokens")), "line-tokens")
 
     open_, found, earlier = places, None, None
@@ -165,7 +220,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     sorted numbers of the lines that go, from 0; documents without any are absent."""
     lines = _lines(docs)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "pos")
-    every = lines.select("k1", "k2", place.alias("place"))
+    every = written(lines.select("k1", "k2", place.alias("place")), "line-places")
     first = written(every.groupBy("k1", "k2").agg(F.min("place").alias("place"), F.max("place").alias("last")), "lines")
     similar = written(similar_lines(docs, lines, first.drop("last")), "similar-lines")
     # lines that occur more than once, or go altogether
@@ -190,7 +245,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     joined = keyed.join(removed, _same(F.col("doc_id"), F.col(r_id)) & (F.col(digest) == F.col(r_digest)), "left")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(gone), i))
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = joined.withColumn(left, text).where(F.col(gone).isNull() | F.col(left).rlike(NOT_BLANK))
+    out = joined.withColumn(left, text).where(F.col(gone).isNull() | F.col(left).rlike(A_WORD))
     new = {"text": F.col(left)}
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
@@ -204,25 +259,24 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     removed = removed_lines(docs)
     own = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.size(F.filter(
-        F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(NOT_BLANK))).cast("long").alias("n_lines"))
+        F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(A_WORD))).cast("long").alias("n_lines"))
     r = removed.select(F.col("doc_id").alias("r_id"), F.col("digest").alias("r_digest"), "removed")
     gone = F.coalesce("removed", F.array().cast("array<int>"))
     return own.join(r, _same(F.col("doc_id"), F.col("r_id")) & (F.col("digest") == F.col("r_digest")), "left").select(
         "doc_id", "n_lines", F.size(gone).cast("long").alias("n_removed"), F.array_join(gone, ",").alias("removed_lines"))
 
 
-_LOW = "translate(%s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_SPLIT = r"list_filter(regexp_split_to_array(%s, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_SPLIT = r"list_filter(regexp_split_to_array(%s, '[ \t\r]+'), lambda x: x <> '')"
 
 OP1_SQL = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
-l AS MATERIALIZED (SELECT k, doc_id, md5(text) AS digest, pos, {_SPLIT % (_LOW % 'line')} AS w FROM (
+l AS MATERIALIZED (SELECT k, doc_id, md5(text) AS digest, pos, {_SPLIT % 'lower(line)'} AS w FROM (
   SELECT k, doc_id, text, unnest(range(0, len(ls))) AS pos, unnest(ls) AS line FROM d)),
 o AS MATERIALIZED (SELECT *, array_to_string(w, ' ') AS s FROM l WHERE len(w) > 0),
 u AS MATERIALIZED (SELECT s, row_number() OVER (ORDER BY f) AS id, f FROM (
   SELECT s, min({{'n': doc_id IS NULL, 'd': doc_id, 'g': digest, 'p': pos}}) AS f FROM o GROUP BY s)),
 t AS MATERIALIZED (SELECT DISTINCT id, array_to_string(w[i:i + {SHINGLE - 1}], ' ') AS t FROM (
-  SELECT id, w, unnest(range(1, len(w) - {SHINGLE - 2})) AS i FROM (SELECT DISTINCT id, w FROM u JOIN o USING (s)) WHERE len(w) >= {SHINGLE})),
+  SELECT id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)) AS i FROM (SELECT DISTINCT id, w FROM u JOIN o USING (s)))),
 n AS (SELECT id, count(*) AS n FROM t GROUP BY id),
 p AS (SELECT a.id AS x, b.id AS y, count(*) AS c FROM t a JOIN t b ON a.t = b.t AND a.id > b.id GROUP BY 1, 2),
 g AS (SELECT DISTINCT x FROM p JOIN n a ON a.id = x JOIN n b ON b.id = y WHERE {T_DEN} * c >= {T_NUM} * (a.n + b.n - c)),
