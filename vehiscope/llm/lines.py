@@ -118,55 +118,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .where(T_DEN * both >= T_NUM * (F.size("tx") + F.size("ty") - both)).select("x", "y"))
 
 
-def similar_lines(docs: DataFrame, lines: DataFrame, first: DataFrame) -> DataFrame:
-    """``k1, k2`` of the distinct lines that have a similar line before them.
-
-    ``first`` has ``k1, k2, place`` of all distinct lines, ``place`` sortable.
-    """
-    rare = _rarity_literal(_rarity(lines))
-    tokens = lines.select(F.explode(_shingles(F.col("line"))).alias("t"))
-    return tokens.groupBy(F.col("t").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int").alias("bucket")).agg(
-        F.least(F.lit(63), F.floor(4 * F.log2(F.count("*")))).cast("long").alias("class"))
-
-
-def _rarity_literal(rarity: DataFrame) -> Column:
-    """The classes of all buckets as one constant array."""
-    classes = ["0"] * RARITY_BUCKETS
-    for r in rarity.collect():  # RARITY_BUCKETS rows at most
-        classes[r["bucket"]] = str(r["class"])
-    return F.split(F.lit(",".join(classes)), ",").cast("array<bigint>")
-
-
-def _tokens(line: Column, rarity: Column) -> Column:
-    """Distinct token numbers of a line, rarest first."""
-    def number(t: Column) -> Column:
-        rank = F.get(rarity, t.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int"))
-        return F.shiftleft(rank, HASH_BITS).bitwiseOR(t.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
-
-    return F.sort_array(F.array_distinct(F.transform(_shingles(line), number)))
-
-
-def _overlap(a: Column, b: Column) -> Column:
-    """Least overlap of sets of sizes a and b at similarity T: ceil(T/(1+T) (a+b))."""
-    return F.ceil((T_NUM * (a + b)) / (T_NUM + T_DEN))
-
-
-def _possible(na: Column, ia: Column, nb: Column, ib: Column) -> Column:
-    """Length and positional filter for a token at places ia, ib (from 0)."""
-    return ((T_DEN * F.least(na, nb) >= T_NUM * F.greatest(na, nb))
-            & (1 + F.least(ia, ib) + F.least(na - ia - 1, nb - ib - 1) >= _overlap(na, nb)))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The candidate pairs ``x, y`` (line numbers) of similarity T or more."""
-    a = sets.select(F.col("line").alias("x"), F.col("tokens").alias("tx"))
-    b = sets.select(F.col("line").alias("y"), F.col("tokens").alias("ty"))
-    both = F.size(F.array_intersect("tx", "ty"))
-    return (pairs.join(a, "x").join(b, "y")
-            .where(T_DEN * both >= T_NUM * (F.size("tx") + F.size("ty") - both)).select("x", "y"))
-
-
-def similar_lines(docs: DataFrame, lines: DataFrame, first: DataFrame) -> DataFrame:
+def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
     """``k1, k2`` of the distinct lines that have a similar line before them.
 
     ``first`` has ``k1, k2, place`` of all distinct lines, ``place`` sortable.
@@ -222,7 +174,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "pos")
     every = written(lines.select("k1", "k2", place.alias("place")), "line-places")
     first = written(every.groupBy("k1", "k2").agg(F.min("place").alias("place"), F.max("place").alias("last")), "lines")
-    similar = written(similar_lines(docs, lines, first.drop("last")), "similar-lines")
+    similar = written(similar_lines(lines, first.drop("last")), "similar-lines")
     # lines that occur more than once, or go altogether
     marked = written(first.join(similar.withColumn("goes", F.lit(True)), ["k1", "k2"], "left")
                      .where("goes or place <> last").select("k1", "k2", F.col("place").alias("kept"), "goes"),
