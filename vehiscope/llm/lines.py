@@ -43,7 +43,7 @@ T_NUM, T_DEN = 4, 5
 RARITY_BUCKETS = 1 << 15
 #: The rarity class is in the bits above the hash.
 HASH_BITS = 57
-ROUNDS = 2
+ROUNDS = 1
 
 
 def _docs(docs: DataFrame) -> DataFrame:
@@ -94,8 +94,16 @@ def _tokens(line: Column, rarity: Column) -> Column:
         rank = F.get(rarity, t.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int"))
         return F.shiftleft(rank, HASH_BITS).bitwiseOR(t.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
-    grams = F.transform(F.array(_words(line)), lambda w: F.transform(_starts(w), lambda i: _gram(w, i)))[0]
-    return F.sort_array(F.array_distinct(F.transform(grams, number)))
+    return F.sort_array(F.array_distinct(F.transform(_grams(line), number)))
+
+
+def _grams(line: Column) -> Column:
+    return F.transform(F.array(_words(line)), lambda w: F.transform(_starts(w), lambda i: _gram(w, i)))[0]
+
+
+def _set(line: Column) -> Column:
+    """The set of a line's shingle hashes."""
+    return F.array_distinct(_grams(line))
 
 
 def _overlap(a: Column, b: Column) -> Column:
@@ -109,13 +117,17 @@ def _possible(na: Column, ia: Column, nb: Column, ib: Column) -> Column:
             & (1 + F.least(ia, ib) + F.least(na - ia - 1, nb - ib - 1) >= _overlap(na, nb)))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The candidate pairs ``x, y`` (line numbers) of similarity T or more."""
-    a = sets.select(F.col("line").alias("x"), F.col("tokens").alias("tx"))
-    b = sets.select(F.col("line").alias("y"), F.col("tokens").alias("ty"))
-    both = F.size(F.array_intersect("tx", "ty"))
-    return (pairs.join(a, "x").join(b, "y")
-            .where(T_DEN * both >= T_NUM * (F.size("tx") + F.size("ty") - both)).select("x", "y"))
+    a = texts.select(F.col("line").alias("x"), F.col("text").alias("tx"))
+    b = texts.select(F.col("line").alias("y"), F.col("text").alias("ty"))
+    sets = F.struct(_set(F.col("tx")).alias("a"), _set(F.col("ty")).alias("b"))
+
+    def similar(s: Column) -> Column:
+        both = F.size(F.array_intersect(s["a"], s["b"]))
+        return T_DEN * both >= T_NUM * (F.size(s["a"]) + F.size(s["b"]) - both)
+
+    return pairs.join(a, "x").join(b, "y").where(F.transform(F.array(sets), similar)[0]).select("x", "y")
 
 
 def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
@@ -138,9 +150,10 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
                      "line-prefixes")
     known = places.select("k1", "k2", "line").distinct()
     involved = bit_set(known.select("k1"), "k1")
-    some = lines.where(in_bit_set(involved, "k1")).select("k1", "k2", _tokens(F.col("line"), rare).alias("tokens"))
-    sets = written(some.join(known, ["k1", "k2"])
-                   .groupBy("line").agg(F.first("tokens").alias("tokens")), "line-tokens")
+    # the texts of these lines, each once: shorter to move than their tokens
+    some = lines.where(in_bit_set(involved, "k1")).select("k1", "k2", F.col("line").alias("text"))
+    texts = written(some.join(known.withColumnRenamed("line", "place"), ["k1", "k2"])
+                    .groupBy(F.col("place").alias("line")).agg(F.first("text").alias("text")), "line-texts")
 
     open_, found, earlier = places, None, None
     for r in range(ROUNDS):
@@ -151,7 +164,7 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
         pairs = (open_.join(lead, "token").where(F.col("line") > F.col("y.line"))
                  .where(_possible(F.col("n"), F.col("i"), F.col("y.n"), F.col("y.i")))
                  .select(F.col("line").alias("x"), F.col("y.line").alias("y")).distinct())
-        hits = written(_verified(pairs, sets).select(F.col("x").alias("line")).distinct(), f"similar-lines-{r}")
+        hits = written(_verified(pairs, texts).select(F.col("x").alias("line")).distinct(), f"similar-lines-{r}")
         found = hits if found is None else found.unionByName(hits)
         earlier = lead.select("token", F.col("y.line").alias("last"))
         # open: the lines not settled that still have other lines before them
@@ -163,7 +176,7 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
     pairs = (open_.join(others, "token").where("line > y")
              .where(_possible(F.col("n"), F.col("i"), F.col("ny"), F.col("iy")))
              .select(F.col("line").alias("x"), "y").distinct())
-    found = found.unionByName(_verified(pairs, sets).select(F.col("x").alias("line")))
+    found = found.unionByName(_verified(pairs, texts).select(F.col("x").alias("line")))
     return known.join(found.distinct(), "line").select("k1", "k2")
 
 
