@@ -280,10 +280,54 @@ def test_hot_keys_bound_and_salted_join_equals_plain_join(spark):
     rows = [(1, i) for i in range(60)] + [(k, k) for k in range(2, 42)]  # key 1 holds 60%
     df = spark.createDataFrame(rows, "k int, v int")
     counts = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    hot = hot_keys(counts, ["k"], "n", partitions=4)
+    assert hot_keys(counts, ["k"], "n", partitions=4).count() == 0  # 60 rows are not five shares of 25
+    hot = hot_keys(counts, ["k"], "n", partitions=16)
     got = [(r.k, r._vs_b) for r in hot.collect()]
-    assert got == [(1, 3)]  # ceil(60 * 4 / 100) buckets; fewer than 4 hot keys possible
+    assert got == [(1, 10)]  # ceil(60 * 16 / 100) buckets; fewer than 16 / 5 hot keys possible
     right = counts.withColumn("x", F.col("k") * 10)
     salted = skew_safe_join(df, right.drop("n"), ["k"], hot, "left")
     plain = df.join(right.drop("n"), ["k"], "left")
     assert sorted(tuple(r) for r in salted.collect()) == sorted(tuple(r) for r in plain.collect())
+
+
+def test_identical_rows_of_a_duplicate_group_come_apart_after_the_join(spark):
+    from vehiscope.operators.dedupe import flag_duplicates
+    rows = [(1, "x")] * 70_000 + [(1, "y"), (2, "z"), (None, "n"), (None, "n")]
+    df = spark.createDataFrame(rows, "k int, v string")
+    out = flag_duplicates(df, ["k"])
+    got = {(r.k, r.v): (r.n, r.dup_count) for r in out.groupBy("k", "v", "dup_count").agg(F.count("*").alias("n")).collect()}
+    assert got == {(1, "x"): (70_000, 70_001), (1, "y"): (1, 70_001), (None, "n"): (2, 2)}
+
+
+def test_scratch_folder_must_be_shared_on_a_cluster():
+    from vehiscope import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_scratch_folders_differ_between_calls(spark):
+    from vehiscope.session import shared_path
+    assert shared_path(spark, "a") != shared_path(spark, "a")
+
+
+def test_audit_needs_an_order_beyond_the_key(spark):
+    df = spark.createDataFrame([(1, "a", "20200101", "2020", 1)], "ODINO long, MAKETXT string, DATEA string, YEARTXT string, MILEAGE long")
+    with pytest.raises(ValueError, match="arbitrary"):
+        P.complaint_audit(df, AS_OF, ["ODINO"])

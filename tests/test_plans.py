@@ -1,4 +1,5 @@
 """Physical-plan properties that matter at scale (checked on sf0.001)."""
+from vehiscope.operators import filters as C
 from vehiscope.plans.pipeline import Tables
 
 SF = "/root/testdata/sf0.001"
@@ -14,10 +15,10 @@ def plan(df) -> str:
 
 def test_keep_first_limits_before_shuffle(spark):
     p = plan(Tables(spark, SF).vehicles)
-    part = p.index("WindowGroupLimit")
-    assert "Partial" in p and "Final" in p
-    assert p.index("Exchange") < p.rindex("WindowGroupLimit")
-    assert part >= 0
+    final, exchange = p.index("WindowGroupLimit"), p.index("Exchange")
+    partial = p.rindex("WindowGroupLimit")
+    assert final < exchange < partial
+    assert ", Final" in p[final:exchange].split("\n")[0] and ", Partial" in p[partial:].split("\n")[0]
 
 
 def test_station_sides_broadcast(spark):
@@ -32,9 +33,19 @@ def test_scan_reads_only_needed_columns(spark):
         assert unused not in p
 
 
-def test_filters_reach_the_scan(spark):
-    p = plan(Tables(spark, SF).stations)
-    assert "PushedFilters: [IsNotNull(c_nationkey)" in p or "PushedFilters" in p
+def test_null_keeping_filters_reach_the_scan(spark, tmp_out):
+    df = spark.createDataFrame([(1, 2.0, None)], "y int, m double, d date")
+    df.write.parquet(tmp_out + "/t")
+    t = spark.read.parquet(tmp_out + "/t")
+    assert "PushedFilters: [Or(IsNull(y),LessThanOrEqual(y,2025))]" in plan(C.not_after_year(t, "y", "2025-03-31", True))
+    assert "PushedFilters: [Or(IsNull(m),LessThanOrEqual(m,1000000.0))]" in plan(C.cap(t, "m", 1000000.0))
+    assert "PushedFilters: [Or(IsNull(d),LessThanOrEqual(d,2025-03-31))]" in plan(C.not_after(t, "d", "2025-03-31"))
+
+
+def test_audit_plans_no_sort_aggregate(spark):
+    t = Tables(spark, SF)
+    from vehiscope.plans import cleaning as P
+    assert "SortAggregate" not in plan(P.complaint_audit(t.raw_complaints))
 
 
 def test_cluster_conf_sizes_partitions():

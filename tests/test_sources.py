@@ -56,6 +56,31 @@ def test_s4_json_unnest_and_missing_field(spark, tmp_out):
     assert RD.read_station_json(spark, q, schema=None).count() == 0
 
 
+def test_headers_are_matched_by_name_and_bad_rows_set_aside(spark, tmp_out):
+    folder = os.path.join(tmp_out, "veh")
+    os.makedirs(folder)
+    _write(os.path.join(folder, "a.csv"), "id,year,make\n1,2020,Ford\n2,2021\n3,2021,\"Two\nlines\"\n")
+    _write(os.path.join(folder, "b.csv"), "make,id,year\nKia,4,2019\nVW,5,2018,extra\n")
+    got = {r.id: (r.year, r.make) for r in RD.read_vehicles(spark, folder).collect()}
+    assert got == {1: (2020, "Ford"), 3: (2021, "Two\nlines"), 4: (2019, "Kia")}
+    bad = {os.path.basename(r.file): (r.record, r.reason) for r in RD.malformed_rows(spark, folder).collect()}
+    assert {k: v[0] for k, v in bad.items()} == {"a.csv": "2,2021", "b.csv": "VW,5,2018,extra"}
+
+
+def test_complaint_rows_of_another_width_are_set_aside(spark, tmp_out):
+    good = "\t".join(str(i) for i in range(49))
+    path = _write(os.path.join(tmp_out, "c.tsv"), "\n".join([good, "\t".join("x" * 10), good, "\t".join(["y"] * 52)]) + "\n")
+    assert RD.read_complaints(spark, path).count() == 2
+    assert RD.malformed_rows(spark, path, "\t", header=False, width=49).count() == 2
+
+
+def test_station_documents_without_the_field_are_reported(spark, tmp_out, caplog):
+    path = _write(os.path.join(tmp_out, "d.json"), '{"other": 1}\n{"fuel_stations": [{"id": 1}, {"id": 2}, {"id": 3}]}\n')
+    with caplog.at_level("WARNING"):
+        assert RD.read_station_json(spark, path, multi_line=False).count() == 3
+    assert "no fuel_stations" in caplog.text
+
+
 def test_s6_s7_s9_write_read_and_compare(spark, tmp_out):
     df = spark.range(2000).selectExpr("id", "id % 7 AS k", "repeat('x', 20) AS s")
     paths = SK.write_layers({"a": df, "b": df.filter("k = 0")}, os.path.join(tmp_out, "layer"))
@@ -71,8 +96,11 @@ def test_l1_to_l4_publish_compact_and_partial_failure(spark, tmp_out):
     src = SK.write_layer(df, os.path.join(tmp_out, "src"))
     SK.publish_table(df, "vs_t_l1", path=os.path.join(tmp_out, "tbl"))
     SK.analyze_table(spark, "vs_t_l1")
-    SK.compact_table(spark, "vs_t_l1", 1)
-    assert spark.table("vs_t_l1").count() == 100
+    size = sum(os.path.getsize(f.removeprefix("file:")) for f in spark.table("vs_t_l1").inputFiles())
+    assert SK.compact_table(spark, "vs_t_l1", os.path.join(tmp_out, "tbl"), size // 2 + 1) == 2
+    spark.catalog.refreshTable("vs_t_l1")
+    assert spark.table("vs_t_l1").count() == 100 and len(spark.table("vs_t_l1").inputFiles()) == 2
+    assert SK.files_for(0) == 1 and SK.files_for(1 << 40) == 4096
     out = SK.load_all(spark, {"vs_ok": src, "vs_missing": os.path.join(tmp_out, "nope")},
                       location=os.path.join(tmp_out, "wh")).collect()
     res = {r.dataset: (r.ok, r.rows, r.status) for r in out}

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ratio_zero_as_one, round_even
@@ -172,17 +172,47 @@ def value_counts(df: DataFrame, col: str, k: int | None = None, by: str = "count
 
 
 # A16 ---------------------------------------------------------------------
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
+                    splits: int = 256) -> list[float | None]:
+    """Exact, linearly interpolated quantiles without a task that holds all
+    values: a fixed-size sketch cuts the range into ``splits`` parts, a partial
+    aggregate counts each part (``splits`` rows reach the driver), and only the
+    parts that hold a wanted rank are numbered, by distinct value. None if the
+    column holds no value."""
+    vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    cuts = vals.agg(F.percentile_approx("v", [i / splits for i in range(1, splits)], 10000)).first()[0]
+    if not cuts:
+        return [None] * len(probs)
+    bounds = F.array(*[F.lit(float(x)) for x in sorted(set(cuts))])
+    part = F.size(F.filter(bounds, lambda b: b < F.col("v")))
+    counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("part", part)
+    sizes = sorted((r["part"], r["n"]) for r in counts.groupBy("part").agg(F.sum("n").alias("n")).collect())
+    total = sum(n for _, n in sizes)
+    at = [p * (total - 1) for p in probs]
+    ranks = sorted({int(x) for x in at} | {min(int(x) + 1, total - 1) for x in at})
+    start, wanted = 0, {}
+    for p, n in sizes:
+        wanted |= {r: (p, start) for r in ranks if start <= r < start + n}
+        start += n
+    starts = dict(wanted.values())
+    upto = Window.partitionBy("part").orderBy("v")
+    low = F.create_map(*[F.lit(x) for kv in starts.items() for x in kv])
+    ends = (counts.filter(F.col("part").isin(list(starts)))
+            .withColumn("end", F.sum("n").over(upto) + low[F.col("part")]))
+    hit = F.filter(F.array(*[F.lit(r) for r in ranks]), lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("n")))
+    found = {r["rank"]: r["v"] for r in ends.select("v", F.explode(hit).alias("rank")).collect()}
+    return [found[int(x)] + (x - int(x)) * (found[min(int(x) + 1, total - 1)] - found[int(x)]) for x in at]
+
+
 def profile_numeric(df: DataFrame, col: str, approx: bool = False, places: int = 9) -> DataFrame:
     """Mean, median, min, max and sample standard deviation.
 
-    The exact median keeps a count per distinct value (partial-aggregated),
-    so memory follows the number of distinct values; ``approx=True`` switches
-    to ``percentile_approx`` for high-cardinality columns. The standard
-    deviation is rounded half-even to ``places`` decimals so the result does
-    not depend on float summation order.
+    The median is exact (``exact_quantiles``); ``approx=True`` switches to
+    ``percentile_approx``. The standard deviation is rounded half-even to
+    ``places`` decimals so the result does not depend on float summation order.
     """
     med = (F.percentile_approx(col, 0.5, 100000).cast("double") if approx
-           else F.median(col))
+           else F.lit(exact_quantiles(df, col, [0.5])[0]).cast("double"))
     return df.agg(F.avg(col).alias("mean"), med.alias("median"),
                   F.min(col).alias("min"), F.max(col).alias("max"),
                   round_even(F.stddev_samp(col), places).alias("std"))

@@ -65,5 +65,18 @@ def attach_group_count(df: DataFrame, keys: Sequence[str], name: str,
 
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], name: str = "dup_count") -> DataFrame:
-    """K6: every member of a duplicate group (``keep=False``) with the group size."""
-    return attach_group_count(df, keys, name).filter(F.col(name) > 1)
+    """K6: every member of a duplicate group (``keep=False``) with the group size.
+
+    Identical rows are counted first (a partial aggregate) and come apart again
+    after the join, so a group of identical rows is never one task's load."""
+    once = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_vs_times"))
+    counts = once.groupBy(*keys).agg(F.sum("_vs_times").alias(name))
+    hot = hot_keys(once.groupBy(*keys).agg(F.count(F.lit(1)).alias("_vs_n")), keys, "_vs_n")
+    found = skew_safe_join(once, counts, keys, hot, "left", null_safe=True).filter(F.col(name) > 1)
+    # two steps keep the arrays short for a row repeated very often
+    step = F.lit(65_536).cast("bigint")
+    first = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_vs_times"), step))
+    found = found.withColumn("_vs_from", first)
+    upto = F.least(F.col("_vs_from") + step - 1, F.col("_vs_times"))
+    return (found.withColumn("_vs_i", F.explode(F.sequence("_vs_from", upto)))
+            .drop("_vs_times", "_vs_from", "_vs_i"))

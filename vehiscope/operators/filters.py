@@ -2,8 +2,8 @@
 
 Every predicate is written two-valued on purpose: the reference's pandas
 predicates never yield "unknown", so each one states what a null does
-(trap T1). Plain comparisons are used where Catalyst can push them into the
-Parquet scan (C1, C6, C9, C10, C12).
+(trap T1). They are plain comparisons and null tests, which Catalyst pushes into
+the Parquet scan when the column is stored (C1, C6-C10, C12).
 """
 
 from __future__ import annotations
@@ -39,24 +39,21 @@ def cap_unless_pred(col: str, cap_value, text_col: str, needle: str) -> Column:
     return F.coalesce(F.col(col) <= F.lit(cap_value), F.lit(False)) | icontains(text_col, needle)
 
 
-def _keep_null(p: Column, keep_null: bool) -> Column:
-    """``col IS NULL OR p`` written as ``coalesce(p, true)``: the same truth
-    table, but the (possibly derived) column appears once, so the expression
-    is not evaluated twice after Catalyst inlines it into the filter."""
-    return F.coalesce(p, F.lit(True)) if keep_null else p
+def _keep_null(col: str, p: Column, keep_null: bool) -> Column:
+    """``col IS NULL OR p``: a form that Catalyst pushes into the Parquet scan."""
+    return F.col(col).isNull() | p if keep_null else p
 
 
 def not_after_year_pred(col: str, as_of, keep_null: bool) -> Column:
-    y = _as_date(as_of).year
-    return _keep_null(F.col(col) <= F.lit(y), keep_null)
+    return _keep_null(col, F.col(col) <= F.lit(_as_date(as_of).year), keep_null)
 
 
 def not_after_pred(col: str, as_of, keep_null: bool = True) -> Column:
-    return _keep_null(F.col(col) <= F.lit(_as_date(as_of)), keep_null)
+    return _keep_null(col, F.col(col) <= F.lit(_as_date(as_of)), keep_null)
 
 
 def cap_pred(col: str, hi, keep_null: bool = True) -> Column:
-    return _keep_null(F.col(col) <= F.lit(hi), keep_null)
+    return _keep_null(col, F.col(col) <= F.lit(hi), keep_null)
 
 
 def bbox_pred(lat: str, lon: str, box=K.STATION_BBOX) -> Column:

@@ -5,9 +5,9 @@ the built side is small, sort-merge otherwise). J1's right side is an
 aggregate on the join key, so AQE cannot split a hot key there; hot keys are
 salted instead (``operators.skew``).
 An explicit broadcast is opt-in (``broadcast_right``) and used by the jobs
-only for the station-by-fuel sides, whose size is bounded by construction:
-they are grouped by fuel code after the membership filter C12, so they have
-at most ``len(ALT_FUEL_CODES)`` rows whatever the data volume.
+only for the station-by-fuel sides, whose size is bounded by construction: the
+jobs restrict the stations to the fuel codes of the mapping before they are
+grouped by code, so these sides have at most one row per mapped code.
 """
 
 from __future__ import annotations

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 
 def _tb(tie_break: Sequence) -> list[Column]:
+    if not tie_break:
+        raise ValueError("a tie_break is needed: equal values would come in any order")
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in tie_break]
 
 

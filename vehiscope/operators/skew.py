@@ -5,13 +5,16 @@ partitions the join, so AQE's skew-join splitting cannot apply and a key that
 holds a third of the rows would be joined in one task. Here only the hot keys
 are salted:
 
-* a key is hot when it holds more than ``total / P`` rows (``P`` = shuffle
-  partitions); fewer than ``P`` keys can be hot, so the hot-key table is
-  broadcast with a proven size bound;
+* a key is hot when it holds more than ``HOT_FACTOR`` times the mean share
+  ``total / P`` (``P`` = shuffle partitions), as in AQE; fewer than
+  ``P / HOT_FACTOR`` keys can be hot, so the hot-key table is broadcast with a
+  proven bound (at 100,000 partitions under 20,000 keys, a few MB);
 * a hot key's left rows are spread over ``ceil(n * P / total)`` buckets by a
   deterministic row hash (stable under task retries) and its right row is
   replicated once per bucket, so every bucket is about one partition's share;
-  the replication adds at most ``2 * P`` right rows in total;
+  the replication adds at most ``2 * P`` right rows in total. Rows that agree
+  in every column share a bucket, so callers with many identical rows collapse
+  them first (`dedupe.flag_duplicates`);
 * all other keys keep bucket 0, i.e. a plain equi-join.
 """
 
@@ -22,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+HOT_FACTOR = 5
+
 
 def _cond(left: DataFrame, right: DataFrame, lk: Sequence[str], rk: Sequence[str],
           null_safe: bool) -> Column:
@@ -35,12 +40,13 @@ def _cond(left: DataFrame, right: DataFrame, lk: Sequence[str], rk: Sequence[str
 def hot_keys(counts: DataFrame, keys: Sequence[str], n_col: str,
              partitions: int | None = None) -> DataFrame:
     """(keys, buckets) of the keys holding more than ``total / partitions``
-    rows; the total is an uncorrelated scalar subquery."""
+    times
+    HOT_FACTOR rows; the total is an uncorrelated scalar subquery."""
     spark = counts.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = counts.agg(F.sum(n_col)).scalar()
     buckets = F.least(F.ceil(F.col(n_col) * p / total), F.lit(p)).cast("int")
-    return counts.filter(F.col(n_col) * p > total).select(*keys, buckets.alias("_vs_b"))
+    return counts.filter(F.col(n_col) * p > HOT_FACTOR * total).select(*keys, buckets.alias("_vs_b"))
 
 
 def skew_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: DataFrame,

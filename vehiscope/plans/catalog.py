@@ -12,6 +12,7 @@ the reference's.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -874,9 +875,40 @@ def _d7(t):
                        D.station_checks(t.stations))
 
 
-@q("D9", """SELECT 'vehicles' AS source, count(*) AS rows, 16 AS columns FROM raw_vehicles
-  UNION ALL SELECT 'complaints', count(*), 18 FROM raw_complaints
-  UNION ALL SELECT 'stations', count(*), 8 FROM raw_stations""")
+def _typed(cols):
+    return ", ".join(f"{c} {t}" for c, t in cols)
+
+
+_D9_TYPES = {
+    "raw_vehicles": _typed([("id", "bigint"), ("year", "int"), ("make", "string"), ("model", "string"), ("VClass", "string"),
+                            ("drive", "string"), ("trany", "string"), ("cylinders", "double"), ("displ", "double"),
+                            ("fuelType", "string"), ("fuelType1", "string"), ("fuelType2", "string"), ("city08", "int"),
+                            ("highway08", "int"), ("comb08", "int"), ("co2TailpipeGpm", "double")]),
+    "raw_complaints": _typed([("ODINO", "bigint"), ("CMPLID", "bigint"), ("MFGTXT", "string"), ("MAKETXT", "string"),
+                              ("MODELTXT", "string"), ("YEARTXT", "string"), ("CRASH", "string"), ("DATEA", "string"),
+                              ("FIRE", "string"), ("INJURED", "int"), ("DEATHS", "int"), ("COMPDESC", "string"),
+                              ("VIN", "string"), ("MILEAGE", "bigint"), ("l_linenumber", "int"), ("l_partkey", "bigint"),
+                              ("l_suppkey", "bigint"), ("l_extendedprice", "double")]),
+    "raw_stations": _typed([("id", "bigint"), ("fuel_type_code", "string"), ("station_name", "string"), ("state", "string"),
+                            ("latitude", "double"), ("longitude", "double"), ("status_code", "string"),
+                            ("access_code", "string")])}
+
+
+@q("D8", """SELECT unnest(['year', 'comb08', 'city08', 'highway08', 'cylinders', 'displ']) AS "column",
+  unnest(['int', 'int', 'int', 'int', 'double', 'double']) AS type, true AS is_numeric,
+  unnest([count(year), count(comb08), count(city08), count(highway08), count(cylinders), count(displ)]) AS non_null
+  FROM clean_vehicles""")
+def _d8(t):
+    """Type and filled rows of the numeric columns."""
+    return D.numeric_check(t.vehicles, ["year", "comb08", "city08", "highway08", "cylinders", "displ"])
+
+
+_D9 = f"""SELECT 'vehicles' AS source, count(*) AS rows, 16 AS columns, '{_D9_TYPES["raw_vehicles"]}' AS dtypes FROM raw_vehicles
+  UNION ALL SELECT 'complaints', count(*), 18, '{_D9_TYPES["raw_complaints"]}' FROM raw_complaints
+  UNION ALL SELECT 'stations', count(*), 8, '{_D9_TYPES["raw_stations"]}' FROM raw_stations"""
+
+
+@q("D9", f"{_D9} UNION ALL SELECT 'total', CAST(sum(rows) AS BIGINT), CAST(sum(columns) AS INTEGER), '' FROM ({_D9})")
 def _d9(t):
     return D.source_profile({"vehicles": t.raw_vehicles, "complaints": t.raw_complaints,
                              "stations": t.raw_stations})
@@ -950,6 +982,17 @@ def _x8(t):
     return X.fuel_trend(t.infra)
 
 
+@q("X8_stations", """SELECT fuel_type_code, CAST(open_year AS INTEGER) AS open_year, opened,
+  CAST(sum(opened) OVER (PARTITION BY fuel_type_code ORDER BY open_year) AS BIGINT) AS stations_to_date FROM (
+  SELECT fuel_type_code, year(DATE '1995-01-01' + CAST(id % 10950 AS INTEGER)) AS open_year, count(*) AS opened
+  FROM clean_stations WHERE fuel_type_code IS NOT NULL AND id % 31 <> 0 GROUP BY ALL)""")
+def _x8c(t):
+    """Station counts by year of opening; the bound source has no opening
+    date, so one is derived from the station's id (null for every 31st)."""
+    day = F.expr("CASE WHEN id % 31 <> 0 THEN date_add(DATE '1995-01-01', CAST(id % 10950 AS INT)) END")
+    return X.stations_by_open_year(t.stations.withColumn("open_date", day))
+
+
 @q("X8_rank", """SELECT fuel_type_code, avg_combined_mpg,
   CAST(dense_rank() OVER (ORDER BY avg_combined_mpg DESC) AS INTEGER) AS mpg_rank FROM (
   SELECT fuel_type_code, round_even(sum(CAST(round_even(avg_combined_mpg * 10, 0) AS BIGINT))
@@ -990,22 +1033,26 @@ def _x11(t):
     return X.changed_rows(t.stations, _stations_rerun(t), ["id"])
 
 
-@q("X11_upsert", f"""SELECT * EXCLUDE (_src, _rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY _src) AS _rn FROM (
-    SELECT *, 1 AS _src FROM clean_stations UNION ALL SELECT *, 0 AS _src FROM {_CS_DESC}))
-  WHERE _rn = 1""")
-def _x11b(t):
-    return X.upsert(t.stations, _stations_rerun(t), ["id"])
+@q("X11_append", f"SELECT * FROM clean_stations UNION ALL SELECT * FROM {_CS_DESC}")
+def _x11c(t):
+    """X11: append load (both snapshots stay)."""
+    return X.append(t.stations, _stations_rerun(t))
 
 
 # =====================================================================  S1..S9, L4
 # Sources and sinks round-trip data derived from the given tables through the
 # real file formats, in a folder below the session's shared checkpoint folder.
 def _io_root(t, key):
+    """A new folder for each call, below the shared checkpoint folder."""
     from ..session import shared_path
     return shared_path(t.spark, "catalog", key)
 
 
+def _table(name):
+    """A table name that no other session uses."""
+    return f"{name}_{uuid.uuid4().hex}"
+
+
 @q("S1", "SELECT * FROM raw_vehicles")
 def _s1(t):
     from ..sources import readers as RD, sinks as SK
@@ -1068,10 +1115,12 @@ def _s6(t):
   UNION ALL SELECT 'comprehensive_vehicle_analysis', count(*) FROM comp""")
 def _s7(t):
     from ..sources import sinks as SK
+    root = f"{_io_root(t, 'S7')}/integrated"
     paths = SK.write_layers({"vehicle_complaints_analysis": t.vca,
-                             "fuel_infrastructure_analysis": t.infra,
-                             "comprehensive_vehicle_analysis": t.comp},
-                            f"{_io_root(t, 'S7')}/integrated")
+                             "fuel_infrastructure_analysis": t.infra}, root)
+    stored = t.spark.read.parquet(paths["vehicle_complaints_analysis"])  # P4 is built once
+    comp = I.comprehensive_vehicle_analysis(stored, t.stations)
+    paths |= SK.write_layers({"comprehensive_vehicle_analysis": comp}, root)
     return SK.layer_counts(t.spark, paths)
 
 
@@ -1081,10 +1130,12 @@ def _s8(t):
     return RD.read_layer(t.spark, SK.write_layer(t.infra, f"{_io_root(t, 'S8')}/infra"))
 
 
-@q("S9", None)
+@q("S9", """SELECT 'csv' AS format, count(*) AS rows, false AS smaller_than_csv FROM vca
+  UNION ALL SELECT 'parquet', count(*), true FROM vca""")
 def _s9(t):
+    """Rows read back and which format is smaller (sizes depend on the writer)."""
     from ..sources import sinks as SK
-    return SK.compare_formats(t.vca, f"{_io_root(t, 'S9')}/formats")
+    return SK.compare_formats(t.vca, f"{_io_root(t, 'S9')}/formats").select("format", "rows", "smaller_than_csv")
 
 
 @q("L4", """SELECT 'vehiscope_vehicle_complaints_analysis' AS dataset, true AS ok, count(*) AS rows,
@@ -1096,11 +1147,13 @@ def _l4(t):
     third input does not exist, so the load is a partial failure."""
     from ..sources import sinks as SK
     root = _io_root(t, "L4")
+    database = _table("vehiscope_l4")
+    t.spark.sql(f"CREATE DATABASE {database}")
     paths = SK.write_layers({"vca": t.vca, "infra": t.infra}, f"{root}/integrated")
     return SK.load_all(t.spark, {"vehiscope_vehicle_complaints_analysis": paths["vca"],
                                  "vehiscope_fuel_infrastructure_analysis": paths["infra"],
                                  "vehiscope_missing_dataset": f"{root}/integrated/absent"},
-                       location=f"{root}/tables")
+                       database, location=f"{root}/tables")
 
 
 @q("L1", "SELECT * FROM infra")
@@ -1108,22 +1161,24 @@ def _l1(t):
     """L1: full-refresh publish of an integrated table, read back as a table."""
     from ..sources import sinks as SK
     root = _io_root(t, "L1")
-    SK.publish_table(t.infra, "vehiscope_l1_infra", path=f"{root}/table")
-    return t.spark.table("vehiscope_l1_infra")
+    return t.spark.table(SK.publish_table(t.infra, _table("vehiscope_l1"), path=f"{root}/table"))
 
 
-@q("L3", "SELECT count(*) AS rows, 1 AS files FROM vca")
+@q("L3", "SELECT count(*) AS rows, true AS as_planned, true AS fewer_files FROM vca")
 def _l3(t):
-    """L2 + L3: publish with many files, refresh statistics, compact to one
-    file; report rows and the number of files now backing the table."""
+    """L2 + L3: publish with many files, refresh statistics, compact to files of
+    64 KB; report rows, whether the table has the files planned from its bytes,
+    and whether they are fewer than before."""
     from ..sources import sinks as SK
     root = _io_root(t, "L3")
-    SK.publish_table(t.vca.repartition(8), "vehiscope_l3_vca", path=f"{root}/table")
-    SK.analyze_table(t.spark, "vehiscope_l3_vca")
-    SK.compact_table(t.spark, "vehiscope_l3_vca", 1)
-    tbl = t.spark.table("vehiscope_l3_vca").select(F.input_file_name().alias("_file"))
-    return tbl.agg(F.count(F.lit(1)).alias("rows"),
-                   F.count_distinct("_file").cast("int").alias("files"))
+    name = SK.publish_table(t.vca.repartition(64), _table("vehiscope_l3"), path=f"{root}/table")
+    SK.analyze_table(t.spark, name)
+    before = len(t.spark.table(name).inputFiles())
+    planned = SK.compact_table(t.spark, name, f"{root}/table", 64 << 10)
+    t.spark.catalog.refreshTable(name)
+    after = len(t.spark.table(name).inputFiles())
+    return t.spark.table(name).agg(F.count(F.lit(1)).alias("rows"), F.lit(after == planned).alias("as_planned"),
+                                   F.lit(after < before).alias("fewer_files"))
 
 
 @q("X11_stream", f"""SELECT * EXCLUDE (_src, _rn) FROM (
@@ -1131,20 +1186,23 @@ def _l3(t):
     SELECT *, 1 AS _src FROM clean_stations UNION ALL SELECT *, 0 AS _src FROM {_CS_DESC}))
   WHERE _rn = 1""")
 def _x11s(t):
-    """X11 as Structured Streaming: two station snapshots (the first run and a
-    re-run with the opposite keep-first order) land as files; the streaming
-    merge keeps the latest version of every station."""
-    import uuid
+    """X11 as Structured Streaming: the first station snapshot lands and is
+    loaded in several batches; then the re-run with the opposite keep-first order
+    lands and is loaded by a new stream with a new checkpoint, and the dataset is
+    compacted. The merge keeps the latest version of every station."""
     from ..streaming import incremental as INC
-    root = f"{_io_root(t, 'X11_stream')}/{uuid.uuid4().hex}"
+    root = _io_root(t, "X11_stream")
     base = t.stations.withColumn("snapshot", F.lit(1))
     rerun = _stations_rerun(t).withColumn("snapshot", F.lit(2))
-    base.write.mode("overwrite").parquet(f"{root}/landing/s1")
-    rerun.write.mode("overwrite").parquet(f"{root}/landing/s2")
-    q_ = INC.start_incremental_load(t.spark, f"{root}/landing/*", base.schema, f"{root}/merged",
-                                    ["id"], [F.col("snapshot").desc()], f"{root}/checkpoint")
-    q_.awaitTermination()
-    return INC.latest_version(t.spark, f"{root}/merged").drop("snapshot")
+    order = [F.col("snapshot").desc()]
+    base.repartition(3).write.parquet(f"{root}/landing1")
+    rerun.write.parquet(f"{root}/landing2")
+    for k in (1, 2):
+        INC.start_incremental_load(t.spark, f"{root}/landing{k}", base.schema, f"{root}/merged",
+                                   f"{root}/checkpoint{k}", max_files_per_trigger=1).awaitTermination()
+        if k == 1:
+            INC.compact(t.spark, f"{root}/merged", ["id"], order)
+    return INC.latest_version(t.spark, f"{root}/merged", ["id"], order).drop("snapshot")
 
 
 @q("X11", f"""SELECT * EXCLUDE (_src, _rn) FROM (
@@ -1160,9 +1218,9 @@ def _x11a(t):
 def _l2(t):
     """L2: after ANALYZE TABLE the catalog statistics hold the row count."""
     from ..sources import sinks as SK
-    SK.publish_table(t.infra, "vehiscope_l2_infra", path=f"{_io_root(t, 'L2')}/table")
-    SK.analyze_table(t.spark, "vehiscope_l2_infra")
-    d = t.spark.sql("DESCRIBE TABLE EXTENDED vehiscope_l2_infra")
+    name = SK.publish_table(t.infra, _table("vehiscope_l2"), path=f"{_io_root(t, 'L2')}/table")
+    SK.analyze_table(t.spark, name)
+    d = t.spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
     return (d.filter(F.col("col_name") == "Statistics")
             .select(F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint").alias("rows")))
 
@@ -1185,8 +1243,7 @@ def _x10(t):
 @q("X12", "SELECT * FROM clean_stations")
 def _x12(t):
     """Two snapshot versions written; version 1 restored as the live copy."""
-    import uuid
-    root = f"{_io_root(t, 'X12')}/{uuid.uuid4().hex}"
+    root = _io_root(t, "X12")
     X.write_snapshot(t.stations, f"{root}/snapshots", 1)
     X.write_snapshot(_stations_rerun(t), f"{root}/snapshots", 2)
     return X.restore_snapshot(t.spark, f"{root}/snapshots", 1, f"{root}/live")

@@ -125,56 +125,45 @@ def clean_stations(raw: DataFrame, order_by: Sequence | None = None, box=K.STATI
 
 # ------------------------------------------------------------------ C16
 def stage_audit(df: DataFrame, pre: Sequence[tuple[str, Column]], dedupe_name: str,
-                keys: Sequence[str], order_by: Sequence[str],
+                keys: Sequence[str], order_by: Sequence | None,
                 post: Sequence[tuple[str, Column]] = (),
                 expand: tuple[str, Column] | None = None) -> DataFrame:
-    """Rows in, removed, kept and % of input retained after each step,
-    computed in ONE scan with two aggregation levels and no window.
-
-    Level 1 groups by the keep-first key (nulls equal, as pandas), counts the
-    survivors of every earlier step, and picks the group's first surviving
-    row with ``min_by`` on the order (rows that did not survive have a null
-    order and are ignored); it carries that row's later-step predicates. Level
-    2 sums the counts. Both levels are partial aggregates, so a hot key is
-    pre-combined in every task before any shuffle.
+    """Rows in, removed, kept and % of input retained after each step.
+
+    The filters before the keep-first step are counted in one hash aggregate
+    over the raw rows; the keep-first step and those after it are counted on the
+    clean job's own path (``dedupe_first`` with the same order, whose partial
+    ``WindowGroupLimit`` forwards one row per key and task), so audit and job
+    cannot disagree. ``order_by=None`` orders by every other column, as the job
+    does; an order that adds nothing to the key is an error.
     """
-    flags = {}
-    alive = F.lit(True)
-    for i, (_name, pred) in enumerate(pre):
+    if order_by is not None and set(c for c in order_by if isinstance(c, str)) <= set(keys) and all(
+            isinstance(c, str) for c in order_by):
+        raise ValueError("order_by adds nothing to the key: the first row would be arbitrary")
+    alive, flags = F.lit(True), []
+    for _name, pred in pre:
         alive = alive & F.coalesce(pred, F.lit(False))
-        flags[f"_f{i}"] = alive
-    x = df.withColumns(flags) if flags else df
-    last = F.col(f"_f{len(pre) - 1}") if pre else F.lit(True)
-    carried = [F.coalesce(p, F.lit(False)).alias(f"_p{j}") for j, (_n, p) in enumerate(post)]
+        flags.append(alive)
+    first = dedupe_first(df.filter(alive), list(keys), None if order_by is None else list(order_by))
+    later, cond = [F.count(F.lit(1)).alias("m0")], F.lit(True)
+    for j, (_name, pred) in enumerate(post, start=1):
+        cond = cond & F.coalesce(pred, F.lit(False))
+        later.append(F.count_if(cond).alias(f"m{j}"))
     if expand is not None:
-        carried.append(F.coalesce(expand[1], F.lit(False)).alias("_e"))
-    winner_value = F.struct(F.lit(True).alias("_w"), *carried)
-    winner_order = F.when(last, F.struct(*[F.col(c) for c in order_by]))
-    lvl1 = x.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(f"_f{i}")).alias(f"_c{i}") for i in range(len(pre))],
-        F.min_by(winner_value, winner_order).alias("_win"))
-    alive_w = F.coalesce(F.col("_win._w"), F.lit(False))
-    counts = [F.sum("_n").alias("n0")]
-    counts += [F.sum(f"_c{i}").alias(f"n{i + 1}") for i in range(len(pre))]
-    counts.append(F.count_if(alive_w).alias(f"n{len(pre) + 1}"))
-    cond = alive_w
-    for j in range(len(post)):
-        cond = cond & F.col(f"_win._p{j}")
-        counts.append(F.count_if(cond).alias(f"n{len(pre) + 2 + j}"))
-    if expand is not None:
-        counts.append((F.count_if(cond) + F.count_if(cond & F.col("_win._e")))
-                      .alias(f"n{len(pre) + 2 + len(post)}"))
-    lvl2 = lvl1.agg(*counts)
+        more = F.count_if(cond & F.coalesce(expand[1], F.lit(False)))
+        later.append((F.count_if(cond) + more).alias(f"m{len(post) + 1}"))
+    kept = first.agg(*later)
+    one = kept.select(F.struct(*kept.columns).alias("m")).scalar()
+    counted = df.agg(F.count(F.lit(1)).alias("n0"), *[
+        F.count_if(f).alias(f"n{i}") for i, f in enumerate(flags, start=1)]).withColumn("m", one)
     names = [n for n, _ in pre] + [dedupe_name] + [n for n, _ in post]
     if expand is not None:
         names.append(expand[0])
-    rows = []
-    for i, name in enumerate(names, start=1):
-        rows.append(F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"),
-                             F.col(f"n{i - 1}").cast("bigint").alias("rows_in"),
-                             F.col(f"n{i}").cast("bigint").alias("rows_out")))
-    out = lvl2.select(F.col("n0").alias("_input"), F.inline(F.array(*rows)))
+    cols = [F.col(f"n{i}") for i in range(len(pre) + 1)] + [F.col(f"m.m{j}") for j in range(len(later))]
+    rows = [F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"),
+                     cols[i - 1].cast("bigint").alias("rows_in"), cols[i].cast("bigint").alias("rows_out"))
+            for i, name in enumerate(names, start=1)]
+    out = counted.select(F.col("n0").alias("_input"), F.inline(F.array(*rows)))
     return out.select(
         "step_no", "step", "rows_in", "rows_out",
         (F.col("rows_in") - F.col("rows_out")).alias("removed"),
@@ -189,8 +178,8 @@ def vehicle_audit(raw: DataFrame, as_of=K.DEFAULT_AS_OF, order_by: Sequence = ("
 
 
 def complaint_audit(raw: DataFrame, as_of=K.DEFAULT_AS_OF,
-                    order_by: Sequence = ("ODINO",)) -> DataFrame:
-    """C16 for P2; the typed columns are computed once before the audit."""
+                    order_by: Sequence | None = ("CMPLID",)) -> DataFrame:
+    """C16 for P2, in the job's default order; the typed columns are computed once before the audit."""
     typed = raw.withColumns({"_DATEA": parse_ymd("DATEA"), "_YEAR": parse_num("YEARTXT")})
     pre = [
         ("required_fields", C.all_present_pred(K.COMPLAINT_REQUIRED)),
@@ -199,12 +188,11 @@ def complaint_audit(raw: DataFrame, as_of=K.DEFAULT_AS_OF,
         ("not_future_year", C.not_after_year_pred("_YEAR", as_of, keep_null=True)),
     ]
     post = [("integer_year", F.col("_YEAR").isNotNull())]
-    return stage_audit(typed, pre, "dedupe", ["ODINO"], list(order_by), post=post)
+    return stage_audit(typed, pre, "dedupe", ["ODINO"], order_by, post=post)
 
 
-def station_audit(raw: DataFrame, order_by: Sequence = ("id",), box=K.STATION_BBOX,
+def station_audit(raw: DataFrame, order_by: Sequence | None = None, box=K.STATION_BBOX,
                   fuel_codes: Sequence[str] = K.ALT_FUEL_CODES) -> DataFrame:
     """C16 for P3 (the fuel filter is evaluated on each id's first row)."""
     post = [("alt_fuel_only", F.col("fuel_type_code").isin(list(fuel_codes)))]
-    return stage_audit(raw, station_filter_steps(box), "dedupe", ["id"], list(order_by),
-                       post=post)
+    return stage_audit(raw, station_filter_steps(box), "dedupe", ["id"], order_by, post=post)

@@ -13,19 +13,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import norm_key, round_even
-from ..operators.aggregates import stations_by_state, sum0
+from ..operators.aggregates import exact_quantiles, stations_by_state, sum0
 from ..operators.dedupe import dedupe_first
 
 
 # X1 ----------------------------------------------------------------------
-def iqr_outliers(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
-    """Flag values outside [Q1 - k*IQR, Q3 + k*IQR] (exact, linearly
-    interpolated quartiles). The quartiles are one uncorrelated scalar
-    subquery, evaluated once; rows are flagged without a join."""
-    qs = df.agg(F.percentile(col, F.array(F.lit(0.25), F.lit(0.75))).alias("q")).scalar()
-    q1, q3 = qs[0], qs[1]
-    iqr = q3 - q1
-    lo, hi = q1 - F.lit(k) * iqr, q3 + F.lit(k) * iqr
+def iqr_outliers(df: DataFrame, col: str, k: float = 1.5, approx: bool = False) -> DataFrame:
+    """Flag values outside [Q1 - k*IQR, Q3 + k*IQR].
+
+    The quartiles are exact and linearly interpolated (``exact_quantiles``: no
+    task ever holds all values); ``approx=True`` uses the fixed-size sketch."""
+    if approx:
+        q1, q3 = df.agg(F.percentile_approx(col, F.array(F.lit(0.25), F.lit(0.75)), 10000)).first()[0] or (None, None)
+    else:
+        q1, q3 = exact_quantiles(df, col, (0.25, 0.75))
+    if q1 is None:
+        return df.withColumn("is_outlier", F.lit(False))
+    lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
     out = F.coalesce((F.col(col) < lo) | (F.col(col) > hi), F.lit(False))
     return df.withColumn("is_outlier", out)
 
@@ -113,6 +117,17 @@ def fuel_trend(infra: DataFrame) -> DataFrame:
                         (F.col("vehicle_count") - prev).alias("change"))
 
 
+def stations_by_open_year(stations: DataFrame) -> DataFrame:
+    """Per fuel and year of opening, stations opened and stations in all up
+    to that year. The window runs over one row per fuel and year."""
+    g = (stations.filter(F.col("open_date").isNotNull() & F.col("fuel_type_code").isNotNull())
+         .groupBy("fuel_type_code", F.year("open_date").alias("open_year"))
+         .agg(F.count(F.lit(1)).alias("opened")))
+    w = (Window.partitionBy("fuel_type_code").orderBy("open_year")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return g.withColumn("stations_to_date", F.sum("opened").over(w))
+
+
 def fuel_economy_ranking(infra: DataFrame) -> DataFrame:
     """Fuels ranked by their mean yearly combined MPG (exact mean of the
     tenths, then dense rank). The ranked input has one row per fuel code."""
@@ -145,29 +160,49 @@ def categorize(col, rules: Sequence[tuple[str, str]], default: str = "OTHER") ->
 
 
 # X11 ---------------------------------------------------------------------
-def _row_hash(df: DataFrame, cols: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(c) for c in cols])
+def _same_columns(base: DataFrame, updates: DataFrame) -> None:
+    if set(base.columns) != set(updates.columns):
+        raise ValueError(f"the columns differ: {sorted(set(base.columns) ^ set(updates.columns))}")
+
+
+def append(base: DataFrame, rows: DataFrame) -> DataFrame:
+    """X11: the rows of both; the columns must be the same."""
+    _same_columns(base, rows)
+    return base.unionByName(rows)
 
 
-def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """X11: rows of ``updates`` replace rows of ``base`` with the same key;
-    other base rows stay (latest wins, via keep-first on a source rank)."""
-    u = (base.withColumn("_src", F.lit(1))
-         .unionByName(updates.withColumn("_src", F.lit(0)), allowMissingColumns=True))
-    return dedupe_first(u, list(keys), ["_src"]).drop("_src")
+def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str],
+           order_by: Sequence | None = None) -> DataFrame:
+    """X11: rows of ``updates`` replace rows of ``base`` with the same key (null
+    keys compare equal); other base rows stay. Of several updates of a key the
+    first by ``order_by`` wins, by default by all columns, so the choice never
+    depends on the order of rows. The columns must be the same."""
+    _same_columns(base, updates)
+    rest = [c for c in base.columns if c not in keys]
+    order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in (order_by or [])]
+    u = base.withColumn("_src", F.lit(1)).unionByName(updates.withColumn("_src", F.lit(0)))
+    return dedupe_first(u, list(keys), [F.col("_src").asc(), *order,
+                                        *[F.col(c).asc_nulls_last() for c in rest]]).drop("_src")
 
 
 def changed_rows(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """X11: (key, change) for inserted, deleted and updated rows, found by a
-    full outer join on the key comparing a hash of the remaining columns."""
-    vals = [c for c in after.columns if c not in keys]
-    b = before.select(*keys, _row_hash(before, vals).alias("_hb"))
-    a = after.select(*keys, _row_hash(after, vals).alias("_ha"))
-    j = b.join(a, list(keys), "full_outer")
-    change = (F.when(F.col("_hb").isNull(), F.lit("insert"))
-              .when(F.col("_ha").isNull(), F.lit("delete"))
-              .when(F.col("_hb") != F.col("_ha"), F.lit("update")))
-    return j.select(*keys, change.alias("change")).filter(F.col("change").isNotNull())
+    """X11: (key, change) for inserted, deleted and updated rows: a full outer
+    join on the key (null keys compare equal) that compares every other column
+    of either side, nulls included; a column that one side lacks is null there."""
+    vals = [c for c in dict.fromkeys([*before.columns, *after.columns]) if c not in keys]
+
+    def side(df: DataFrame, other: DataFrame, mark: str) -> DataFrame:
+        kinds = {f.name: f.dataType for f in [*other.schema.fields, *df.schema.fields]}
+        own = [F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in vals]
+        return df.select(F.struct(*keys).alias(f"_k{mark}"), F.struct(F.lit(1).alias("_one"), *own).alias(f"_v{mark}"))
+
+    b, a = side(before, after, "b"), side(after, before, "a")
+    j = b.join(a, F.col("_kb").eqNullSafe(F.col("_ka")), "full_outer")
+    change = (F.when(F.col("_vb").isNull(), F.lit("insert"))
+              .when(F.col("_va").isNull(), F.lit("delete"))
+              .when(~F.col("_vb").eqNullSafe(F.col("_va")), F.lit("update")))
+    return (j.select(F.coalesce("_kb", "_ka").alias("_k"), change.alias("change"))
+            .filter(F.col("change").isNotNull()).select("_k.*", "change"))
 
 
 # X12 ---------------------------------------------------------------------

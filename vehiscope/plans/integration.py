@@ -50,6 +50,10 @@ def vehicle_complaints_analysis(vehicles: DataFrame, complaints: DataFrame) -> D
     return distinct(a)
 
 
+def _mapped(stations: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
+    return stations.filter(F.col("fuel_type_code").isin(sorted(set(mapping.values()))))
+
+
 def fuel_infrastructure_analysis(vehicles: DataFrame, stations: DataFrame,
                                  mapping: Mapping[str, str] = K.FUEL_CODE_MAP) -> DataFrame:
     """P5 (9 columns): vehicle-fuel rows per (year, fuel code) against the
@@ -58,8 +62,8 @@ def fuel_infrastructure_analysis(vehicles: DataFrame, stations: DataFrame,
     without a state (trap T3)."""
     v = vehicles.withColumn("fuel_type_code", map_code("fuel_used", mapping))
     vc = fuel_year_rollup(v)
-    # bounded: cleaned stations hold at most len(ALT_FUEL_CODES) fuel codes
-    j = join_stations(vc, stations_by_fuel(stations), broadcast_right=True)
+    # bounded: one row per fuel code of the mapping, whatever the stations hold
+    j = join_stations(vc, stations_by_fuel(_mapped(stations, mapping)), broadcast_right=True)
     return j.select(
         "year", "fuel_type_code", "vehicle_count",
         round_even("avg_combined_mpg", 1).alias("avg_combined_mpg"),
@@ -76,7 +80,7 @@ def comprehensive_vehicle_analysis(vca: DataFrame, stations: DataFrame,
     """P6 (24 columns): P4 plus fuel code and nationwide station count; here
     stations without a state ARE counted (trap T3)."""
     b = vca.withColumn("fuel_type_code", map_code("fuel_used", mapping))
-    # bounded: at most len(ALT_FUEL_CODES) rows after the cleaning filter C12
-    j = join_nationwide(b, stations_nationwide(stations), broadcast_right=True)
+    # bounded: one row per fuel code of the mapping, whatever the stations hold
+    j = join_nationwide(b, stations_nationwide(_mapped(stations, mapping)), broadcast_right=True)
     return j.select(*vca.columns, "fuel_type_code",
                     F.col("stations_nationwide").cast("bigint").alias("stations_nationwide"))

@@ -38,7 +38,7 @@ def base_ctes(as_of: _dt.date = AS_OF) -> dict[str, str]:
     y = as_of.year
     c: dict[str, str] = {}
     c["raw_vehicles_base"] = """
-  SELECT CAST(p_partkey AS BIGINT) AS id,
+  SELECT CAST(p_partkey AS BIGINT) * 4 AS id,
     CAST(CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE 2005 + p_size % 23 END AS INTEGER) AS year,
     CASE WHEN p_partkey % 89 = 0 THEN NULL ELSE p_brand END AS make,
     p_name AS model, p_type AS VClass,
@@ -60,16 +60,16 @@ def base_ctes(as_of: _dt.date = AS_OF) -> dict[str, str]:
   FROM part"""
     c["raw_vehicles"] = """
   SELECT * FROM raw_vehicles_base
-  UNION ALL SELECT * REPLACE (id + 1000000 AS id) FROM raw_vehicles_base WHERE id % 23 = 0
-  UNION ALL SELECT * REPLACE (id + 2000000 AS id, 'CVT' AS trany) FROM raw_vehicles_base
-    WHERE id % 19 = 0"""
+  UNION ALL SELECT * REPLACE (id + 1 AS id) FROM raw_vehicles_base WHERE id % 92 = 0
+  UNION ALL SELECT * REPLACE (id + 2 AS id, 'CVT' AS trany) FROM raw_vehicles_base
+    WHERE id % 76 = 0"""
     c["raw_complaints"] = """
   SELECT CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE CAST(l_orderkey AS BIGINT) END AS ODINO,
     CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS CMPLID,
     p_brand AS MFGTXT,
     CASE l_linenumber % 3 WHEN 0 THEN upper(p_brand) WHEN 1 THEN concat(' ', lower(p_brand), ' ')
       ELSE p_brand END AS MAKETXT,
-    upper(p_name) AS MODELTXT,
+    CASE WHEN p_partkey % 7 = 3 THEN concat('UNLISTED ', upper(p_name)) ELSE upper(p_name) END AS MODELTXT,
     CASE WHEN p_partkey % 503 = 7 THEN 'unknown' ELSE CAST(2005 + p_size % 23 AS VARCHAR) END AS YEARTXT,
     CASE WHEN l_returnflag = 'R' THEN 'Y' WHEN l_returnflag = 'A' THEN 'N' END AS CRASH,
     CASE WHEN l_orderkey % 211 = 0 THEN '2019x' ELSE CAST((year(l_shipdate) + 24) * 10000
@@ -82,7 +82,7 @@ def base_ctes(as_of: _dt.date = AS_OF) -> dict[str, str]:
     CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE CAST(floor(l_extendedprice * 12) AS BIGINT) END AS MILEAGE,
     CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(l_partkey AS BIGINT) AS l_partkey,
     CAST(l_suppkey AS BIGINT) AS l_suppkey, CAST(l_extendedprice AS DOUBLE) AS l_extendedprice
-  FROM lineitem JOIN part ON l_partkey = p_partkey AND p_partkey % 7 <> 3"""
+  FROM lineitem JOIN part ON l_partkey = p_partkey"""
     c["raw_stations_base"] = """
   SELECT CAST(c_custkey AS BIGINT) AS id,
     CASE c_custkey % 8 WHEN 0 THEN 'LPG' WHEN 1 THEN 'BD' WHEN 2 THEN 'CNG' WHEN 3 THEN 'E85'

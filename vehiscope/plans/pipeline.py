@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..session import materialize, shared_path
@@ -73,6 +74,8 @@ class Tables:
             self.vca, self.stations)
 
 
+#: Place of a raw row in its files.
+ROW = "_vs_row"
 PROCESSED = ("vehicles", "complaints", "stations")
 INTEGRATED = {"vca": "vehicle_complaints_analysis",
               "infra": "fuel_infrastructure_analysis",
@@ -109,23 +112,27 @@ def run(spark: SparkSession, sf_dir: str, as_of=K.DEFAULT_AS_OF,
 
 def run_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stations: str,
               out_dir: str, as_of=K.DEFAULT_AS_OF, stations_format: str = "csv",
-              parallel: bool = True) -> Tables:
+              parallel: bool = True, multi_line: bool = True) -> Tables:
     """The pipeline on raw files: header CSV of vehicles, headerless TSV of
     complaints, stations as header CSV or ``{"fuel_stations": [...]}`` JSON.
     The raw edge is ingested once into Parquet (multi-line text is not
-    splittable), then the layers are built as in ``run``."""
+    splittable; ``multi_line=False`` reads files without line breaks inside
+    fields in splits), each row with its place in the files (``ROW``), which is
+    the keep-first order of the stations; then the layers are built as in
+    ``run``."""
     from ..sources import readers as RD
-    st = (RD.read_station_json(spark, stations) if stations_format == "json"
-          else RD.read_stations(spark, stations))
-    raw = {"raw_vehicles": RD.read_vehicles(spark, vehicles_csv),
-           "raw_complaints": RD.read_complaints(spark, complaints_tsv),
+    st = (RD.read_station_json(spark, stations, multi_line=multi_line) if stations_format == "json"
+          else RD.read_stations(spark, stations, multi_line))
+    raw = {"raw_vehicles": RD.read_vehicles(spark, vehicles_csv, multi_line),
+           "raw_complaints": RD.read_complaints(spark, complaints_tsv, multi_line=multi_line),
            "raw_stations": st}
     root = out_dir.rstrip("/")
-    over = _write_all({n: (df, f"{root}/raw/{n}") for n, df in raw.items()}, parallel)
+    over = _write_all({n: (df.withColumn(ROW, F.monotonically_increasing_id()), f"{root}/raw/{n}")
+                       for n, df in raw.items()}, parallel)
     over.update({
         "vehicles": cleaning.clean_vehicles(over["raw_vehicles"], as_of),
         "complaints": cleaning.clean_complaints(over["raw_complaints"], as_of),
-        "stations": cleaning.clean_stations(over["raw_stations"]),
+        "stations": cleaning.clean_stations(over["raw_stations"], [ROW]),
     })
     over.update(_write_all({n: (over[n], f"{root}/processed/{n}") for n in PROCESSED}, parallel))
     t2 = Tables(spark, "", as_of, dict(over))

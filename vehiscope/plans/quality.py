@@ -174,13 +174,29 @@ def numeric_types(df: DataFrame, cols: Sequence[str] = K.NUMERIC_CHECK_COLUMNS)
             for c in cols if c in fields]
 
 
+def numeric_check(df: DataFrame, cols: Sequence[str] = K.NUMERIC_CHECK_COLUMNS) -> DataFrame:
+    """D8 on the table: (column, type, is_numeric, non_null), one aggregate."""
+    kinds = numeric_types(df, cols)
+    g = df.agg(*[F.count(c).alias(f"_n{i}") for i, (c, _t, _n) in enumerate(kinds)],
+               *[F.first(F.typeof(c)).alias(f"_t{i}") for i, (c, _t, _n) in enumerate(kinds)])
+    return g.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"_t{i}"), F.lit(t)).alias("type"),
+                 F.lit(num).alias("is_numeric"), F.col(f"_n{i}").alias("non_null"))
+        for i, (c, t, num) in enumerate(kinds)])))
+
+
 # D9 -----------------------------------------------------------------------
 def source_profile(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows and columns per source (columns from the schema)."""
+    """Rows, columns and types per source (the last two from the schema),
+    and a row for all of them together."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(n).alias("source"), "rows", F.lit(len(df.columns)).alias("columns"))
+        F.lit(n).alias("source"), "rows", F.lit(len(df.columns)).alias("columns"),
+        F.lit(", ".join(f"{c} {t}" for c, t in df.dtypes)).alias("dtypes"))
         for n, df in sources.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    # one row per source: at most len(sources) rows
+    total = out.agg(F.lit("total").alias("source"), F.sum("rows").alias("rows"),
+                    F.sum("columns").cast("int").alias("columns"), F.lit("").alias("dtypes"))
+    return out.unionByName(total)

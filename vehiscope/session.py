@@ -8,6 +8,7 @@ here when it is unset (local tests).
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,16 +76,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
-        # local tests only: a cluster always names a shared folder
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="vehiscope-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path below the shared checkpoint folder (for materialised layers)."""
+    """A path below the shared checkpoint folder (for materialised layers), in a
+    folder of its own for each call: two runs never overwrite each other."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([root, "vehiscope", *parts])
+    return "/".join([root, "vehiscope", uuid.uuid4().hex, *parts])
 
 
 def materialize(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:

@@ -17,22 +17,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _copies(key: str, extra: list[tuple[int, int, str | None]]) -> str:
-    """SQL generator of (index, offset, override) rows: the row itself plus
-    each extra copy ``(offset, modulus, override)`` whose key is divisible by
-    modulus, as ``inline(filter(array(...), ...))`` (one scan, no union)."""
-    items = ["named_struct('_i', 0, '_off', CAST(0 AS BIGINT), '_ovr', CAST(NULL AS STRING))"]
+def _copies(key: str, extra: list[tuple[int, str | None]]) -> str:
+    """SQL generator of (index, override) rows: the row itself plus each extra
+    copy ``(modulus, override)`` whose key is divisible by modulus, as
+    ``inline(filter(array(...), ...))`` (one scan, no union)."""
+    items = ["named_struct('_i', 0, '_ovr', CAST(NULL AS STRING))"]
     conds = ["x._i = 0"]
-    for i, (off, mod, ovr) in enumerate(extra, start=1):
+    for i, (mod, ovr) in enumerate(extra, start=1):
         o = "CAST(NULL AS STRING)" if ovr is None else f"'{ovr}'"
-        items.append(f"named_struct('_i', {i}, '_off', CAST({off} AS BIGINT), '_ovr', {o})")
+        items.append(f"named_struct('_i', {i}, '_ovr', {o})")
         conds.append(f"(x._i = {i} AND {key} % {mod} = 0)")
     return f"inline(filter(array({', '.join(items)}), x -> {' OR '.join(conds)}))"
 
 
 # Column expressions of the bound sources (Spark SQL; one JVM call per column).
 VEHICLE_EXPRS = [
-    "CAST(p_partkey + _off AS BIGINT) AS id",
+    "CAST(p_partkey AS BIGINT) * 4 + _i AS id",
     "CAST(CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE 2005 + p_size % 23 END AS INT) AS year",
     "CASE WHEN p_partkey % 89 = 0 THEN NULL ELSE p_brand END AS make",
     "p_name AS model",
@@ -60,7 +60,7 @@ COMPLAINT_EXPRS = [
     "p_brand AS MFGTXT",
     "CASE l_linenumber % 3 WHEN 0 THEN upper(p_brand) WHEN 1 THEN concat(' ', lower(p_brand), ' ') "
     "ELSE p_brand END AS MAKETXT",
-    "upper(p_name) AS MODELTXT",
+    "CASE WHEN p_partkey % 7 = 3 THEN concat('UNLISTED ', upper(p_name)) ELSE upper(p_name) END AS MODELTXT",
     "CASE WHEN p_partkey % 503 = 7 THEN 'unknown' ELSE CAST(2005 + p_size % 23 AS STRING) END AS YEARTXT",
     "CASE WHEN l_returnflag = 'R' THEN 'Y' WHEN l_returnflag = 'A' THEN 'N' END AS CRASH",
     "CASE WHEN l_orderkey % 211 = 0 THEN '2019x' ELSE CAST((year(l_shipdate) + 24) * 10000 "
@@ -99,24 +99,24 @@ STATION_ORDER = ["access_code"]
 def raw_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vehicles from ``part``: brand -> make, name -> model, type -> class.
 
-    Extra rows: parts divisible by 23 again under id + 1,000,000 (exact
-    duplicates for K1); parts divisible by 19 again under id + 2,000,000 with
-    transmission 'CVT' (survive K1, collapse in K4).
+    The id is four times the part key plus the number of the copy, so ids of
+    copies never meet those of other parts. Extra rows: parts divisible by 23
+    again as copy 1 (exact duplicates for K1); parts divisible by 19 again as
+    copy 2 with transmission 'CVT' (survive K1, collapse in K4).
     """
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    x = p.selectExpr("*", _copies("p_partkey", [(1000000, 23, None), (2000000, 19, "CVT")]))
+    x = p.selectExpr("*", _copies("p_partkey", [(23, None), (19, "CVT")]))
     return x.selectExpr(*VEHICLE_EXPRS)
 
 
 def raw_complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Complaints from ``lineitem`` joined to ``part`` (parts with key % 7 = 3
-    get none): orderkey -> ODINO (natural repeats), shipdate + 24 years ->
+    """Complaints from ``lineitem`` joined to ``part`` (those of parts
+    with key % 7 = 3 name a model that no vehicle has): orderkey -> ODINO (natural repeats), shipdate + 24 years ->
     DATEA text, perturbed case and edge spaces in the make."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
-    p = (table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size")
-         .filter("p_partkey % 7 <> 3"))
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_size")
     j = li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
     return j.selectExpr(*COMPLAINT_EXPRS)
 
@@ -127,5 +127,5 @@ def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "inner")
-    x = j.selectExpr("*", _copies("c_custkey", [(0, 29, "public")]))
+    x = j.selectExpr("*", _copies("c_custkey", [(29, "public")]))
     return x.selectExpr(*STATION_EXPRS)

@@ -35,11 +35,57 @@ COMPLAINT_TYPES = {
 STATION_TYPES = {"id": "bigint", "latitude": "double", "longitude": "double"}
 
 
+CORRUPT = "_vs_corrupt"
+
+
 def _reader(spark: SparkSession, sep: str, header: bool, multi_line: bool):
     return (spark.read.option("sep", sep).option("header", header)
             .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .option("mode", "PERMISSIVE"))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("columnPruning", False))  # else the width of a row is not checked
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The raw files at a path (names only): a handful, as downloaded."""
+    return sorted(r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect())
+
+
+def _text_columns(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+
+
+def _rows(spark: SparkSession, path: str, sep: str, header: bool, multi_line: bool,
+          width: int | None = None) -> DataFrame:
+    """All rows as text with CORRUPT filled where a row is too short or too long.
+    Files with a header are read one by one, so that each one's columns are
+    matched by name; a column that a file lacks is null there."""
+    if not header:
+        names = [f"_c{i}" for i in range(width)]
+        return _reader(spark, sep, False, multi_line).schema(_text_columns(names)).csv(path)
+    out = None
+    for f in _files(spark, path):
+        names = _reader(spark, sep, True, multi_line).csv(f).columns
+        df = _reader(spark, sep, True, multi_line).schema(_text_columns(names)).csv(f)
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
+def _good(rows: DataFrame) -> DataFrame:
+    # the test of the first column is always true: Spark refuses plans that read
+    # nothing but the corrupt column
+    some = F.length(F.coalesce(F.col(f"`{rows.columns[0]}`"), F.lit(""))) >= 0
+    return rows.filter(F.col(CORRUPT).isNull() & some).drop(CORRUPT)
+
+
+def malformed_rows(spark: SparkSession, path: str, sep: str = ",", header: bool = True,
+                   multi_line: bool = True, width: int | None = None) -> DataFrame:
+    """(file, record, reason) of the rows that the readers leave out."""
+    rows = _rows(spark, path, sep, header, multi_line, width)
+    some = F.length(F.coalesce(F.col(f"`{rows.columns[0]}`"), F.lit(""))) >= 0  # as in _good
+    return (rows.withColumn("file", F.input_file_name()).filter(F.col(CORRUPT).isNotNull() & some)
+            .select("file", F.col(CORRUPT).alias("record"),
+                    F.lit("the row does not have the columns of the file").alias("reason")))
 
 
 def typed(df: DataFrame, types: Mapping[str, str], tokens: Sequence[str] = K.NA_TOKENS) -> DataFrame:
@@ -56,31 +102,33 @@ def typed(df: DataFrame, types: Mapping[str, str], tokens: Sequence[str] = K.NA_
 
 
 def read_vehicles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Header CSV of vehicles (84 columns; the used ones are typed)."""
-    return typed(_reader(spark, ",", True, multi_line).csv(path), VEHICLE_TYPES)
+    """Header CSV of vehicles (84 columns; the used ones are typed). Rows of
+    another width are left out (``malformed_rows`` lists them)."""
+    return typed(_good(_rows(spark, path, ",", True, multi_line)), VEHICLE_TYPES)
 
 
 def read_complaints(spark: SparkSession, path: str,
                     positions: Sequence[int] = K.COMPLAINT_POSITIONS,
                     names: Sequence[str] = K.COMPLAINT_NAMES,
-                    width: int | None = K.COMPLAINT_RAW_WIDTH,
+                    width: int = K.COMPLAINT_RAW_WIDTH,
                     multi_line: bool = True) -> DataFrame:
     """Headerless TSV; keep the listed positions and name them.
 
-    The positions are a contract, so the column count is checked (a shifted
-    file would be silently wrong). Only the selected positions are parsed
-    (CSV column pruning).
+    The positions are a contract, so every row's width is checked: rows of
+    another width are left out (``malformed_rows`` lists them), and a file whose
+    first row has another width is an error (a shifted file).
     """
-    raw = _reader(spark, "\t", False, multi_line).csv(path)
-    if width is not None and len(raw.columns) != width:
-        raise ValueError(f"complaint file has {len(raw.columns)} columns, expected {width}")
+    first = len(_reader(spark, "\t", False, multi_line).csv(path).columns)
+    if first != width:
+        raise ValueError(f"complaint file has {first} columns, expected {width}")
+    raw = _good(_rows(spark, path, "\t", False, multi_line, width))
     sel = raw.select(*[F.col(f"_c{p}").alias(n) for p, n in zip(positions, names)])
     return typed(sel, COMPLAINT_TYPES)
 
 
 def read_stations(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """S3: header CSV of stations."""
-    return typed(_reader(spark, ",", True, multi_line).csv(path), STATION_TYPES)
+    """S3: header CSV of stations; rows of another width are left out."""
+    return typed(_good(_rows(spark, path, ",", True, multi_line)), STATION_TYPES)
 
 
 STATION_JSON_FIELDS = T.StructType([
@@ -113,6 +161,8 @@ def read_station_json(spark: SparkSession, path: str,
     if "fuel_stations" not in df.columns:
         log.warning("no fuel_stations field in %s: no station data", path)
         return spark.createDataFrame([], STATION_JSON_FIELDS)
+    if df.filter(F.col("fuel_stations").isNull()).head(1):
+        log.warning("a document in %s has no fuel_stations field: no station data from it", path)
     rows = df.select(F.inline(F.coalesce(F.col("fuel_stations"), F.array().cast(
         df.schema["fuel_stations"].dataType))))
     if "open_date" in rows.columns:

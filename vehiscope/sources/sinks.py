@@ -7,12 +7,17 @@ at an edge, with header and ``"`` as quote and escape.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+TARGET_FILE_BYTES = 256 << 20
+
 
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: Sequence[str] | None = None) -> str:
@@ -52,28 +57,41 @@ def _bytes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compare_formats(df: DataFrame, out_dir: str) -> DataFrame:
-    """Write ``df`` as CSV and as Parquet; (format, bytes, pct_smaller_than_csv)."""
+    """Write ``df`` as CSV and as Parquet; (format, rows read back, bytes,
+    pct_smaller_than_csv, smaller_than_csv)."""
     spark = df.sparkSession
     root = out_dir.rstrip("/")
     write_layer(df, f"{root}/csv", "csv")
     write_layer(df, f"{root}/parquet", "parquet")
-    csv = _bytes(spark, f"{root}/csv").select(F.lit("csv").alias("format"), "bytes")
-    pq = _bytes(spark, f"{root}/parquet").select(F.lit("parquet").alias("format"), "bytes")
-    both = csv.unionByName(pq)
-    csv_bytes = csv.select("bytes").scalar()
-    return both.withColumn("pct_smaller_than_csv",
-                           (1 - F.try_divide(F.col("bytes"), csv_bytes)) * 100)
+    back = {"csv": spark.read.option("header", True).option("multiLine", True).option("quote", '"')
+            .option("escape", '"').schema(df.schema).csv(f"{root}/csv"), "parquet": spark.read.parquet(f"{root}/parquet")}
+    size = {n: _bytes(spark, f"{root}/{n}") for n in back}
+    csv_bytes = size["csv"].select("bytes").scalar()
+    parts = [df_.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(n).alias("format"), "rows", size[n].select("bytes").scalar().alias("bytes")) for n, df_ in back.items()]
+    return parts[0].unionByName(parts[1]).withColumns({
+        "pct_smaller_than_csv": (1 - F.try_divide(F.col("bytes"), csv_bytes)) * 100,
+        "smaller_than_csv": F.col("bytes") < csv_bytes})
 
 
 # ----------------------------------------------------------------- publishing
 def publish_table(df: DataFrame, table: str, fmt: str = "parquet",
-                  path: str | None = None) -> str:
+                  path: str | None = None, observe: Observation | None = None) -> str:
     """L1: full refresh: create or replace ``table`` from ``df``; the schema
-    comes from the data, nothing is merged."""
-    w = df.write.mode("overwrite").format(fmt).option("overwriteSchema", True)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(table)
+    comes from the data, nothing is merged. With ``path`` the data goes to a new
+    folder below it and the table is switched to that folder when the write is
+    done, so readers never see a table without data. ``observe`` counts the rows
+    while they are written."""
+    spark = df.sparkSession
+    if observe is not None:
+        df = df.observe(observe, F.count(F.lit(1)).alias("rows"))
+    if not path:
+        df.write.mode("overwrite").format(fmt).saveAsTable(table)
+        return table
+    target = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.format(fmt).save(target)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: its files stay
+    spark.catalog.createTable(table, path=target, source=fmt)
     return table
 
 
@@ -82,33 +100,45 @@ def analyze_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
 
 
-def compact_table(spark: SparkSession, table: str, files: int) -> None:
-    """L3: rewrite ``table`` into ``files`` files. The data is first cut from
-    its lineage with a reliable checkpoint (in the shared checkpoint folder),
-    so the table can be overwritten while it is the source."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    data = spark.table(table).repartition(files).checkpoint(eager=True)
-    data.write.mode("overwrite").insertInto(table, overwrite=True)
+def files_for(total_bytes: int, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Number of files of about the target size."""
+    return max(1, math.ceil(total_bytes / target_file_bytes))
+
+
+def compact_table(spark: SparkSession, table: str, path: str,
+                  target_file_bytes: int = TARGET_FILE_BYTES) -> int:
+    """L3: rewrite ``table`` into files of about ``target_file_bytes``, written
+    once to a new folder below ``path``, to which the table is then switched.
+    Returns the number of files asked for."""
+    files = spark.table(table).inputFiles()
+    size = (spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0) if files else 0
+    n = files_for(size, target_file_bytes)
+    publish_table(spark.table(table).repartition(n), table, path=path)
+    return n
 
 
 def load_all(spark: SparkSession, datasets: Mapping[str, str], database: str | None = None,
              fmt: str = "parquet", location: str | None = None) -> DataFrame:
     """L4: publish each dataset (name -> Parquet path) as a table; a missing
     input fails only that dataset. Returns (dataset, ok, rows, status) where
-    status is SUCCESS or PARTIAL FAILURE for the whole load."""
-    results = []
-    for name, path in datasets.items():
+    status is SUCCESS or PARTIAL FAILURE for the whole load. Rows are counted
+    while they are written, and the loads are submitted together."""
+    def load(item: tuple[str, str]) -> tuple[str, bool, int | None]:
+        name, path = item
         table = f"{database}.{name}" if database else name
         try:
             src = spark.read.parquet(path)
-        except AnalysisException:
-            results.append((name, False, None))
-            continue
-        publish_table(src, table, fmt,
-                      f"{location.rstrip('/')}/{name}" if location else None)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return name, False, None
+        seen = Observation()
+        publish_table(src, table, fmt, f"{location.rstrip('/')}/{name}" if location else None, seen)
         analyze_table(spark, table)
-        results.append((name, True, spark.table(table).count()))
+        return name, True, seen.get["rows"]
+
+    with ThreadPoolExecutor(max_workers=max(1, min(8, len(datasets)))) as pool:
+        results = list(pool.map(load, datasets.items()))
     status = "SUCCESS" if all(ok for _, ok, _ in results) else "PARTIAL FAILURE"
     return spark.createDataFrame([(n, ok, r, status) for n, ok, r in results],
                                  "dataset string, ok boolean, rows long, status string")
