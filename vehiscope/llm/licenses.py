@@ -6,7 +6,8 @@ seen as sets of word bigrams; a unit carries a licence if Dice = 2 |A n B| /
 (|A| + |B|) with one of its templates reaches ``DICE``. Dice can only reach d if
 |A| lies between |B| d / (2 - d) and |B| (2 - d) / d, so a template is listed
 under each size in these bounds and a unit meets only the templates under its
-own size, by an equality join.
+own size, by an equality join. A unit whose numbers of words and of different words
+already show that no template can match is left out before its bigrams are made.
 
 DataFrame functions only. The templates are a parameter of the job, at most
 ``MAX_TEMPLATES`` of them, and are broadcast.
@@ -52,14 +53,29 @@ TEMPLATES = [
 ]
 
 
-def bigrams(text: Column) -> Column:
-    """The distinct word bigrams of a text."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+
+
+def _bigrams(words: Column) -> Column:
     return F.transform(F.array(words), lambda w: F.when(F.size(w) >= 2, F.array_distinct(F.transform(
         F.sequence(F.lit(0), F.size(w) - 2),
         lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1))))).otherwise(F.array().cast("array<string>")))[0]
 
 
+def bigrams(text: Column, least: int = 1, most: int | None = None) -> Column:
+    """The distinct word bigrams of a text; none if their number is surely not in
+    least..most: a text has fewer bigrams than words, and at least one less than
+    it has different words."""
+    def pruned(w: Column) -> Column:
+        out = F.size(w) <= least
+        if most is not None:
+            out = out | (F.size(F.array_distinct(w)) > most + 1)
+        return F.when(out, F.array().cast("array<string>")).otherwise(_bigrams(w))
+
+    return F.transform(F.array(_words(text)), pruned)[0]
+
+
 def template_bigrams(text: str) -> list[str]:
     """The same for a template, on the driver."""
     w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.lower())
@@ -79,6 +95,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, dice:
         raise ValueError("more templates than may be broadcast")
     sized = [(size, k, name, own) for k, (name, text) in enumerate(templates)
              for own in [template_bigrams(text)] for size in size_bounds(len(own), dice) if own]
+    sizes = [size for size, *_ in sized] or [1]
+    least, most = min(sizes), max(sizes)
     spark = docs.sparkSession
     by_size = spark.createDataFrame(sized, "n int, template int, license string, own array<string>")
     text = F.col("text")
@@ -87,7 +105,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, dice:
                      F.when(F.size(lines) > 1, F.array(F.struct(F.lit(-1).alias("line"), text.alias("unit"))))
                      .otherwise(F.array().cast("array<struct<line:int,unit:string>>")))
     found = (docs.select("doc_id", F.md5(text.cast("binary")).alias("digest"), F.explode(units).alias("u"))
-             .select("doc_id", "digest", "u.line", bigrams(F.col("u.unit")).alias("grams"))
+             .select("doc_id", "digest", "u.line", bigrams(F.col("u.unit"), least, most).alias("grams"))
              .withColumn("n", F.size("grams")).where("n > 0"))
     both = F.size(F.array_intersect("grams", "own"))
     return (found.join(F.broadcast(by_size), "n")
