@@ -33,6 +33,20 @@ def test_scan_reads_only_needed_columns(spark):
         assert unused not in p
 
 
+def test_p4_moves_the_vehicle_rows_twice(spark):
+    t = Tables(spark, SF)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        p = plan(t.vca)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # exchanges whose rows carry a vehicle column that no key and no roll-up has
+    wide = [x for x in p.split("\n") if "Exchange hashpartitioning" in x and "secondary_fuel" in x]
+    keyed = [x for x in p.split("\n") if "Exchange hashpartitioning" in x and "_vs_s" in x]
+    assert len(wide) == 1 and len(keyed) == 1
+
+
 def test_null_keeping_filters_reach_the_scan(spark, tmp_out):
     df = spark.createDataFrame([(1, 2.0, None)], "y int, m double, d date")
     df.write.parquet(tmp_out + "/t")

@@ -945,6 +945,28 @@ def _x3(t):
                                    X.aggressive_key("MODELTXT").alias("model_key"))
 
 
+# X3 abbreviations for the bound makes (a parameter, like a rule table)
+X3_ABBREVIATIONS = {"BRAND#11": "BRAND#12", "Brand#21": "Brand#22"}
+
+
+def _aggressive(col):
+    key = f"regexp_replace({norm(col)}, '[\\s-]+', '', 'g')"
+    cases = " ".join(f"WHEN '{a.upper()}' THEN '{b.upper()}'" for a, b in X3_ABBREVIATIONS.items())
+    return f"(CASE {key} {cases} ELSE {key} END)"
+
+
+@q("X3_join", f"""SELECT v.make, CAST(sum(coalesce(r.n, 0)) AS BIGINT) AS complaints, count(*) AS rows
+  FROM (SELECT DISTINCT {', '.join(c for c in K.ANALYSIS_COLUMNS if c not in K.COMPLAINT_MEASURES)} FROM clean_vehicles) v
+  LEFT JOIN (SELECT year, mk, mo, count(CMPLID) AS n FROM (
+    SELECT YEARTXT AS year, CMPLID, {_aggressive('MAKETXT')} AS mk, {_aggressive('MODELTXT')} AS mo FROM clean_complaints)
+    WHERE year IS NOT NULL AND mk IS NOT NULL AND mo IS NOT NULL GROUP BY ALL) r
+  ON v.year = r.year AND {_aggressive('v.make')} = r.mk AND {_aggressive('v.model')} = r.mo GROUP BY v.make""")
+def _x3b(t):
+    """X3 as the key of P4, with abbreviations."""
+    vca = I.vehicle_complaints_analysis(t.vehicles, t.complaints, lambda c: X.aggressive_key(c, X3_ABBREVIATIONS))
+    return vca.groupBy("make").agg(A.sum0("total_complaints").cast("bigint").alias("complaints"), F.count(F.lit(1)).alias("rows"))
+
+
 @q("X4", """SELECT *, CASE WHEN avg_mpg = 0 THEN NULL ELSE complaints / avg_mpg END AS complaints_per_mpg
   FROM (SELECT make, model, avg(comb08) AS avg_mpg,
         CAST(coalesce(sum(total_complaints), 0) AS BIGINT) AS complaints

@@ -1,14 +1,14 @@
 """Integrated analysis tables P4-P6.
 
-Physical shape of P4: partial+final HashAggregate of complaints (A1) ->
-left join with the vehicles (J1; AQE picks broadcast or sort-merge from the
-runtime size of the roll-up) -> group-size count joined back (A2) -> hash
-distinct (K4). P6 reuses P4 instead of recomputing it.
+Physical shape of P4: complaints (A1) and vehicles are both rolled up to their
+keys and joined there (J1, A2; AQE picks broadcast or sort-merge); the distinct
+projected vehicle rows (K4) are joined to these keys once, hot keys salted. P6
+reuses P4 instead of recomputing it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,15 +18,15 @@ from ..functions.scalar import map_code, norm_key, ratio_zero_as_one, round_even
 from ..operators.aggregates import (
     complaint_rollup, fuel_year_rollup, stations_by_fuel, stations_nationwide,
 )
-from ..operators.dedupe import attach_group_count, distinct
+from ..operators.dedupe import distinct
 from ..operators.filters import project_analysis
 from ..operators.joins import join_complaints, join_nationwide, join_stations
+from ..operators.skew import hot_keys, skew_safe_join
 
 
-def normalized_complaints(complaints: DataFrame) -> DataFrame:
-    """F1 on the complaint side."""
-    return complaints.withColumns({"make_norm": norm_key("MAKETXT"),
-                                   "model_norm": norm_key("MODELTXT")})
+def normalized_complaints(complaints: DataFrame, key: Callable = norm_key) -> DataFrame:
+    """F1 on the complaint side (or another ``key``, such as X3's)."""
+    return complaints.withColumns({"make_norm": key("MAKETXT"), "model_norm": key("MODELTXT")})
 
 
 def vehicle_complaints_joined(vehicles: DataFrame, complaints: DataFrame) -> DataFrame:
@@ -35,19 +35,31 @@ def vehicle_complaints_joined(vehicles: DataFrame, complaints: DataFrame) -> Dat
     return project_analysis(join_complaints(vehicles, rollup))
 
 
-def vehicle_complaints_analysis(vehicles: DataFrame, complaints: DataFrame) -> DataFrame:
+def vehicle_complaints_analysis(vehicles: DataFrame, complaints: DataFrame,
+                                key: Callable = norm_key) -> DataFrame:
     """P4 (22 columns): vehicles with their complaint measures.
 
     ``vehicle_variants`` counts vehicle-fuel rows per RAW (year, make, model)
     after the explosion and BEFORE the distinct (trap T16); the distinct then
     collapses rows that differed only in unprojected columns (trap T17).
+
+    Measures and variants depend on (year, make, model) alone, so they are
+    worked out on one row per such key and joined once to the distinct vehicle
+    rows: these move twice, for the distinct and for the salted join. ``key``
+    normalises make and model on both sides (X3: ``aggressive_key``).
     """
-    a = vehicle_complaints_joined(vehicles, complaints)
-    # J1 keeps every vehicle row exactly once (the roll-up is unique per key),
-    # so the group sizes are counted on the vehicles themselves
-    a = attach_group_count(a, ["year", "make", "model"], "vehicle_variants",
-                           null_keys_match=False, counts_from=vehicles)
-    return distinct(a)
+    raw = ["year", "make", "model"]
+    groups = vehicles.groupBy(*raw).agg(F.count(F.lit(1)).alias("vehicle_variants"))
+    rollup = complaint_rollup(normalized_complaints(complaints, key))
+    keyed = (groups.filter(F.col("year").isNotNull() & F.col("make").isNotNull() & F.col("model").isNotNull())
+             .withColumns({"make_norm": key("make"), "model_norm": key("model")})
+             .join(rollup, ["year", "make_norm", "model_norm"], "left").drop("make_norm", "model_norm"))
+    measures = list(K.COMPLAINT_MEASURES)
+    own = [c for c in K.ANALYSIS_COLUMNS if c not in measures]
+    rows = distinct(vehicles.select(*own))
+    hot = hot_keys(groups, raw, "vehicle_variants")
+    joined = skew_safe_join(rows, keyed, raw, hot, "left").na.fill(0, subset=measures)
+    return joined.select(*K.ANALYSIS_COLUMNS, "vehicle_variants")
 
 
 def _mapped(stations: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
