@@ -8,6 +8,8 @@ lost executor re-reads files and two runs never meet in one folder.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +32,34 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{root}/vehiscope-llm/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Inside, `written` tables are only needed until the end, where their
+    folders are deleted, but for those that are written with ``keep``."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for folder in made:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to a fresh shared folder and read it back: a durable cut of
     the lineage that survives the loss of executors."""
     spark = df.sparkSession
     path = run_folder(spark, name)
     df.write.parquet(path)
+    scopes = _SCOPES[:-1] if keep else _SCOPES
+    if scopes:
+        scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

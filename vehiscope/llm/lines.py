@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vehiscope.llm.common import bit_set, fresh, in_bit_set, table, written
+from vehiscope.llm.common import bit_set, fresh, in_bit_set, scratch, table, written
 
 SHINGLE = 5
 #: A line with a word; words end at spaces, tabs and carriage returns.
@@ -204,7 +204,9 @@ def _same(a: Column, b: Column) -> Column:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The documents without the lines that go."""
     digest, left, r_id, r_digest, gone = fresh(docs, "digest", "left", "removed_id", "removed_digest", "removed")
-    removed = written(removed_lines(docs), "removed-lines").select(
+    with scratch(docs.sparkSession):
+        removed = written(removed_lines(docs), "removed-lines", keep=True)
+    removed = removed.select(
         F.col("doc_id").alias(r_id), F.col("digest").alias(r_digest), F.col("removed").alias(gone))
     keyed = docs.withColumn(digest, F.md5(F.col("text").cast("binary")))
     joined = keyed.join(removed, _same(F.col("doc_id"), F.col(r_id)) & (F.col(digest) == F.col(r_digest)), "left")
@@ -222,7 +224,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with words, and those that go, of every document."""
     docs = table(spark, sf_dir, "documents")
-    removed = removed_lines(docs)
+    with scratch(spark):
+        removed = written(removed_lines(docs), "removed-lines", keep=True)
     own = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), F.size(F.filter(
         F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(A_WORD))).cast("long").alias("n_lines"))
     r = removed.select(F.col("doc_id").alias("r_id"), F.col("digest").alias("r_digest"), "removed")

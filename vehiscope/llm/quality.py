@@ -145,30 +145,25 @@ def threshold(scored: DataFrame, labels: DataFrame) -> float | None:
     return best[1]
 
 
-def judge(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float | None]:
-    """``docs`` with the base columns, base_failed and score, written; and the
-    threshold."""
-    base = base_columns(docs["text"])
-    scored = docs.withColumns(base | {"score": score_column(docs["text"], ratios(docs, labels))})
-    scored = scored.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    scored = written(scored, "quality-scores")
-    return scored, threshold(scored, labels)
-
-
-def _kept(limit: float | None) -> Column:
-    passes = F.lit(True) if limit is None else F.col("score") >= limit
-    return ~F.col("base_failed") & passes
+def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > 50 * n_words)
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    names = [f"c{k}" for k in range(len(docs.columns))]
-    at = {c: n for c, n in zip(docs.columns, names)}
-    plain = docs.toDF(*[at[c] if c not in ("doc_id", "text") else c for c in docs.columns])
-    scored, limit = judge(plain, labels)
-    return scored.where(_kept(limit)).select(
-        *[F.col(c if c in ("doc_id", "text") else at[c]).alias(c) for c in docs.columns])
+    """The documents that are kept, with their own columns. The labelled
+    documents of the held-out fold are scored first; the texts stay where they
+    are."""
+    text, own = docs["text"], docs.select("doc_id", "text")
+    score = score_column(text, ratios(own, labels))
+    held = _labels(labels).where("fold = 1").select("label_id")
+    if held.count() <= BROADCAST_IDS:
+        held = F.broadcast(held)
+    scored = written(own.join(held, F.col("doc_id") == F.col("label_id"), "left_semi").select("doc_id", score.alias("score")),
+                     "held-out-scores")
+    limit = threshold(scored, labels)
+    base = base_columns(text)
+    good = ~base_failed(base["n_words"], base["n_repeat_words"])
+    return docs.where(good if limit is None else good & (score >= limit))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +173,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = base_columns(docs["text"])
     scored = docs.select("doc_id", *[c.alias(n) for n, c in base.items()],
                          score_column(docs["text"], ratios(docs, labels)).alias("score"))
-    scored = written(scored.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
-        100 * F.col("n_repeat_words") > 50 * F.col("n_words"))), "quality-scores")
-    return scored.withColumn("kept", _kept(threshold(scored, labels))).select(
-        "doc_id", *base, "base_failed", "kept", "score")
+    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
+    scored = written(scored.withColumn("base_failed", failed), "quality-scores")
+    limit = threshold(scored, labels)
+    passes = F.lit(True) if limit is None else F.col("score") >= limit
+    return scored.withColumn("kept", ~F.col("base_failed") & passes).select("doc_id", *base, "base_failed", "kept", "score")

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vehiscope.llm.common import components, fresh, written
+from vehiscope.llm.common import components, fresh, scratch, written
 
 SHINGLE = 3
 BITS = 3
@@ -197,10 +197,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """One document of each component: the one of the smallest doc_id (nulls
     last), then digest; of rows that repeat both, the first by all columns."""
-    marked = near_duplicates(docs, shingle, bits)
     digest, nth, k1, k2 = fresh(docs, "digest", "nth", "kept_id", "kept_digest")
-    kept = (marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest"))
-                                       .alias("m")).select(F.col("m.doc_id").alias(k1), F.col("m.digest").alias(k2)))
+    with scratch(docs.sparkSession):
+        kept = written(near_duplicates(docs, shingle, bits).groupBy("root").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("m"))
+            .select(F.col("m.doc_id").alias(k1), F.col("m.digest").alias(k2)), "survivors", keep=True)
     keyed = docs.withColumn(digest, F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     order = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0)]
     first = keyed.withColumn(nth, F.row_number().over(
@@ -212,13 +213,13 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BI
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    marks = written(docs.select("doc_id", fingerprint_column()("text").alias("fp")), "fingerprints")
-    fps = marks.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    fps = written(fps, "distinct-fingerprints")
-    found = components(links(fps)).withColumnRenamed("node", "fp")
-    named = fps.join(found, "fp")
-    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    labels = written(fps.join(named.join(lowest, "root").select("fp", "component_id"), "fp", "left")
-                     .select("fp", F.coalesce("component_id", "low").alias("component_id")), "labels")
+    with scratch(spark):
+        marks = written(docs.select("doc_id", fingerprint_column()("text").alias("fp")), "fingerprints", keep=True)
+        fps = written(marks.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
+        found = components(links(fps)).withColumnRenamed("node", "fp")
+        named = fps.join(found, "fp")
+        lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
+        labels = written(fps.join(named.join(lowest, "root").select("fp", "component_id"), "fp", "left")
+                         .select("fp", F.coalesce("component_id", "low").alias("component_id")), "labels", keep=True)
     return marks.join(labels, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
