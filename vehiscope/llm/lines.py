@@ -43,7 +43,7 @@ T_NUM, T_DEN = 4, 5
 RARITY_BUCKETS = 1 << 15
 #: The rarity class is in the bits above the hash.
 HASH_BITS = 57
-ROUNDS = 1
+ROUNDS = 3
 
 
 def _docs(docs: DataFrame) -> DataFrame:
