@@ -33,6 +33,7 @@ from . import extras as X
 from . import integration as I
 from . import quality as D
 from .oracle import _lst, _map_case, norm, with_ctes
+from ..session import materialize
 from .pipeline import Tables
 
 AS_OF = K.DEFAULT_AS_OF
@@ -62,6 +63,11 @@ def oracle_sql() -> dict[str, str]:
 ORDER_TAIL = ", ".join(f"{c} ASC NULLS LAST" for c in Q.ANALYSIS_ROW_ORDER)
 
 
+def _p4_written(t, key):
+    """The tables with P4 written first, so that P4 and P6 read one build of it."""
+    return Tables(t.spark, t.sf_dir, t.as_of, {"vca": materialize(t.vca, f"{_io_root(t, key)}/vca")})
+
+
 def _nf(cols):
     """SQL ORDER BY tail, ascending with nulls first (top-k tie-breaks)."""
     return ", ".join(f"{c} ASC NULLS FIRST" for c in cols)
@@ -557,7 +563,8 @@ _ROWCOUNT_ATTR = ["raw_vehicles", "raw_complaints", "raw_stations", "vehicles",
 @q("A20", "\nUNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS rows FROM {n}"
                               for n in _ROWCOUNT_TABLES))
 def _a20(t):
-    return A.row_counts({n: getattr(t, a) for n, a in zip(_ROWCOUNT_TABLES, _ROWCOUNT_ATTR)})
+    once = _p4_written(t, "A20")
+    return A.row_counts({n: getattr(once, a) for n, a in zip(_ROWCOUNT_TABLES, _ROWCOUNT_ATTR)})
 
 
 # =====================================================================  J1..J4
@@ -784,9 +791,10 @@ def _contract_sql():
 
 @q("D1", _contract_sql())
 def _d1(t):
-    return D.contract({"vehicle_complaints_analysis": t.vca,
-                       "fuel_infrastructure_analysis": t.infra,
-                       "comprehensive_vehicle_analysis": t.comp})
+    once = _p4_written(t, "D1")
+    return D.contract({"vehicle_complaints_analysis": once.vca,
+                       "fuel_infrastructure_analysis": once.infra,
+                       "comprehensive_vehicle_analysis": once.comp})
 
 
 def _rules_sql(dataset, wide_sql, rules, scored=None):
