@@ -111,6 +111,11 @@ def _overlap(a: Column, b: Column) -> Column:
     return F.ceil((T_NUM * (a + b)) / (T_NUM + T_DEN))
 
 
+def _prefix(n: Column) -> Column:
+    """Length of the prefix of n tokens."""
+    return (n - F.ceil(T_NUM * n / T_DEN) + 1).cast("int")
+
+
 def _possible(na: Column, ia: Column, nb: Column, ib: Column) -> Column:
     """Length and positional filter for a token at places ia, ib (from 0)."""
     return ((T_DEN * F.least(na, nb) >= T_NUM * F.greatest(na, nb))
@@ -138,7 +143,7 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
     rare = _rarity_literal(_rarity(lines))
     tokens = lines.select("k1", "k2", _tokens(F.col("line"), rare).alias("tokens"))
     n = F.size("tokens")
-    size = (n - F.ceil(T_NUM * n / T_DEN) + 1).cast("int")
+    size = _prefix(n)
     prefix = written(tokens.select("k1", "k2", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), size))
                                    .alias("i", "token")), "prefix-tokens")
     shared = written(prefix.groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
@@ -175,7 +180,11 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
               .select("token", F.col("line").alias("y"), F.col("n").alias("ny"), F.col("i").alias("iy")))
     pairs = (open_.join(others, "token").where("line > y")
              .where(_possible(F.col("n"), F.col("i"), F.col("ny"), F.col("iy")))
-             .select(F.col("line").alias("x"), "y").distinct())
+             .groupBy(F.col("line").alias("x"), "y", "n", "ny").agg(F.count("*").alias("shared")))
+    # these are all prefix tokens that the pair shares (pairs with a leader are
+    # decided); what it shares beyond is in the rest of one of the two lines
+    beyond = F.greatest(F.col("n") - _prefix(F.col("n")), F.col("ny") - _prefix(F.col("ny")))
+    pairs = pairs.where(F.col("shared") + beyond >= _overlap(F.col("n"), F.col("ny"))).select("x", "y")
     found = found.unionByName(_verified(pairs, texts).select(F.col("x").alias("line")))
     return known.join(found.distinct(), "line").select("k1", "k2")
 
