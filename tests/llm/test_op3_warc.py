@@ -61,3 +61,23 @@ def test_query_equals_sql(spark, tmp_out, monkeypatch):
     want = con.sql(W.OP3_SQL)
     got = W.op3_warc_fixity(spark, path).select(*want.columns).collect()
     assert len(got) >= 4 and sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
+
+
+def test_offsets_of_the_query_locate_records_in_its_files(spark, monkeypatch):
+    monkeypatch.setattr(W, "RECORDS_PER_FILE", 20)
+    made = []
+    monkeypatch.setattr(W, "run_folder", lambda s, n, f=W.run_folder: made.append(f(s, n)) or made[-1])
+    got = W.op3_warc_fixity(spark, SF).collect()
+    assert {r.status for r in got} == {"corrupt", "missing"}
+    files = [{}, {}]
+    for k, folder in enumerate(made):
+        for f in spark.read.format("binaryFile").load(folder).collect():
+            assert f.file_id not in files[k]
+            files[k][f.file_id] = bytes(f.content)
+    assert len(files[0]) > 2
+    for r in got:
+        data = files[0][r.file_id]
+        assert hashlib.sha256(data[r.offset:r.offset + r.length]).hexdigest() == r.expected
+        assert (r.offset, r.length) == list(W.parse(data))[r.idx][:2]
+        parts = {hashlib.sha256(files[1][r.file_id][o:o + n]).hexdigest() for o, n, *_ in W.parse(files[1][r.file_id])}
+        assert r.expected not in parts and (r.found in parts) == (r.status == "corrupt")

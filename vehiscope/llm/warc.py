@@ -9,7 +9,8 @@ the differing records, with their byte ranges, are found.
 
 Records are spread over files by hash, about ``RECORDS_PER_FILE`` in each, so no
 file and no task grows with the data; identical pages are numbered before they
-are spread. Only digests, lengths and keys are shuffled, never the pages.
+are spread. The places are made from digests, lengths and keys; the pages are only
+moved to write the files, whose bytes the audit reads.
 
 Defined results
     null URL or page text: empty; line ends in a URL are percent-encoded; null
@@ -28,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vehiscope.llm.common import table, written
+from vehiscope.llm.common import run_folder, table, written
 
 FANOUT = 16
 RECORDS_PER_FILE = 1000
@@ -143,6 +144,13 @@ def write_warc(pages: DataFrame, path: str) -> None:
      .write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
+def write_replica(records: DataFrame, path: str) -> None:
+    """Write ``file_id, idx, value`` as one WARC file per file_id, in the order of
+    idx: ``value`` is a record without the two line ends that close it."""
+    (records.repartition("file_id").sortWithinPartitions("file_id", "idx").select("file_id", "value")
+     .write.partitionBy("file_id").option("lineSep", CRLF + CRLF).text(path))
+
+
 def parse(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
     """(offset, length, headers, payload) of the records of one file."""
     at = 0
@@ -159,7 +167,8 @@ def parse(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
 
 
 def read_leaves(spark: SparkSession, path: str) -> DataFrame:
-    """Leaves of the WARC files in a folder; files count by their order of name."""
+    """Leaves of the WARC files in a folder; those of `write_replica` have their
+    file_id, others count by their order of name."""
     files = spark.read.format("binaryFile").load(path)
 
     def cut(frames):
@@ -170,6 +179,10 @@ def read_leaves(spark: SparkSession, path: str) -> DataFrame:
                         for i, (o, n, h, _) in enumerate(parse(data))]
                 yield pd.DataFrame(rows, columns=["name", "idx", "offset", "length", "hash", "uri"])
 
+    if "file_id" in files.columns:
+        return (files.select(F.col("file_id").cast("string").alias("path"), "content").mapInPandas(
+            cut, "name string, idx long, offset long, length long, hash string, uri string")
+            .select(F.col("name").cast("long").alias("file_id"), "idx", "offset", "length", "hash", "uri"))
     leaves = files.select("path", "content").mapInPandas(
         cut, "name string, idx long, offset long, length long, hash string, uri string")
     names = leaves.select("name").distinct().withColumn("file_id", F.dense_rank().over(Window.orderBy("name")).cast("long") - 1)
@@ -181,22 +194,41 @@ def read_leaves(spark: SparkSession, path: str) -> DataFrame:
 FLIPPED, LOST = (97, 13), (389, 11)
 
 
-def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit of an archive of all pages against a replica with known damage."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+def replicas(spark: SparkSession, pages: DataFrame) -> tuple[DataFrame, str, str]:
+    """Writes an archive of the pages and its damaged copy: ``file_id, idx,
+    page_id, lost`` of every record of the archive, and the two folders."""
     flip = (F.pmod("page_id", F.lit(FLIPPED[0])) == FLIPPED[1]) & (F.octet_length("html") > 0) & (F.ascii("html") < 128)
     lost = F.coalesce(F.pmod("page_id", F.lit(LOST[0])) == LOST[1], F.lit(False))
     other = F.when(flip, F.concat(F.when(F.substring("html", 1, 1) == "#", "+").otherwise("#"),
                                   F.expr("substr(html, 2)"))).otherwise(F.col("html"))
-    good, bad = _closed(record(F.col("url"), F.col("html"))), _closed(record(F.col("url"), other))
+    good, bad = record(F.col("url"), F.col("html")), record(F.col("url"), other)
     # the damaged copy keeps the header, whose record id is that of the good page
     at = F.instr(good, CRLF + CRLF)
     bad = F.concat(F.substr(good, F.lit(1), at - 1), F.substr(bad, at))
-    rows = pages.select("page_id", F.octet_length(good).cast("long").alias("length"), F.sha2(good, 256).alias("hash"),
-                        F.when(~lost, F.when(flip, F.sha2(bad, 256)).otherwise(F.sha2(good, 256))).alias("other"))
-    places = written(layout(rows), "warc-places")
-    found = audit(places.drop("other"), places.where("other is not null").withColumn("hash", F.col("other")))
-    return places.select("file_id", "idx", "page_id").join(found, ["file_id", "idx"])
+    hashed = pages.withColumn("hash", F.sha2(_closed(good), 256))
+    places = written(layout(hashed.select("page_id", F.octet_length(_closed(good)).cast("long").alias("length"), "hash")),
+                     "warc-places")
+    # a record is known by its page_id and hash; each is moved once
+    key = F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("")), "hash")
+    texts = hashed.select(key.alias("key"), "page_id", "url", "html").dropDuplicates(["key"])
+    placed = places.select(key.alias("key"), "file_id", "idx").join(texts, "key")
+    folders = run_folder(spark, "warc-a"), run_folder(spark, "warc-b")
+    write_replica(placed.select("file_id", "idx", good.alias("value")), folders[0])
+    write_replica(placed.where(~lost).select("file_id", "idx", bad.alias("value")), folders[1])
+    return places.select("file_id", "idx", "page_id", lost.alias("lost")), *folders
+
+
+def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of an archive of all pages against a replica with known damage, both
+    read from their files."""
+    places, first, second = replicas(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    a = written(read_leaves(spark, first).drop("uri"), "warc-leaves-a")
+    # the index of the second replica: the n-th record of its file is number idx of the archive's
+    index = places.where("not lost").select("file_id", F.col("idx").alias("number"), (F.row_number().over(
+        Window.partitionBy("file_id").orderBy("idx")) - 1).cast("long").alias("idx"))
+    b = written(read_leaves(spark, second).join(index, ["file_id", "idx"]).select(
+        "file_id", F.col("number").alias("idx"), "offset", "length", "hash"), "warc-leaves-b")
+    return places.select("file_id", "idx", "page_id").join(audit(a, b), ["file_id", "idx"])
 
 
 OP3_SQL = f"""
