@@ -63,3 +63,22 @@ def test_edges(spark, edge_docs, no_docs):
     assert kept.columns == d.columns and kept.count() == d.count() - 1
     assert D.decontaminate(d, empty).count() == d.count()
     assert D.decontaminate(no_docs, bench).count() == 0
+
+
+def test_one_block_of_windows_a_job(spark, monkeypatch):
+    rng = random.Random(4)
+    items = [(k, " ".join(words(rng, 25, 9))) for k in range(40)] + [(None, "w1 w2"), (90, None)]
+    docs = [(k, " ".join(words(rng, 60, 9))) for k in range(30)] + [(31, None), (1, items[7][1]), (1, items[7][1])]
+    d = clashing(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), "hits", "window", "block")
+    b = spark.createDataFrame(items, "item_id long, text string").repartition(2)
+    seen, context = [], type(spark.sparkContext)
+    monkeypatch.setattr(context, "broadcast", lambda self, v, f=context.broadcast: seen.append(v) or f(self, v))
+    # the blocks before the last are used up, and none is part of the last job
+    got = D.scan(d, b, "h", limit=200)
+    assert len(seen) > 2 and max(map(len, seen)) < 300
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("hits(") == 1
+    rows = got.collect()
+    assert len(rows) == len(docs) and got.columns == [*d.columns, "h"]
+    for r in rows:
+        s = r.h.spans
+        assert (r.h.n_words, sum(s[1::2]) - sum(s[::2]), r.h["items"]) == brute(r.text, items)

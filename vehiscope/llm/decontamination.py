@@ -8,9 +8,11 @@ looked up in the shift table; a positive shift skips positions where no pattern
 can end; at shift zero the block selects the bucket of patterns with that
 suffix, and direct comparison confirms each occurrence.
 
-The windows are broadcast in blocks of at most ``WINDOWS_PER_BLOCK`` (a proven
-bound); the documents meet the blocks one after the other without a shuffle, and
-only their texts and the hits found so far pass through Python.
+The distinct windows are written with a block number, about ``WINDOWS_PER_BLOCK``
+to a block. A job has one block, which alone is on the driver and broadcast; the
+documents with the hits so far are written between the jobs, without a shuffle
+(none is written for a benchmark of one block). Only their texts and hits pass
+through Python.
 
 Defined results
     null or wordless text: no words, not contaminated; null or wordless item:
@@ -22,6 +24,7 @@ Defined results
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections import defaultdict
 from collections.abc import Iterator
@@ -30,6 +33,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vehiscope.llm.common import fresh, written
+
 WINDOW = 10
 BLOCK = 8
 WINDOWS_PER_BLOCK = 200_000
@@ -122,18 +127,22 @@ def merged(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def _blocks(benchmark: DataFrame, size: int, limit: int) -> Iterator[list[tuple[str | None, bytes]]]:
-    """The distinct (item_id, window) pairs in blocks of at most ``limit``;
-    one partition of them is on the driver at a time."""
+def _windows(benchmark: DataFrame, size: int) -> DataFrame:
+    """The (item_id, window) pairs, once per item row."""
     def cut(frames):
         for f in frames:
             rows = [(i, p) for i, t in zip(f["item_id"], f["text"]) for p in dict.fromkeys(windows(t, size))]
             yield pd.DataFrame(rows, columns=["item_id", "window"])
 
-    pairs = (benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string"))
-             .mapInPandas(cut, "item_id string, window binary"))
+    return (benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string"))
+            .mapInPandas(cut, "item_id string, window binary"))
+
+
+def _blocks(benchmark: DataFrame, size: int, limit: int) -> Iterator[list[tuple[str | None, bytes]]]:
+    """The (item_id, window) pairs in blocks of at most ``limit``; one partition
+    of them is on the driver at a time."""
     block: list[tuple[str | None, bytes]] = []
-    for r in pairs.toLocalIterator():
+    for r in _windows(benchmark, size).toLocalIterator():
         block.append((r[0], bytes(r[1])))
         if len(block) == limit:
             yield block
@@ -176,24 +185,47 @@ def _scanner(key: str, sent):
 def hits_column(spark: SparkSession, text: Column, benchmark: DataFrame, size: int = WINDOW,
                 limit: int = WINDOWS_PER_BLOCK) -> Column:
     """A struct per text: n_words, the merged hit spans (flat array of first and
-    past-last word) and the sorted ids of the items that occur."""
+    past-last word) and the sorted ids of the items that occur. All blocks in one
+    expression, for a benchmark that fits in memory; `scan` holds one at a time."""
     out = F.lit(None).cast(f"struct<{HITS.replace(' long', ':long').replace(' array', ':array')}>")
     for block in [*_blocks(benchmark, size, limit)] or [[]]:
         out = _scanner(uuid.uuid4().hex, spark.sparkContext.broadcast(block))(text, out)
     return out
 
 
+def scan(docs: DataFrame, benchmark: DataFrame, name: str, size: int = WINDOW,
+         limit: int = WINDOWS_PER_BLOCK) -> DataFrame:
+    """The documents and their hits, as of `hits_column`, in a column ``name``;
+    one block of windows a job."""
+    spark = docs.sparkSession
+    pairs = written(_windows(benchmark, size).distinct(), "benchmark-windows")
+    blocks = max(1, math.ceil(pairs.count() / limit))
+    if blocks > 1:
+        pairs = written(pairs.withColumn("block", F.pmod(F.xxhash64("item_id", "window"), F.lit(blocks)))
+                        .repartition(blocks, "block").sortWithinPartitions("block"), "benchmark-blocks")
+    kind = f"struct<{HITS.replace(' long', ':long').replace(' array', ':array')}>"
+    out = docs.withColumn(name, F.lit(None).cast(kind))
+    for k in range(blocks):
+        own = pairs.where(F.col("block") == k) if blocks > 1 else pairs
+        sent = spark.sparkContext.broadcast([(r["item_id"], bytes(r["window"])) for r in own.collect()])
+        out = out.withColumn(name, _scanner(uuid.uuid4().hex, sent)(out["text"], out[name]))
+        if k + 1 < blocks:
+            out = written(out, f"documents-hits-{k}")
+            sent.unpersist()
+    return out
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without any word inside an occurrence of a window."""
-    hits = hits_column(docs.sparkSession, docs["text"], benchmark)
-    return docs.where(F.size(hits["spans"]) == 0)
+    (hits,) = fresh(docs, "hits")
+    return scan(docs, benchmark, hits).where(F.size(F.col(hits)["spans"]) == 0).drop(hits)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hit words and items of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    h = docs.select("doc_id", hits_column(spark, docs["text"], bench).alias("h"))
+    h = scan(docs.select("doc_id", "text"), bench, "h")
     signs = F.transform("h.spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x))
     return h.select(
         "doc_id", "h.n_words", F.aggregate(signs, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_hit"),
