@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vehiscope.llm import centroids, decontamination, languages, licenses, lines, passages, quality, sentencepieces, sharding, simhash, urls, warc
+from vehiscope.llm import alignment, centroids, decontamination, languages, licenses, lines, passages, quality, sentencepieces, sharding, simhash, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": decontamination.op8_decontamination,
         "op9_licenses": licenses.op9_licenses,
         "op10_simhash": simhash.op10_simhash,
+        "op11_alignment": alignment.op11_alignment,
         "op12_languages": languages.op12_languages,
         "op13_centroids": centroids.op13_centroids,
     }
