@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from vehiscope.llm import alignment as A
@@ -84,7 +85,7 @@ def test_equals_the_libraries_on_whole_texts(spark, frequent):
 
 def test_a_full_cache_and_wide_groups_change_nothing(monkeypatch):
     rng = random.Random(3)
-    texts = TEXTS + random_texts(rng, 20)
+    texts = pa.array(TEXTS + random_texts(rng, 20))
     big = A.Aligner(*A.default_paths()).align(texts)
     monkeypatch.setattr(A, "WIDE", 3)
     monkeypatch.setattr(A, "LONG", 5)
@@ -106,4 +107,4 @@ def test_the_check_finds_a_difference():
     own = A.Aligner(*A.default_paths())
     own.quick = type("Wrong", (), {"encode_ordinary": staticmethod(lambda t: [0])})
     with pytest.raises(ValueError, match="differ"):
-        own.align(["some text"])
+        own.align(pa.array(["some text"]))

@@ -41,6 +41,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,9 +51,9 @@ from vehiscope.llm.common import scratch, table, written
 #: Irregular pairs with the highest counts that every worker holds.
 FREQUENT = 1 << 19
 #: Pieces a worker remembers; a longer piece is only known to its batch.
-CACHE, LONG = 250_000, 200
+CACHE, LONG = 500_000, 200
 #: Characters of text, and pieces of one call, that a task handles at once.
-PORTION, CALL = 1 << 21, 2048
+PORTION, CALL = 1 << 22, 8192
 CHECKED = 16
 #: A group with more links than this is expanded by its distinct ids.
 WIDE = 1 << 16
@@ -65,8 +66,12 @@ _HIDDEN = "".join(chr(c) for lo, hi in ((0x0, 0x20), (0x7F, 0xA0), (0xAD, 0xAD),
                                         (0x1680, 0x1680), (0x180B, 0x180F), (0x2000, 0x206F), (0x2581, 0x2581),
                                         (0x3000, 0x3000), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF)) for c in range(lo, hi + 1))
 _CUT = re.compile(f" (?<=[^{re.escape(_HIDDEN)}] )(?=[^{re.escape(_HIDDEN)}])")
-_PLAIN = re.compile(f"[^{re.escape(_HIDDEN)}Ā-\U0010FFFF](?:.*[^{re.escape(_HIDDEN)}Ā-\U0010FFFF])?", re.S)
-_BEYOND = re.compile("[Ā-\U0010FFFF]")
+#: The same characters for Arrow's expressions, and those in which a space is no
+#: cut, pieces that may be joined, and such of Latin-1 alone.
+_HID = "".join(f"\\x{{{ord(c):X}}}" for c in _HIDDEN)
+_ODD_SPACE = f"^ | $|[{_HID}] | [{_HID}]"
+_JOINABLE = f"^[^{_HID}]$|^[^{_HID}](?s:.)*[^{_HID}]$"
+_LATIN = r"^[\x{0}-\x{FF}]*$"
 
 
 def default_paths() -> tuple[str, str]:
@@ -88,38 +93,63 @@ class Store:
     def __init__(self):
         self.index: dict[str, int] = {}
         self.strings: list[str] = []
-        self.numbers = np.zeros((0, 5), dtype=np.int64)  # n_a, n_b, n_groups, n_links, whole
-        self.own = _Lists(np.int64)
-        self.pairs = _Lists(np.int64)
+        self.numbers = _Joined(np.zeros((0, 5), dtype=np.int64))  # n_a, n_b, n_groups, n_links, whole
+        self.own, self.pairs = _Lists(), _Lists()
+
+
+class _Joined:
+    """An array that grows by pieces and is joined when it is read."""
+
+    def __init__(self, first: np.ndarray):
+        self.parts = [first]
+
+    def add(self, part: np.ndarray) -> None:
+        self.parts.append(part)
+
+    def all(self) -> np.ndarray:
+        if len(self.parts) > 1:
+            self.parts = [np.concatenate(self.parts)]
+        return self.parts[0]
 
 
 class _Lists:
     """A list of (value, times) for each piece, one after the other."""
 
-    def __init__(self, kind):
-        self.start = np.zeros(1, dtype=np.int64)
-        self.value, self.times = np.zeros(0, dtype=kind), np.zeros(0, dtype=np.int64)
+    def __init__(self):
+        self.size, self.value, self.times = (_Joined(np.zeros(0, dtype=np.int64)) for _ in range(3))
 
     def add(self, pieces: int, piece: np.ndarray, value: np.ndarray, times: np.ndarray) -> None:
         """``piece`` in ascending order."""
-        sizes = np.bincount(piece, minlength=pieces)
-        self.start = np.append(self.start, self.start[-1] + np.cumsum(sizes))
-        self.value, self.times = np.append(self.value, value), np.append(self.times, times)
+        self.size.add(np.bincount(piece, minlength=pieces))
+        self.value.add(value)
+        self.times.add(times)
 
     def of(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All entries of some pieces: place in ``pieces``, value, times."""
-        size = self.start[pieces + 1] - self.start[pieces]
+        sizes = self.size.all()
+        size = sizes[pieces]
         place = np.repeat(np.arange(len(pieces)), size)
-        at = np.arange(len(place)) - np.repeat(np.cumsum(size) - size, size) + self.start[pieces][place]
-        return place, self.value[at], self.times[at]
+        first = (np.cumsum(sizes) - sizes)[pieces] - (np.cumsum(size) - size)
+        at = np.arange(len(place)) + first[place]
+        return place, self.value.all()[at], self.times.all()[at]
+
+
+def _summed(group: np.ndarray, value: np.ndarray, times: np.ndarray, values: int):
+    """Distinct (group, value) in order, with their summed times; a value is
+    below ``values``."""
+    key = group * values + value
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    group, value = np.divmod(key[new], values)
+    return group, value, np.add.reduceat(times[order], new) if len(new) else times
 
 
-def _summed(group: np.ndarray, value: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (group, value) in order, with their summed times."""
-    order = np.lexsort((value, group))
-    group, value, times = group[order], value[order], times[order]
-    new = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (value[1:] != value[:-1]))[:len(group)])
-    return group[new], value[new], np.add.reduceat(times, new) if len(new) else times
+def _texts_joined(texts: pa.Array, sizes: np.ndarray, by: str) -> pa.Array:
+    """Consecutive texts joined, ``sizes`` of them at a time."""
+    offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, texts.cast(pa.large_string())),
+                          pa.scalar(by, pa.large_string()))
 
 
 class Aligner:
@@ -164,8 +194,10 @@ class Aligner:
         self.identity = np.array([normal.get(raw, -1) for raw in self.a_bytes], dtype=np.int64)
         self.a_size = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
-        self.a_text = [str(i) for i in range(len(self.a_bytes))]
-        self.b_text = [str(i) for i in range(len(self.b_bytes))]
+        self.numerals = pa.array([str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))])
+        self.codes = len(self.a_bytes) * len(self.b_bytes)
+        if self.codes >= 1 << 40:
+            raise ValueError("vocabularies too large for the keys of a portion")
         # the quick way needs ids in the order of the merges
         merged = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
         ranks = {raw: i for i, raw in enumerate(self.a_bytes) if raw and i not in special}
@@ -226,90 +258,105 @@ class Aligner:
         piece, x, y, times = (np.concatenate(c) for c in zip(*found))
         same = self.identity[x] == y  # an identity pair counts as one, whatever its group
         own = _summed(np.append(owner[single], piece[same]), np.append(a[a0[single]], x[same]),
-                      np.append(np.ones(int(single.sum()), dtype=np.int64), times[same]))
-        pairs = _summed(piece[~same], (x[~same] << 32) | y[~same], times[~same])
+                      np.append(np.ones(int(single.sum()), dtype=np.int64), times[same]), self.codes)
+        pairs = _summed(piece[~same], x[~same] * len(self.b_bytes) + y[~same], times[~same], self.codes)
         s = self.store
-        first = len(s.strings)
         s.own.add(n, *own)
         s.pairs.add(n, *pairs)
         count = np.bincount(owner, minlength=n)
-        s.numbers = np.concatenate([s.numbers, np.column_stack([
-            np.add.reduceat(v, np.cumsum(count) - count) for v in (na, nb, np.ones_like(na), links)]
-            + [np.ones(n, dtype=np.int64)])])
-        at, bt = self.a_text, self.b_text
-        ai, bi = [at[i] for i in a.tolist()], [bt[i] for i in b.tolist()]
-        texts = [f"{ai[p]}|{bi[q]}" if m == 1 else f"{','.join(ai[p:p + u])}|{','.join(bi[q:q + v])}" for m, p, u, q, v
-                 in zip(links.tolist(), a0.tolist(), na.tolist(), b0.tolist(), nb.tolist())]
-        at_ = 0
-        for p, c in zip(pieces, count.tolist()):
-            s.index[p] = len(s.strings)
-            s.strings.append(";".join(texts[at_:at_ + c]))
-            at_ += c
-        assert len(s.strings) == first + n
+        first = np.cumsum(count) - count
+        s.numbers.add(np.column_stack([np.add.reduceat(v, first) for v in (na, nb, np.ones_like(na), links)]
+                                      + [np.ones(n, dtype=np.int64)]))
+        both = [_texts_joined(self.numerals.take(pa.array(ids)), sizes, ",") for ids, sizes in ((a, na), (b, nb))]
+        strings = _texts_joined(pc.binary_join_element_wise(*both, pa.scalar("|", pa.large_string())), count, ";").to_pylist()
+        s.index.update(zip(pieces, range(len(s.strings), len(s.strings) + n)))
+        s.strings += strings
 
     def _broken(self, piece: str) -> None:
         """A piece whose tokens do not give back its bytes."""
         s, none = self.store, np.zeros(0, dtype=np.int64)
         s.index[piece] = len(s.strings)
         s.strings.append("")
-        s.numbers = np.concatenate([s.numbers, np.zeros((1, 5), dtype=np.int64)])
+        s.numbers.add(np.zeros((1, 5), dtype=np.int64))
         s.own.add(1, none, none, none)
         s.pairs.add(1, none, none, none)
 
-    def learn(self, pieces: list[str]) -> None:
-        plain, odd = [], []
-        for p in pieces:
-            # joined pieces must begin and end with a visible Latin-1 character
-            if len(p) <= LONG and _PLAIN.fullmatch(p) and not _BEYOND.search(p):
-                plain.append(p)
-            else:
-                odd.append(p)
-        for k in range(0, len(plain), CALL):
-            part = plain[k:k + CALL]
-            if not self._joined(part, True):
-                odd += part
-        for p in odd:
+    def learn(self, pieces: pa.Array) -> None:
+        short = pc.less_equal(pc.utf8_length(pieces), LONG)
+        fits = pc.and_(short, pc.match_substring_regex(pieces, _JOINABLE))
+        latin = pc.and_(fits, pc.match_substring_regex(pieces, _LATIN))
+        alone = pieces.filter(pc.invert(fits)).to_pylist()
+        for some, quick in ((latin, True), (pc.and_not(fits, latin), False)):
+            part = pieces.filter(some).to_pylist()
+            for k in range(0, len(part), CALL):
+                if not self._joined(part[k:k + CALL], quick):
+                    alone += part[k:k + CALL]
+        for p in alone:
             if not self._joined([p], False):
                 self._broken(p)
 
     # --------------------------------------------------------------- batches
-    def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], tuple, tuple]:
-        """Of texts: numbers, digests, and (text, id, times) of the identity
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Pieces in a row for each text, and their number; an empty or null
+        text has none."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        size = np.zeros(len(texts), dtype=np.int64)
+        odd = pc.match_substring_regex(texts, _ODD_SPACE).to_numpy(zero_copy_only=False)
+        empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(texts, " ")
+        if not (odd | empty).any():
+            return np.diff(np.asarray(lists.offsets)), lists.flatten()
+        cut: list[pa.Array] = []
+        start = 0
+        for k in [*np.flatnonzero(odd | empty).tolist(), len(texts)]:
+            if k > start:
+                run = lists.slice(start, k - start)
+                cut.append(run.flatten())
+                size[start:k] = np.diff(np.asarray(run.offsets))
+            if k < len(texts) and not empty[k]:
+                own = _CUT.split(texts[k].as_py())
+                cut.append(pa.array(own, pa.large_string()))
+                size[k] = len(own)
+            start = k + 1
+        return size, pa.concat_arrays(cut) if cut else pa.array([], pa.large_string())
+
+    def align(self, texts: pa.Array) -> tuple[np.ndarray, list[str], tuple, tuple]:
+        """Of texts: numbers, digests, and (text, code, times) of the identity
         pairs and of the irregular ones, in order and distinct for each text."""
-        cut = [_CUT.split(t) if t else [] for t in texts]
-        flat = list(chain.from_iterable(cut))
-        new = set(flat).difference(self.store.index)
+        size, flat = self._cut(texts)
+        coded = flat.dictionary_encode()
+        known = coded.dictionary.to_pylist()
+        new = [p for p in known if p not in self.store.index]
         if len(self.store.strings) + len(new) > self.limit:
-            self.store = Store()
-            new = set(flat)
-        self.learn(sorted(new))
+            self.store, new = Store(), known
+        self.learn(pa.array(new, pa.large_string()))
         s = self.store
-        piece = np.fromiter(map(s.index.__getitem__, flat), dtype=np.int64, count=len(flat))
-        text = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
-        whole = np.ones(len(cut), dtype=bool)
-        whole[text[s.numbers[piece, 4] == 0]] = False
-        numbers = np.zeros((len(cut), 4), dtype=np.int64)
-        if len(piece):
-            some = np.flatnonzero([len(c) for c in cut])
-            starts = np.searchsorted(text, some)
-            for k in range(4):
-                numbers[some, k] = np.add.reduceat(s.numbers[piece, k], starts)
+        place = np.array([s.index[p] for p in known], dtype=np.int64)
+        inner = coded.indices.to_numpy()
+        piece = place[inner]
+        text = np.repeat(np.arange(len(size)), size)
+        facts = s.numbers.all()[piece]
+        whole = size > 0
+        whole[text[facts[:, 4] == 0]] = False
+        numbers = np.zeros((len(size), 4), dtype=np.int64)
+        some = np.flatnonzero(size)
+        if len(some):
+            numbers[some] = np.add.reduceat(facts[:, :4], (np.cumsum(size) - size)[some])
         numbers[~whole] = 0
-        digests, strings = [], s.strings
-        at = 0
-        for ids, ok in zip(np.split(piece, np.cumsum([len(c) for c in cut])[:-1]) if cut else [], whole.tolist()):
-            digests.append(hashlib.sha256(";".join([strings[i] for i in ids.tolist()]).encode()).hexdigest()
-                           if ok and len(ids) else "")
-            at += len(ids)
+        strings = pa.array([s.strings[i] for i in place.tolist()], pa.large_string()).take(coded.indices)
+        digests = [hashlib.sha256(d.encode()).hexdigest() if ok else "" for d, ok
+                   in zip(_texts_joined(strings, size, ";").to_pylist(), whole.tolist())]
         keep = whole[text]
-        key, times = np.unique(text[keep] * max(1, len(strings)) + piece[keep], return_counts=True)
-        text, piece = np.divmod(key, max(1, len(strings)))
+        kinds = max(1, len(s.strings))
+        key, times = np.unique(text[keep] * kinds + piece[keep], return_counts=True)
+        text, piece = np.divmod(key, kinds)
         out = []
         for lists in (s.own, s.pairs):
-            place, value, inner = lists.of(piece)
-            out.append(_summed(text[place], value, inner * times[place]))
-        for p in [p for p in new if len(p) > LONG]:
-            s.index.pop(p)  # a long piece is not remembered; its entry is given up with the store
+            at, value, inside = lists.of(piece)
+            out.append(_summed(text[at], value, inside * times[at], self.codes))
+        for p in new:
+            if len(p) > LONG:  # not remembered; its entry is given up with the store
+                del s.index[p]
         return numbers, digests, out[0], out[1]
 
 
@@ -326,15 +373,15 @@ def _lists(rows: int, found: tuple, kind: pa.DataType) -> list[pa.Array]:
             pa.ListArray.from_arrays(offsets, pa.array(times).cast(pa.int32()))]
 
 
-def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str | None]]]:
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts of rows whose texts add up to a bounded size."""
     for b in batches:
-        texts = b.column("text").to_pylist()
-        start, size = 0, 0
-        for k, t in enumerate(texts):
-            size += len(t or "")
-            if size >= PORTION or k + 1 == len(texts):
-                yield b.column("doc_id").slice(start, k + 1 - start).cast(pa.int64()), texts[start:k + 1]
-                start, size = k + 1, 0
+        texts, ids = b.column("text"), b.column("doc_id").cast(pa.int64())
+        sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+        portion = np.cumsum(sizes.astype(np.int64)) // PORTION
+        starts = np.flatnonzero(np.append(True, portion[1:] != portion[:-1])[:len(sizes)]).tolist()
+        for start, end in zip(starts, [*starts[1:], len(sizes)]):
+            yield ids.slice(start, end - start), texts.slice(start, end - start)
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -359,15 +406,15 @@ def _values(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False)
 
 
-def pair_counts(docs: DataFrame, size: int) -> DataFrame:
+def pair_counts(docs: DataFrame, size: int, size_b: int) -> DataFrame:
     """``a, b, n``: documents of each pair, from `aligned` rows; identity pairs
-    have b = -1. ``size`` is the length of vocabulary A."""
+    have b = -1. The sizes are those of the vocabularies."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vector = np.zeros(size, dtype=np.int64)
         for batch in batches:
             vector += np.bincount(_values(batch.column("own")), minlength=size)
             code, n = np.unique(_values(batch.column("pairs")), return_counts=True)
-            yield _counts(code >> 32, code & 0xFFFFFFFF, n)
+            yield _counts(code // size_b, code % size_b, n)
         used = np.flatnonzero(vector)
         yield _counts(used, np.full(len(used), -1), vector[used])
 
@@ -405,27 +452,36 @@ def frequent_from(counts: DataFrame, most: int) -> int:
     return least if least != math.inf else 4 * 64
 
 
+def _sizes(a_path: str, b_path: str) -> tuple[int, int]:
+    """The lengths of both vocabularies."""
+    import sentencepiece
+
+    with open(a_path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return (1 + max(chain(spec["model"]["vocab"].values(), (t["id"] for t in spec["added_tokens"]))),
+            sentencepiece.SentencePieceProcessor(model_file=b_path).get_piece_size())
+
+
 def align(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, frequent: int = FREQUENT) -> DataFrame:
     """Every document with its numbers, digest, and the counts of its links."""
     spark = docs.sparkSession
     a_path, b_path = a_path or default_paths()[0], b_path or default_paths()[1]
-    with open(a_path, encoding="utf-8") as f:
-        spec = json.load(f)
-    size = 1 + max(chain(spec["model"]["vocab"].values(), (t["id"] for t in spec["added_tokens"])))
+    size, size_b = _sizes(a_path, b_path)
+    code = F.col("a").cast("long") * size_b + F.col("b")
     with scratch(spark):
         rows = written(aligned(docs, a_path, b_path), "align-rows")
-        counts = written(pair_counts(rows, size), "align-counts")
+        counts = written(pair_counts(rows, size, size_b), "align-counts")
         own = _vector(counts.where("b = -1").select("a", "n"), size)
         best = _vector(counts.groupBy("a").agg(F.max("n")), size)
         least = frequent_from(counts, frequent)
         high = counts.where("b >= 0").where(_bucket() >= least).select(
-            (F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("code"), "n").toArrow()
-        code = high.column("code").to_numpy()
-        order = np.argsort(code)
-        known = spark.sparkContext.broadcast((own, best, code[order], high.column("n").to_numpy()[order]))
+            code.alias("code"), "n").toArrow()
+        codes = high.column("code").to_numpy()
+        order = np.argsort(codes)
+        known = spark.sparkContext.broadcast((own, best, codes[order], high.column("n").to_numpy()[order], size_b))
         first = rows.mapInArrow(_looked_up(known), LOOKED_UP)
         rare = (counts.where("b >= 0").where(_bucket() < least)
-                .select((F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("code"), "a", "n")
+                .select(code.alias("code"), "a", "n")
                 .join(F.broadcast(counts.groupBy("a").agg(F.max("n").alias("top"))), "a")
                 .select("code", "n", (F.col("n") == F.col("top")).cast("long").alias("is_best")))
         late = (rows.mapInArrow(_rare(known), "row long, code long, times long").join(rare, "code")
@@ -453,13 +509,13 @@ def _place(codes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _looked_up(known):
     """Counts of the links whose pairs every worker knows."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, best, codes, counts = known.value
+        own, best, codes, counts, size_b = known.value
         for batch in batches:
             n = batch.num_rows
             a, code = _values(batch.column("own")), _values(batch.column("pairs"))
             at, here = _place(codes, code)
             count = np.append(own[a], np.where(here, counts[at] if len(counts) else 0, 0))
-            top = np.append(best[a], best[code >> 32])
+            top = np.append(best[a], best[code // size_b])
             times = np.append(_values(batch.column("own_n")), _values(batch.column("pairs_n"))).astype(np.int64)
             row = np.append(_row_of(batch.column("own")), _row_of(batch.column("pairs")))
             sums, bests = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
