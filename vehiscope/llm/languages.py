@@ -210,10 +210,18 @@ def fit(docs: DataFrame, sample_bytes: int = SAMPLE_BYTES, language_bytes: int =
     learn = (docs.where(~held_out_column() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
              .select("lang", "text", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size"))
              .where("size between 1 and " + str(language_bytes)))
-    names = [r.lang for r in learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
-    each = min(language_bytes, sample_bytes // max(1, len(names)))
+    seen = (learn.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("texts"))
+            .orderBy(F.desc("n"), "lang").limit(languages).collect())
+    names = [r.lang for r in seen]
+    if not names:
+        return ()
+    each = min(language_bytes, sample_bytes // len(names))
+    # the smallest hashes of a language lie below this share of all hashes, so that
+    # only some multiples of the sample are sorted
+    share = F.create_map(*[F.lit(v) for r in seen for v in (r.lang, min(1.0, 8 * sample_texts / r.texts))])
+    low = F.col("h").cast("double") / 2.0 ** 64 + 0.5 <= share[F.col("lang")]
     by_hash = W.partitionBy("lang").orderBy("h", "size")
-    picked = (learn.where(F.col("lang").isin(names) & (F.col("size") <= each)).select("lang", "h", "size").distinct()
+    picked = (learn.where(F.col("lang").isin(names) & (F.col("size") <= each) & low).select("lang", "h", "size").distinct()
               .withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= sample_texts)
               .withColumn("sofar", F.sum("size").over(by_hash.rowsBetween(W.unboundedPreceding, 0)))
               .where(F.col("sofar") <= each).select("lang", "h", "size"))
