@@ -48,15 +48,18 @@ def vehicle_complaints_analysis(vehicles: DataFrame, complaints: DataFrame,
     rows: these move twice, for the distinct and for the salted join. ``key``
     normalises make and model on both sides (X3: ``aggressive_key``).
     """
-    raw = ["year", "make", "model"]
-    groups = vehicles.groupBy(*raw).agg(F.count(F.lit(1)).alias("vehicle_variants"))
-    rollup = complaint_rollup(normalized_complaints(complaints, key))
+    groups = vehicles.groupBy("year", "make", "model").agg(F.count(F.lit(1)).alias("vehicle_variants"))
+    own = [c for c in K.ANALYSIS_COLUMNS if c not in K.COMPLAINT_MEASURES]
+    return analysis_of(distinct(vehicles.select(*own)), groups,
+                       complaint_rollup(normalized_complaints(complaints, key)), key)
+
+
+def analysis_of(rows: DataFrame, groups: DataFrame, rollup: DataFrame, key: Callable = norm_key) -> DataFrame:
+    """P4 from its distinct vehicle rows, the variants of each raw key and A1."""
+    raw, measures = ["year", "make", "model"], list(K.COMPLAINT_MEASURES)
     keyed = (groups.filter(F.col("year").isNotNull() & F.col("make").isNotNull() & F.col("model").isNotNull())
              .withColumns({"make_norm": key("make"), "model_norm": key("model")})
              .join(rollup, ["year", "make_norm", "model_norm"], "left").drop("make_norm", "model_norm"))
-    measures = list(K.COMPLAINT_MEASURES)
-    own = [c for c in K.ANALYSIS_COLUMNS if c not in measures]
-    rows = distinct(vehicles.select(*own))
     hot = hot_keys(groups, raw, "vehicle_variants")
     joined = skew_safe_join(rows, keyed, raw, hot, "left").na.fill(0, subset=measures)
     return joined.select(*K.ANALYSIS_COLUMNS, "vehicle_variants")

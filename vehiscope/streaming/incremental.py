@@ -15,7 +15,7 @@ dataset at a time.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,8 +105,10 @@ def compact(spark: SparkSession, root: str, keys: Sequence[str], order_by: Seque
 
 def start_incremental_load(spark: SparkSession, source_dir: str, schema: T.StructType,
                            target_root: str, checkpoint: str, available_now: bool = True,
-                           max_files_per_trigger: int | None = None):
-    """Start the streaming load; returns the ``StreamingQuery``.
+                           max_files_per_trigger: int | None = None,
+                           publish: Callable[[DataFrame], object] | None = None):
+    """Start the streaming load; returns the ``StreamingQuery``. ``publish`` takes
+    each micro-batch, by default as a delta of ``target_root``.
 
     ``available_now`` processes everything present and stops (a scheduled
     incremental run); otherwise the query keeps running on new files.
@@ -116,9 +118,9 @@ def start_incremental_load(spark: SparkSession, source_dir: str, schema: T.Struc
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        append_delta(batch, target_root)
+    def each(batch: DataFrame, batch_id: int) -> None:
+        publish(batch) if publish else append_delta(batch, target_root)
 
-    w = stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
