@@ -204,15 +204,88 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     return [found[int(x)] + (x - int(x)) * (found[min(int(x) + 1, total - 1)] - found[int(x)]) for x in at]
 
 
+def order_key(v: Column) -> Column:
+    """Doubles as 64-bit integers in the same order: exponent and fraction of the
+    magnitude (as doubles are stored), with the sign; both zeros are 0, NaN is the
+    largest. Powers of two and divisions by them are exact."""
+    one = F.lit(1).cast("bigint")
+    x = F.abs(v)
+    e = F.floor(F.log2(x))
+    # the logarithm may round up to, or fall short of, a whole number
+    e = F.when(F.pow(F.lit(2.0), e) > x, e - 1).when(F.pow(F.lit(2.0), e + 1) <= x, e + 1).otherwise(e)
+    normal = (F.shiftleft((e + 1023).cast("bigint"), 52)
+              + ((x / F.pow(F.lit(2.0), e) - 1.0) * 2.0 ** 52).cast("bigint"))
+    small = (x * 2.0 ** 537 * 2.0 ** 537).cast("bigint")  # below 2^-1022: units of 2^-1074
+    top = F.shiftleft(one * 2047, 52)
+    size = (F.when(F.isnan(v), top + 1).when(x == float("inf"), top).when(x < 2.0 ** -1022, small).otherwise(normal))
+    return F.when(~F.isnan(v) & (v < 0), -size).otherwise(size)
+
+
+#: Bits of the order key below each level of the rank selection: a level has at
+#: most 2^22 parts.
+LEVELS = (42, 21, 0)
+
+
+def grouped_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float]) -> DataFrame:
+    """``keys, q0, q1, ...``: exact, linearly interpolated quantiles of each group
+    with a value (without ``keys``: one row, null without values). Nothing runs
+    before an action, and no task ever holds all values of a group.
+
+    The values are counted once (a partial aggregate). Then a rank is looked up by
+    radix: the counts of the order key's highest bits say in which part it lies,
+    the next bits are counted within this part only, and so on. What a window
+    sorts is one row a part; what meets the value counts is a row a wanted rank."""
+    keys = list(keys)
+    counts = (df.select(*keys, F.col(col).cast("double").alias("_vs_v")).where("_vs_v is not null")
+              .groupBy(*keys, "_vs_v").agg(F.count(F.lit(1)).alias("_vs_n"))
+              .withColumn("_vs_k", order_key(F.col("_vs_v"))))
+    known = ["_vs_rank", "_vs_before", "_vs_total"]
+    picked = None
+    for k, bits in enumerate(LEVELS):
+        part = F.shiftright("_vs_k", bits).alias("_vs_part")
+        if picked is None:
+            rows, by = counts.withColumn("_vs_part", part), [*keys, "_vs_part"]
+        else:
+            above = counts.withColumn("_vs_part", F.shiftright("_vs_k", LEVELS[k - 1]))
+            held = picked if keys else F.broadcast(picked)  # without keys: two rows a quantile
+            rows = above.join(held, [*keys, "_vs_part"]).withColumn("_vs_part", part)
+            by = [*keys, *known, "_vs_part"]
+        parts = rows.groupBy(*by).agg(F.sum("_vs_n").alias("_vs_n"), F.min("_vs_v").alias("_vs_v"))
+        of = [F.col(c) for c in (keys if picked is None else [*keys, "_vs_rank"])]
+        upto = F.sum("_vs_n").over(Window.partitionBy(*of).orderBy("_vs_part"))
+        if picked is None:
+            parts = parts.withColumns({"_vs_upto": upto, "_vs_total": F.sum("_vs_n").over(Window.partitionBy(*of))})
+            low = [F.floor(F.lit(float(p)) * (F.col("_vs_total") - 1)) for p in probs]
+            wanted = F.array_distinct(F.array(*low, *[F.least(x + 1, F.col("_vs_total") - 1) for x in low]))
+            mine = F.filter(wanted, lambda r: (r < F.col("_vs_upto")) & (r >= F.col("_vs_upto") - F.col("_vs_n")))
+            parts = parts.withColumn("_vs_rank", F.explode(mine))
+        else:
+            parts = (parts.withColumn("_vs_upto", upto + F.col("_vs_before"))
+                     .where("_vs_rank < _vs_upto and _vs_rank >= _vs_upto - _vs_n"))
+        picked = parts.select(*keys, "_vs_rank", (F.col("_vs_upto") - F.col("_vs_n")).alias("_vs_before"),
+                              "_vs_total", "_vs_part", "_vs_v")
+        picked = picked if bits == 0 else picked.drop("_vs_v")
+    found = picked.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_vs_rank", "_vs_v"))).alias("_vs_m"),
+                                      F.max("_vs_total").alias("_vs_total"))
+    out = []
+    for i, p in enumerate(probs):
+        at = F.lit(float(p)) * (F.col("_vs_total") - 1)
+        lo, hi = F.floor(at), F.least(F.floor(at) + 1, F.col("_vs_total") - 1)
+        a, b = F.col("_vs_m")[lo], F.col("_vs_m")[hi]
+        # a whole rank and equal neighbours need no difference, which infinities lack
+        out.append(F.when((a == b) | (at == lo), a).otherwise(a + (at - lo) * (b - a)).alias(f"q{i}"))
+    return found.select(*keys, *out)
+
+
 def profile_numeric(df: DataFrame, col: str, approx: bool = False, places: int = 9) -> DataFrame:
     """Mean, median, min, max and sample standard deviation.
 
-    The median is exact (``exact_quantiles``); ``approx=True`` switches to
-    ``percentile_approx``. The standard deviation is rounded half-even to
+    The median is exact (``grouped_quantiles``, a scalar subquery of the same
+    plan); ``approx=True`` switches to ``percentile_approx``. The standard deviation is rounded half-even to
     ``places`` decimals so the result does not depend on float summation order.
     """
     med = (F.percentile_approx(col, 0.5, 100000).cast("double") if approx
-           else F.lit(exact_quantiles(df, col, [0.5])[0]).cast("double"))
+           else grouped_quantiles(df, [], col, [0.5]).scalar())
     return df.agg(F.avg(col).alias("mean"), med.alias("median"),
                   F.min(col).alias("min"), F.max(col).alias("max"),
                   round_even(F.stddev_samp(col), places).alias("std"))

@@ -1244,6 +1244,118 @@ def _x11a(t):
     return X.upsert(t.stations, _stations_rerun(t), ["id"])
 
 
+@q("X11_upsert", f"""SELECT * EXCLUDE (_src, _rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY _src) AS _rn FROM (
+    SELECT *, 1 AS _src FROM clean_stations UNION ALL SELECT *, 0 AS _src FROM {_CS_DESC} WHERE id % 3 = 0
+    UNION ALL SELECT *, 2 AS _src FROM {_CS_DESC} WHERE id % 2 = 0))
+  WHERE _rn = 1""")
+def _x11u(t):
+    """X11 at scale: a bucketed dataset, two upserts (the second one late, with
+    older rows) and a compaction between them; a third of the stations change."""
+    from ..streaming import upserts as U
+    root = _io_root(t, "X11_upsert")
+    U.create(t.stations.withColumn("snapshot", F.lit(2)), root, ["id"], ["snapshot"], buckets=16)
+    U.upsert(_stations_rerun(t).where("id % 3 = 0").withColumn("snapshot", F.lit(3)), root)
+    U.compact(t.spark, root)
+    U.upsert(_stations_rerun(t).where("id % 2 = 0").withColumn("snapshot", F.lit(1)), root)
+    return U.current(t.spark, root).drop("snapshot")
+
+
+def _earlier(t):
+    """Vehicles and complaints as they were before a change set: some rows are
+    not there yet, some are there that go, some have other values."""
+    vehicles = (t.vehicles.where("id % 10 <> 3")
+                .withColumn("comb08", F.when(F.col("id") % 7 == 1, F.col("comb08") + 1).otherwise(F.col("comb08")))
+                .unionByName(t.vehicles.where("id % 11 = 5").withColumn("id", -F.col("id"))))
+    complaints = (t.complaints.where("ODINO % 6 <> 2")
+                  .withColumn("MILEAGE", F.when(F.col("ODINO") % 9 == 4, F.lit(None)).otherwise(F.col("MILEAGE")))
+                  .unionByName(t.complaints.where("ODINO % 13 = 7").withColumn("ODINO", -F.col("ODINO"))))
+    return vehicles, complaints
+
+
+def _complaint_states(t):
+    from . import maintenance as M
+    _, before = _earlier(t)
+    change = M.complaint_state(M.signed_changes(before, t.complaints, ["ODINO"]))
+    return M.complaint_state(before), change
+
+
+@q("X11_maintained_A1", "SELECT * FROM complaint_rollup")
+def _x11m1(t):
+    """A1 kept up to date from changed complaints equals A1 from scratch."""
+    from . import maintenance as M
+    return M.rollup_of(M.merged(*_complaint_states(t)))
+
+
+@q("X11_maintained_A3", "SELECT * FROM fuel_year")
+def _x11m3(t):
+    """A3 kept up to date from changed vehicle rows."""
+    from . import maintenance as M
+    before, _ = _earlier(t)
+    coded = [v.withColumn("fuel_type_code", S.map_code("fuel_used")) for v in (before, t.vehicles)]
+    change = M.fuel_state(M.signed_changes(*coded, ["id", "fuel_rank"]))
+    return M.fuel_rollup_of(M.merged(M.fuel_state(coded[0]), change))
+
+
+@q("X11_maintained_P4", "SELECT * FROM vca")
+def _x11m4(t):
+    """P4 kept up to date from changed vehicles and complaints; the states, the
+    change states and the old P4 are written, the update reads these alone."""
+    from . import maintenance as M
+    root = _io_root(t, "X11_maintained_P4")
+    vehicles, complaints = _earlier(t)
+    kept = {"vehicles": M.vehicle_state(vehicles), "complaints": M.complaint_state(complaints),
+            "analysis": I.vehicle_complaints_analysis(vehicles, complaints),
+            "new_vehicles": M.vehicle_state(M.signed_changes(vehicles, t.vehicles, ["id", "fuel_rank"])),
+            "new_complaints": M.complaint_state(M.signed_changes(complaints, t.complaints, ["ODINO"]))}
+    k = {n: materialize(df, f"{root}/{n}") for n, df in kept.items()}
+    return M.updated_analysis(k["analysis"], M.merged(k["vehicles"], k["new_vehicles"]),
+                              M.merged(k["complaints"], k["new_complaints"]),
+                              M.touched_keys(k["new_vehicles"], k["new_complaints"]))
+
+
+@q("X12_log", """SELECT * FROM (VALUES (1, NULL, '2025-01-01T00:00:00.000000', 'write', NULL),
+    (2, 1, '2025-01-08T00:00:00.000000', 'write', NULL), (3, 2, '2025-01-15T00:00:00.000000', 'restore', 1))
+    AS v(version, parent, time, kind, restored), (SELECT count(*) AS rows FROM clean_stations)""")
+def _x12l(t):
+    """The log of a dataset that was written twice and restored."""
+    from ..sources import versions as V
+    root = _io_root(t, "X12_log")
+    V.write(t.stations, root, time="2025-01-01")
+    V.write(_stations_rerun(t), root, time="2025-01-08")
+    V.restore(t.spark, root, 1, time="2025-01-15")
+    return V.history(t.spark, root).select(F.col("version").cast("int"), F.col("parent").cast("int"), "time", "kind",
+                                           F.col("restored").cast("int"), "rows")
+
+
+@q("X12_as_of", f"SELECT * FROM {_CS_DESC}")
+def _x12t(t):
+    """The dataset as of a time between the second write and the restore."""
+    from ..sources import versions as V
+    root = _io_root(t, "X12_as_of")
+    V.write(t.stations, root, time="2025-01-01")
+    V.write(_stations_rerun(t), root, time="2025-01-08")
+    V.restore(t.spark, root, 1, time="2025-01-15")
+    return V.read(t.spark, root, as_of="2025-01-10")
+
+
+@q("L4_release", """SELECT 'comprehensive_vehicle_analysis' AS name, count(*) AS rows, 2 AS version FROM comp
+  UNION ALL SELECT 'fuel_infrastructure_analysis', count(*), 2 FROM infra
+  UNION ALL SELECT 'vehicle_complaints_analysis', count(*), 2 FROM vca""")
+def _l4r(t):
+    """L4: the integrated tables published as one version, after an older one of
+    which nothing may show; rows read back through the log."""
+    from ..sources import versions as V
+    root = _io_root(t, "L4_release")
+    tables = {"vehicle_complaints_analysis": t.vca, "fuel_infrastructure_analysis": t.infra,
+              "comprehensive_vehicle_analysis": t.comp}
+    V.write_release({n: df.limit(1) for n, df in tables.items()}, root)
+    version = V.write_release(tables, root)["version"]
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows", F.lit(version).alias("version"))
+             for n, df in sorted(V.read_release(t.spark, root).items())]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @q("L2", "SELECT count(*) AS rows FROM infra")
 def _l2(t):
     """L2: after ANALYZE TABLE the catalog statistics hold the row count."""

@@ -13,25 +13,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import norm_key, round_even
-from ..operators.aggregates import exact_quantiles, stations_by_state, sum0
+from ..operators.aggregates import grouped_quantiles, stations_by_state, sum0
 from ..operators.dedupe import dedupe_first
+from ..sources import versions
 
 
 # X1 ----------------------------------------------------------------------
 def iqr_outliers(df: DataFrame, col: str, k: float = 1.5, approx: bool = False) -> DataFrame:
     """Flag values outside [Q1 - k*IQR, Q3 + k*IQR].
 
-    The quartiles are exact and linearly interpolated (``exact_quantiles``: no
-    task ever holds all values); ``approx=True`` uses the fixed-size sketch."""
+    The quartiles are exact and linearly interpolated (``grouped_quantiles``, a
+    scalar subquery: no task ever holds all values, and nothing runs before an
+    action); ``approx=True`` uses the fixed-size sketch."""
     if approx:
-        q1, q3 = df.agg(F.percentile_approx(col, F.array(F.lit(0.25), F.lit(0.75)), 10000)).first()[0] or (None, None)
+        found = df.agg(F.percentile_approx(F.col(col).cast("double"), F.array(F.lit(0.25), F.lit(0.75)), 10000).alias("q"))
+        found = found.select(F.struct(F.get("q", F.lit(0)).alias("q0"), F.get("q", F.lit(1)).alias("q1")).alias("q"))
     else:
-        q1, q3 = exact_quantiles(df, col, (0.25, 0.75))
-    if q1 is None:
-        return df.withColumn("is_outlier", F.lit(False))
-    lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-    out = F.coalesce((F.col(col) < lo) | (F.col(col) > hi), F.lit(False))
-    return df.withColumn("is_outlier", out)
+        found = grouped_quantiles(df, [], col, (0.25, 0.75)).select(F.struct("q0", "q1").alias("q"))
+    q = found.scalar()
+    reach = (q["q1"] - q["q0"]) * k
+    out = (F.col(col) < q["q0"] - reach) | (F.col(col) > q["q1"] + reach)
+    return df.withColumn("is_outlier", F.coalesce(out, F.lit(False)))
 
 
 # X2 ----------------------------------------------------------------------
@@ -86,17 +88,17 @@ def class_incidents(vca: DataFrame) -> DataFrame:
 def complaint_mileage(complaints: DataFrame, approx: bool = False) -> DataFrame:
     """Complaint mileage by normalised make and model: mean and median.
 
-    The exact median keeps per-group value counts (partial-aggregated); its
-    memory is bounded by the distinct mileages, at most 1,000,001 after the
-    cap C9. ``approx=True`` uses ``percentile_approx`` (fixed-size sketch)."""
+    The exact median is a rank selection over value counts
+    (``grouped_quantiles``): no task holds the values of a hot group.
+    ``approx=True`` uses ``percentile_approx``."""
+    keys = ["make_norm", "model_norm"]
     c = complaints.withColumns({"make_norm": norm_key("MAKETXT"),
-                                "model_norm": norm_key("MODELTXT")})
-    med = (F.percentile_approx("MILEAGE", 0.5, 10000).cast("double") if approx
-           else F.median("MILEAGE"))
-    return (c.na.drop(subset=["make_norm", "model_norm"]).groupBy("make_norm", "model_norm")
-            .agg(F.count("MILEAGE").alias("with_mileage"),
-                 F.avg("MILEAGE").alias("avg_mileage"),
-                 med.alias("median_mileage")))
+                                "model_norm": norm_key("MODELTXT")}).na.drop(subset=keys)
+    own = [F.count("MILEAGE").alias("with_mileage"), F.avg("MILEAGE").alias("avg_mileage")]
+    if approx:
+        return c.groupBy(*keys).agg(*own, F.percentile_approx("MILEAGE", 0.5, 10000).cast("double").alias("median_mileage"))
+    medians = grouped_quantiles(c, keys, "MILEAGE", [0.5]).withColumnRenamed("q0", "median_mileage")
+    return c.groupBy(*keys).agg(*own).join(medians, keys, "left")
 
 
 # X7 / X8 -------------------------------------------------------------------
@@ -206,6 +208,8 @@ def changed_rows(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
 
 
 # X12 ---------------------------------------------------------------------
+# Numbered snapshots of one folder each. A dataset whose versions have a log, a
+# time and a restore without moving data is `sources.versions`.
 def write_snapshot(df: DataFrame, root: str, version: int) -> str:
     """Write a dated/numbered snapshot ``root/version=N`` (never mutated)."""
     path = f"{root.rstrip('/')}/version={int(version)}"
@@ -214,12 +218,17 @@ def write_snapshot(df: DataFrame, root: str, version: int) -> str:
 
 
 def read_snapshot(spark, root: str, version: int) -> DataFrame:
-    """Read a previous version."""
-    return spark.read.parquet(f"{root.rstrip('/')}/version={int(version)}")
+    """Read a previous version; one whose write has not finished (it has no
+    ``_SUCCESS`` file yet) is refused."""
+    path = f"{root.rstrip('/')}/version={int(version)}"
+    fs, done = versions._hadoop(spark, f"{path}/_SUCCESS")
+    if not fs.exists(done):
+        raise ValueError(f"{root} has no finished version {version}")
+    return spark.read.parquet(path)
 
 
 def restore_snapshot(spark, root: str, version: int, target: str) -> DataFrame:
-    """restore = overwrite ``target`` from a snapshot."""
-    df = read_snapshot(spark, root, version)
-    df.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    """The snapshot becomes the newest version of the live dataset
+    ``target`` (`sources.versions`); a restore that breaks off changes nothing."""
+    versions.write(read_snapshot(spark, root, version), target, kind="restore")
+    return versions.read(spark, target)
