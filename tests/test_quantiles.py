@@ -54,6 +54,15 @@ def test_quantiles_of_a_column(spark, values):
     assert got == expected([None if v is None else float(v) for v in values], PROBS)
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "int", "bigint", "float", "decimal(10,2)"])
+def test_quantiles_of_each_type(spark, kind):
+    rng = random.Random(4)
+    top = {"tinyint": 127, "int": 2 ** 31 - 1, "bigint": 2 ** 53}.get(kind, 1000)
+    values = [rng.randrange(-top, top) for _ in range(300)] + [-top, top, top, 0, 1, 65535 % top, 65536 % top]
+    df = spark.createDataFrame([(v,) for v in values], "v long").select(F.col("v").cast(kind).alias("v"))
+    assert list(A.grouped_quantiles(df, [], "v", PROBS).first()) == expected([float(v) for v in values], PROBS)
+
+
 def test_quantiles_of_groups_with_a_hot_one(spark):
     rng = random.Random(9)
     rows = [(None if k == 3 else k, "g", rng.choice([None, rng.gauss(0, 1e3), float(rng.randrange(50))])) for k in range(5) for _ in range(40)]

@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import ratio_zero_as_one, round_even
 
@@ -208,22 +209,28 @@ def order_key(v: Column) -> Column:
     """Doubles as 64-bit integers in the same order: exponent and fraction of the
     magnitude (as doubles are stored), with the sign; both zeros are 0, NaN is the
     largest. Powers of two and divisions by them are exact."""
-    one = F.lit(1).cast("bigint")
-    x = F.abs(v)
-    e = F.floor(F.log2(x))
-    # the logarithm may round up to, or fall short of, a whole number
-    e = F.when(F.pow(F.lit(2.0), e) > x, e - 1).when(F.pow(F.lit(2.0), e + 1) <= x, e + 1).otherwise(e)
-    normal = (F.shiftleft((e + 1023).cast("bigint"), 52)
-              + ((x / F.pow(F.lit(2.0), e) - 1.0) * 2.0 ** 52).cast("bigint"))
-    small = (x * 2.0 ** 537 * 2.0 ** 537).cast("bigint")  # below 2^-1022: units of 2^-1074
-    top = F.shiftleft(one * 2047, 52)
-    size = (F.when(F.isnan(v), top + 1).when(x == float("inf"), top).when(x < 2.0 ** -1022, small).otherwise(normal))
-    return F.when(~F.isnan(v) & (v < 0), -size).otherwise(size)
-
-
-#: Bits of the order key below each level of the rank selection: a level has at
-#: most 2^22 parts.
-LEVELS = (42, 21, 0)
+    def key(x: Column) -> Column:
+        size, guess = x["size"], x["guess"]
+        # the logarithm may round up to, or fall short of, a whole number
+        power = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= size, guess + 1).otherwise(guess)
+        fraction = ((size / F.pow(F.lit(2.0), power) - 1.0) * 2.0 ** 52).cast("bigint")
+        normal = F.shiftleft((power + 1023).cast("bigint"), 52) + fraction
+        small = (size * 2.0 ** 537 * 2.0 ** 537).cast("bigint")  # below 2^-1022: units of 2^-1074
+        return (F.when(F.isnan(size), F.lit((2047 << 52) + 1)).when(size == float("inf"), F.lit(2047 << 52))
+                .when(size < 2.0 ** -1022, small).otherwise(normal)) * x["sign"]
+
+    step = F.struct(F.abs(v).alias("size"), F.floor(F.log2(F.abs(v))).alias("guess"),
+                    F.when(~F.isnan(v) & (v < 0), -1).otherwise(1).alias("sign"))
+    return F.transform(F.array(step), key)[0]
+
+
+def _levels(kind: T.DataType) -> tuple[int, ...]:
+    """Bits of the order key below each level of a rank selection. No level has
+    more than 2^22 parts of the one above: whole numbers of 32 bits are their own
+    key, and a part of 32-bit fractions has 2^13 values at most."""
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+        return 16, 0
+    return (42, 0) if isinstance(kind, T.FloatType) else (42, 21, 0)
 
 
 def grouped_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float]) -> DataFrame:
@@ -235,46 +242,41 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Seque
     radix: the counts of the order key's highest bits say in which part it lies,
     the next bits are counted within this part only, and so on. What a window
     sorts is one row a part; what meets the value counts is a row a wanted rank."""
-    keys = list(keys)
-    counts = (df.select(*keys, F.col(col).cast("double").alias("_vs_v")).where("_vs_v is not null")
-              .groupBy(*keys, "_vs_v").agg(F.count(F.lit(1)).alias("_vs_n"))
-              .withColumn("_vs_k", order_key(F.col("_vs_v"))))
-    known = ["_vs_rank", "_vs_before", "_vs_total"]
-    picked = None
-    for k, bits in enumerate(LEVELS):
-        part = F.shiftright("_vs_k", bits).alias("_vs_part")
-        if picked is None:
-            rows, by = counts.withColumn("_vs_part", part), [*keys, "_vs_part"]
-        else:
-            above = counts.withColumn("_vs_part", F.shiftright("_vs_k", LEVELS[k - 1]))
-            held = picked if keys else F.broadcast(picked)  # without keys: two rows a quantile
-            rows = above.join(held, [*keys, "_vs_part"]).withColumn("_vs_part", part)
-            by = [*keys, *known, "_vs_part"]
-        parts = rows.groupBy(*by).agg(F.sum("_vs_n").alias("_vs_n"), F.min("_vs_v").alias("_vs_v"))
-        of = [F.col(c) for c in (keys if picked is None else [*keys, "_vs_rank"])]
-        upto = F.sum("_vs_n").over(Window.partitionBy(*of).orderBy("_vs_part"))
-        if picked is None:
-            parts = parts.withColumns({"_vs_upto": upto, "_vs_total": F.sum("_vs_n").over(Window.partitionBy(*of))})
-            low = [F.floor(F.lit(float(p)) * (F.col("_vs_total") - 1)) for p in probs]
-            wanted = F.array_distinct(F.array(*low, *[F.least(x + 1, F.col("_vs_total") - 1) for x in low]))
-            mine = F.filter(wanted, lambda r: (r < F.col("_vs_upto")) & (r >= F.col("_vs_upto") - F.col("_vs_n")))
-            parts = parts.withColumn("_vs_rank", F.explode(mine))
-        else:
-            parts = (parts.withColumn("_vs_upto", upto + F.col("_vs_before"))
-                     .where("_vs_rank < _vs_upto and _vs_rank >= _vs_upto - _vs_n"))
-        picked = parts.select(*keys, "_vs_rank", (F.col("_vs_upto") - F.col("_vs_n")).alias("_vs_before"),
-                              "_vs_total", "_vs_part", "_vs_v")
-        picked = picked if bits == 0 else picked.drop("_vs_v")
-    found = picked.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_vs_rank", "_vs_v"))).alias("_vs_m"),
-                                      F.max("_vs_total").alias("_vs_total"))
+    spark, kind = df.sparkSession, df.select(col).schema[0].dataType
+    levels, whole = _levels(kind), isinstance(kind, T.IntegralType)
+    values = df.select(*keys, F.col(col).cast("bigint" if whole else "double").alias("_v")).where("_v is not null")
+    counts = (values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_k", F.col("_v") if whole else order_key(F.col("_v"))))
+    own = "".join(f"`{k}`, " for k in keys)
+    within = f"PARTITION BY {own[:-2]} " if keys else ""
+    same = "".join(f" AND c.`{k}` <=> p.`{k}`" for k in keys)
+    of_c = "".join(f"c.`{k}`, " for k in keys)
+    few = "" if keys else "/*+ BROADCAST(p) */ "  # without keys: two rows a quantile
+    low = [f"floor({float(p)!r}D * (_total - 1))" for p in probs]
+    wanted = ", ".join([*low, *(f"least({x} + 1, _total - 1)" for x in low)])
+    steps = [f"""_u0 AS (SELECT {own}shiftright(_k, {levels[0]}) AS _part, sum(_n) AS _n,
+          sum(sum(_n)) OVER ({within}ORDER BY shiftright(_k, {levels[0]})) AS _upto,
+          sum(sum(_n)) OVER ({within}) AS _total FROM {{counts}} GROUP BY {own}shiftright(_k, {levels[0]})),
+      _p0 AS (SELECT {own}_rank, _upto - _n AS _before, _total, _part FROM _u0 LATERAL VIEW explode(filter(
+          array_distinct(array({wanted})), r -> r < _upto AND r >= _upto - _n)) AS _rank)"""]
+    for k, (above, bits) in enumerate(zip(levels, levels[1:]), 1):
+        part = f"shiftright(c._k, {bits})"
+        steps.append(f"""_u{k} AS (SELECT {few}{of_c}_rank, _before, _total, {part} AS _part, sum(c._n) AS _n, min(c._v) AS _v,
+          _before + sum(sum(c._n)) OVER (PARTITION BY {of_c}_rank ORDER BY {part}) AS _upto
+          FROM {{counts}} AS c JOIN _p{k - 1} AS p ON shiftright(c._k, {above}) = p._part{same}
+          GROUP BY {of_c}_rank, _before, _total, {part}),
+      _p{k} AS (SELECT {own}_rank, _upto - _n AS _before, _total, _part, _v FROM _u{k}
+          WHERE _rank < _upto AND _rank >= _upto - _n)""")
+    found = spark.sql(f"""WITH {', '.join(steps)}
+      SELECT {own}map_from_entries(collect_list(struct(_rank, double(_v) AS _v))) AS _m, max(_total) AS _total
+      FROM _p{len(levels) - 1} {'GROUP BY ' + own[:-2] if keys else ''}""", counts=counts)
     out = []
     for i, p in enumerate(probs):
-        at = F.lit(float(p)) * (F.col("_vs_total") - 1)
-        lo, hi = F.floor(at), F.least(F.floor(at) + 1, F.col("_vs_total") - 1)
-        a, b = F.col("_vs_m")[lo], F.col("_vs_m")[hi]
+        at = f"({float(p)!r}D * (_total - 1))"
+        a, b = f"_m[floor({at})]", f"_m[least(floor({at}) + 1, _total - 1)]"
         # a whole rank and equal neighbours need no difference, which infinities lack
-        out.append(F.when((a == b) | (at == lo), a).otherwise(a + (at - lo) * (b - a)).alias(f"q{i}"))
-    return found.select(*keys, *out)
+        out.append(f"CASE WHEN {a} = {b} OR {at} = floor({at}) THEN {a} ELSE {a} + ({at} - floor({at})) * ({b} - {a}) END AS q{i}")
+    return found.selectExpr(*[f"`{k}`" for k in keys], *out)
 
 
 def profile_numeric(df: DataFrame, col: str, approx: bool = False, places: int = 9) -> DataFrame:
