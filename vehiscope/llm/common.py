@@ -45,10 +45,23 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _SCOPES.pop()
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
         for folder in made:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete `written` tables that no later step reads. Only inside `scratch`:
+    elsewhere a result may still be read from them."""
+    for t in tables:
+        folder = getattr(t, "_vehiscope_folder", None)
+        if folder and _SCOPES and folder in _SCOPES[-1]:
+            _SCOPES[-1].remove(folder)
+            _delete(t.sparkSession, folder)
 
 
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
@@ -60,7 +73,13 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     scopes = _SCOPES[:-1] if keep else _SCOPES
     if scopes:
         scopes[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    # the shuffle files of the job are of no use any more; Spark deletes them as
+    # soon as a collection on the driver finds them out of reach, which may
+    # otherwise take half an hour
+    spark._jvm.System.gc()
+    out = spark.read.schema(df.schema).parquet(path)
+    out._vehiscope_folder = path
+    return out
 
 
 def words_of(text: Column) -> Column:

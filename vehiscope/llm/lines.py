@@ -33,14 +33,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vehiscope.llm.common import bit_set, fresh, in_bit_set, scratch, table, written
+from vehiscope.llm.common import bit_set, discard, fresh, in_bit_set, scratch, table, written
 
 SHINGLE = 5
 #: A line with a word; words end at spaces, tabs and carriage returns.
 A_WORD = r"[^ \t\r]"
 #: Similarity as a fraction of integers: 4 / 5.
 T_NUM, T_DEN = 4, 5
-RARITY_BUCKETS = 1 << 15
+RARITY_BUCKETS = 1 << 18
 #: The rarity class is in the bits above the hash.
 HASH_BITS = 57
 ROUNDS = 3
@@ -153,6 +153,7 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
     # a line is known by its place from here on
     places = written(places.join(first, ["k1", "k2"]).select("token", "k1", "k2", F.col("place").alias("line"), "n", "i"),
                      "line-prefixes")
+    discard(prefix, shared)
     known = places.select("k1", "k2", "line").distinct()
     involved = bit_set(known.select("k1"), "k1")
     # the texts of these lines, each once: shorter to move than their tokens
@@ -173,8 +174,11 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
         found = hits if found is None else found.unionByName(hits)
         earlier = lead.select("token", F.col("y.line").alias("last"))
         # open: the lines not settled that still have other lines before them
-        open_ = written(open_.join(hits, "line", "left_anti").join(earlier, "token").where("line > last").drop("last"),
-                        f"open-lines-{r}")
+        left = written(open_.join(hits, "line", "left_anti").join(earlier, "token").where("line > last").drop("last"),
+                       f"open-lines-{r}")
+        if r:
+            discard(open_, lead_before)
+        open_, lead_before = left, lead
     # all earlier lines that were not leaders, for the lines that are left
     others = (places.join(earlier, "token").where("line > last")
               .select("token", F.col("line").alias("y"), F.col("n").alias("ny"), F.col("i").alias("iy")))
