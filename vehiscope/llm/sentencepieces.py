@@ -36,7 +36,7 @@ MARK = "▁"
 #: Segments longer than this use the heap, so that the rounds on arrays stay few.
 SHORT = 48
 #: Segments a Python worker remembers.
-CACHE = 300_000
+CACHE = 600_000
 #: Agenda entry without a pair; symbol that was merged into its left neighbour.
 NONE, GONE = 1 << 62, -(1 << 40)
 ENCODED = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -96,6 +96,7 @@ class PieceEncoder:
             self.segment = re.compile(f"(?s){MARK}*[^{MARK}]+|{MARK}+")
         else:
             self.segment = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
+        self.numerals = [str(i) for i in range(self.n_ids)]
         self.cache: dict[str, tuple[int, ...]] = {}
         self.limit = cache
 
@@ -274,11 +275,12 @@ def encoded_column(model: str | None = None, with_ids: bool = False):
     @F.pandas_udf(ENCODED + (", ids array<int>" if with_ids else ""))
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = _encoder(path)
+        numerals = enc.numerals
         for texts in batches:
             rows = []
             for part in _pieces(texts):
                 for ids in enc.encode_batch(part):
-                    row = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                    row = (len(ids), hashlib.sha256(",".join([numerals[i] for i in ids]).encode()).hexdigest(),
                            hashlib.sha256(enc.library.decode(ids).encode()).hexdigest())
                     rows.append((*row, np.array(ids, dtype=np.int32)) if with_ids else row)
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids)
