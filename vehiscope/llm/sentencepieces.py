@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -36,7 +37,7 @@ MARK = "▁"
 #: Segments longer than this use the heap, so that the rounds on arrays stay few.
 SHORT = 48
 #: Segments a Python worker remembers.
-CACHE = 600_000
+CACHE = 400_000
 #: Agenda entry without a pair; symbol that was merged into its left neighbour.
 NONE, GONE = 1 << 62, -(1 << 40)
 ENCODED = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -47,6 +48,11 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as they are remembered: four bytes each."""
+    return array("i", ids).tobytes()
+
+
 class PieceEncoder:
     """Agenda encoder for one model file."""
 
@@ -97,7 +103,7 @@ class PieceEncoder:
         else:
             self.segment = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
         self.numerals = [str(i) for i in range(self.n_ids)]
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}
         self.limit = cache
 
     # ---------------------------------------------------------------- agendas
@@ -105,10 +111,9 @@ class PieceEncoder:
         """Symbols of a segment; a character of no piece is coded below zero."""
         return [self.symbol.get(c, -1 - ord(c)) for c in segment]
 
-    def _finish(self, symbols: list[int], chars: dict[int, str]) -> tuple[int, ...]:
-        """Ids; symbols that are no piece as the byte pieces of their UTF-8."""
-        if all(0 <= s < self.n_ids for s in symbols):
-            return tuple(symbols)
+    def _finish(self, symbols: list[int], chars: dict[int, str]) -> bytes:
+        """Ids, four bytes each; symbols that are no piece as the byte pieces of
+        their UTF-8."""
         out: list[int] = []
         for s in symbols:
             if 0 <= s < self.n_ids:
@@ -116,9 +121,9 @@ class PieceEncoder:
             else:
                 c = chr(-1 - s) if s < 0 else chars[s]
                 out += [self.byte_ids[b] for b in c.encode()]
-        return tuple(out)
+        return packed(out)
 
-    def by_heap(self, segment: str) -> tuple[int, ...]:
+    def by_heap(self, segment: str) -> bytes:
         """One segment; the agenda is a heap of (rank, left, right, piece)."""
         sym = self._characters(segment)
         n = len(sym)
@@ -160,7 +165,7 @@ class PieceEncoder:
     def _union(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return self.merged[self._find(a, b)[0]]
 
-    def by_arrays(self, segments: list[str]) -> list[tuple[int, ...]]:
+    def by_arrays(self, segments: list[str]) -> list[bytes]:
         """Short segments side by side, their symbols in one array: each round
         takes every segment's best pair (lowest rank, then leftmost) off its
         agenda and merges it; links skip the symbols that were merged away."""
@@ -195,14 +200,14 @@ class PieceEncoder:
             b, at = before[before >= 0], left[before >= 0]
             agenda[b] = self._rank(sym[b], sym[at]) | b
         stays = sym[:-1] != GONE
-        ids = sym[:-1][stays].tolist()
+        ids = sym[:-1][stays]
+        raw = ids.astype(np.int32).tobytes()
         ends = np.cumsum(np.add.reduceat(stays, start, dtype=np.int64)).tolist()
         odd = np.logical_or.reduceat((sym[:-1] != GONE) & ((sym[:-1] < 0) | (sym[:-1] >= self.n_ids)), start).tolist()
         out, at = [], 0
         for s, end, bad in zip(segments, ends, odd):
-            own = ids[at:end]
-            out.append(self._finish(own, {self.symbol[c]: c for c in set(s) if c in self.symbol})
-                       if bad else tuple(own))
+            out.append(self._finish(ids[at:end].tolist(), {self.symbol[c]: c for c in set(s) if c in self.symbol})
+                       if bad else raw[4 * at:4 * end])
             at = end
         return out
 
@@ -223,12 +228,12 @@ class PieceEncoder:
         """Compare the ids of segments with the library's. The library puts a
         space mark before every text that is not empty, so segments of a
         mark alone or without one follow a line end."""
-        head = tuple(self.library.encode("\n"))
+        head = packed(self.library.encode("\n"))
         plain = [s[0] == MARK and s != MARK for s in segments]
         texts = [s[1:] if p else "\n" + s for s, p in zip(segments, plain)]
         for s, p, ids in zip(segments, plain, self.library.encode(texts, num_threads=1)):
             own = self.cache[s] if p else head + self.cache[s]
-            if tuple(ids) != own:
+            if packed(ids) != own:
                 raise ValueError(f"the library encodes {s!r} as {ids}, the agenda as {list(own)}")
 
     def segments(self, text: str | None) -> list[str]:
@@ -246,7 +251,7 @@ class PieceEncoder:
         self.learn(list(new))
         cache = self.cache
         for parts in cut:
-            yield list(chain.from_iterable([cache[s] for s in parts]))
+            yield np.frombuffer(b"".join([cache[s] for s in parts]), dtype=np.int32).tolist()
 
 
 @lru_cache(maxsize=2)
