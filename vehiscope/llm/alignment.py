@@ -51,9 +51,9 @@ from vehiscope.llm.common import scratch, table, written
 #: Irregular pairs with the highest counts that every worker holds.
 FREQUENT = 1 << 19
 #: Pieces a worker remembers; a longer piece is only known to its batch.
-CACHE, LONG = 500_000, 200
+CACHE, LONG = 200_000, 200
 #: Characters of text, and pieces of one call, that a task handles at once.
-PORTION, CALL = 1 << 22, 8192
+PORTION, CALL = 1 << 20, 8192
 CHECKED = 16
 #: A group with more links than this is expanded by its distinct ids.
 WIDE = 1 << 16
