@@ -37,7 +37,7 @@ MARK = "▁"
 #: Segments longer than this use the heap, so that the rounds on arrays stay few.
 SHORT = 48
 #: Segments a Python worker remembers.
-CACHE = 400_000
+CACHE = 250_000
 #: Agenda entry without a pair; symbol that was merged into its left neighbour.
 NONE, GONE = 1 << 62, -(1 << 40)
 ENCODED = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -259,7 +259,7 @@ def _encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def _pieces(texts: pd.Series, batch_chars: int = 4_000_000) -> Iterator[list[str | None]]:
+def _pieces(texts: pd.Series, batch_chars: int = 1_000_000) -> Iterator[list[str | None]]:
     """Texts of a batch in portions of bounded length."""
     part, size = [], 0
     for t in texts:
