@@ -8,6 +8,7 @@ re-read tables.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -110,6 +111,33 @@ def run(spark: SparkSession, sf_dir: str, as_of=K.DEFAULT_AS_OF,
     return Tables(spark, sf_dir, as_of, over)
 
 
+def ingest_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stations: str, root: str,
+                 stations_format: str = "csv", parallel: bool = True, multi_line: bool = True) -> dict[str, DataFrame]:
+    """Raw files as Parquet below ``root``/raw, each row with its place (``ROW``)."""
+    from ..sources import readers as RD
+    st = (RD.read_station_json(spark, stations, multi_line=multi_line) if stations_format == "json"
+          else RD.read_stations(spark, stations, multi_line))
+    raw = {"raw_vehicles": RD.read_vehicles(spark, vehicles_csv, multi_line),
+           "raw_complaints": RD.read_complaints(spark, complaints_tsv, multi_line=multi_line),
+           "raw_stations": st}
+    return _write_all({n: (df.withColumn(ROW, F.monotonically_increasing_id()), f"{root}/raw/{n}")
+                       for n, df in raw.items()}, parallel)
+
+
+def load_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stations: str, out_dir: str,
+               as_of=K.DEFAULT_AS_OF, stations_format: str = "csv", multi_line: bool = True, spec=K.CONTRACT,
+               report_only: tuple | list = ()) -> dict:
+    """The pipeline on raw files behind the validation gate: the log entry of the
+    version published at ``out_dir``/release, or `gate.GateFailed`."""
+    from . import gate
+    root = out_dir.rstrip("/")
+    # one folder a load: a load that is refused leaves the earlier raw rows alone
+    raw = ingest_files(spark, vehicles_csv, complaints_tsv, stations, f"{root}/loads/{uuid.uuid4().hex}",
+                       stations_format, True, multi_line)
+    return gate.load(spark, raw["raw_vehicles"], raw["raw_complaints"], raw["raw_stations"], f"{root}/release", as_of,
+                     station_order=[ROW], spec=spec, report_only=report_only)
+
+
 def run_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stations: str,
               out_dir: str, as_of=K.DEFAULT_AS_OF, stations_format: str = "csv",
               parallel: bool = True, multi_line: bool = True) -> Tables:
@@ -120,15 +148,8 @@ def run_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stati
     fields in splits), each row with its place in the files (``ROW``), which is
     the keep-first order of the stations; then the layers are built as in
     ``run``."""
-    from ..sources import readers as RD
-    st = (RD.read_station_json(spark, stations, multi_line=multi_line) if stations_format == "json"
-          else RD.read_stations(spark, stations, multi_line))
-    raw = {"raw_vehicles": RD.read_vehicles(spark, vehicles_csv, multi_line),
-           "raw_complaints": RD.read_complaints(spark, complaints_tsv, multi_line=multi_line),
-           "raw_stations": st}
     root = out_dir.rstrip("/")
-    over = _write_all({n: (df.withColumn(ROW, F.monotonically_increasing_id()), f"{root}/raw/{n}")
-                       for n, df in raw.items()}, parallel)
+    over = ingest_files(spark, vehicles_csv, complaints_tsv, stations, root, stations_format, parallel, multi_line)
     over.update({
         "vehicles": cleaning.clean_vehicles(over["raw_vehicles"], as_of),
         "complaints": cleaning.clean_complaints(over["raw_complaints"], as_of),

@@ -37,6 +37,33 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def submitted_session(app: str = "vehiscope", master: str | None = None) -> SparkSession:
+    """The session of a submitted program: master, executors and partition counts
+    are those of the submission; only settings that results depend on are made."""
+    b = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    return (b.master(master) if master else b).getOrCreate()
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of files, folders and glob patterns (file system metadata)."""
+    total, conf = 0, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        fs = at.getFileSystem(conf)
+        total += sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(at) or [])
+    return total
+
+
+def size_shuffles(spark: SparkSession, total_bytes: int, target_partition_bytes: int = 256 << 20) -> int:
+    """Set the shuffle partitions from the input's size and the slots of the
+    cluster, but where the submission names a number; the number in use."""
+    name = "spark.sql.shuffle.partitions"
+    if not spark.sparkContext.getConf().contains(name):
+        slots = spark.sparkContext.defaultParallelism
+        spark.conf.set(name, str(max(slots, -(-total_bytes // target_partition_bytes))))
+    return int(spark.conf.get(name))
+
+
 def cluster_conf(total_input_bytes: int, executors: int, cores_per_executor: int = 4,
                  target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized to the data for a large cluster (apply at session build).
