@@ -331,3 +331,25 @@ def test_audit_needs_an_order_beyond_the_key(spark):
     df = spark.createDataFrame([(1, "a", "20200101", "2020", 1)], "ODINO long, MAKETXT string, DATEA string, YEARTXT string, MILEAGE long")
     with pytest.raises(ValueError, match="arbitrary"):
         P.complaint_audit(df, AS_OF, ["ODINO"])
+
+
+def test_x3_abbreviations_inside_names(spark):
+    from vehiscope.plans.extras import aggressive_key, standard_words
+    words = {"Chevy": "Chevrolet", "chevy truck": "GMC", "vw": "Volkswagen", "GMC": "General", "(new)": "", "a.b": "dot"}
+    want = {"CHEVY SILVERADO": "CHEVROLET SILVERADO", "Chevy-Truck 10": "GMC 10", "chevy  Truck": "GMC",
+            "CHEVYTRUCK": "CHEVYTRUCK", "Big Chevy": "BIG CHEVROLET", "vw vw": "VOLKSWAGEN VOLKSWAGEN",
+            "(NEW) vw": "VOLKSWAGEN", "AXB a.b": "AXB DOT", "-": "", "": "", " \u00a0Chevy\tX ": "CHEVROLET X", None: None}
+    df = spark.createDataFrame([(k,) for k in want], "name string")
+    got = {r.name: r.w for r in df.select("name", standard_words("name", words).alias("w")).collect()}
+    assert got == want
+    k = df.where("name IN ('CHEVY SILVERADO')").select(aggressive_key("name", words=words).alias("k")).first().k
+    assert k == spark.range(1).select(aggressive_key(F.lit("Chevrolet Silverado")).alias("k")).first().k
+    assert spark.range(1).select(standard_words(F.lit("a-b"), {}).alias("w")).first().w == "A B"
+    with pytest.raises(ValueError):
+        standard_words("name", {" - ": "x"})
+    # the names join in P4
+    v = P.clean_vehicles(vehicles(spark, dict(make="Chevrolet", model="Silverado")))
+    c = spark.createDataFrame([("CHEVY", "SILVERADO", 2020, 5, None, None, None, None, None)],
+                              "MAKETXT string, MODELTXT string, YEARTXT int, CMPLID long, CRASH string, FIRE string, INJURED int, DEATHS int, MILEAGE double")
+    total = I.vehicle_complaints_analysis(v, c, lambda x: aggressive_key(x, words=words)).first().total_complaints
+    assert total == 1

@@ -139,3 +139,62 @@ def test_run_files_end_to_end(spark, tmp_out):
     assert infra["ELEC"].total_stations == 1
     comp = {r.model: r.stations_nationwide for r in t.comp.collect()}
     assert comp == {"F-150": 0, "Model 3": 2}
+
+
+def test_many_files_are_read_by_header(spark, tmp_out):
+    folder = os.path.join(tmp_out, "many files [1]")
+    os.mkdir(folder)
+    heads = ["id,year,make", "year,id", "make,id,year,\"odd \"\"name\"\"\""]
+    for i in range(300):
+        text = heads[i % 3] + "\n" + [f"{i},2020,Kia\n", f"2021,{i}\n", f"VW,{i},2022,x\n"][i % 3]
+        _write(os.path.join(folder, f"part {i}.csv"), "\n" + text if i == 5 else text)
+    _write(os.path.join(folder, "empty.csv"), "")
+    _write(os.path.join(folder, "z.csv"), 'id,year,make\n900,2020,"Two\nlines"\n901,2021,Kia\n')
+    sc = spark.sparkContext
+    sc.setJobGroup("discovery", "headers")
+    df = RD.read_vehicles(spark, folder.replace("[", "\\[").replace("]", "\\]"))
+    sc.setJobGroup("rest", "rows")
+    assert len(sc.statusTracker().getJobIdsForGroup("discovery")) <= 8  # not one a file
+    # three headers, and the one file with a line break inside a field
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 4
+    assert df.columns.count('odd "name"') == 1
+    got = {r.id: (r.year, r.make) for r in df.collect()}
+    assert len(got) == 302 and got[900] == (2020, "Two\nlines") and got[901] == (2021, "Kia")
+    assert all(got[i] == [(2020, "Kia"), (2021, None), (2022, "VW")][i % 3] for i in range(300))
+
+
+def test_files_without_line_breaks_are_read_in_splits(spark, tmp_out):
+    path = _write(os.path.join(tmp_out, "v.csv"), "id,year,make\n" + "".join(f"{i},2020,\"a, b\"\n" for i in range(20000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = RD.read_vehicles(spark, path)
+        assert df.rdd.getNumPartitions() > 3 and df.where("make = 'a, b'").count() == 20000
+        assert RD.read_vehicles(spark, path, multi_line=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_every_complaint_file_has_its_width_checked(spark, tmp_out):
+    _write(os.path.join(tmp_out, "a.tsv"), "\t".join(map(str, range(49))) + "\n")
+    assert RD.read_complaints(spark, tmp_out).count() == 1
+    _write(os.path.join(tmp_out, "b.tsv"), "\t".join(map(str, range(48))) + "\n")
+    with pytest.raises(ValueError, match="48 columns, expected 49.*b.tsv"):
+        RD.read_complaints(spark, tmp_out)
+    with pytest.raises(ValueError, match="no line"):
+        RD.read_stations(spark, _write(os.path.join(tmp_out, "none.csv"), ""))
+
+
+def test_the_place_of_a_row_follows_the_names_of_the_files(spark, tmp_out):
+    from vehiscope.plans.pipeline import ROW, ingest_files
+    veh = _write(os.path.join(tmp_out, "v.csv"), "id,year\n1,2020\n")
+    cmp = _write(os.path.join(tmp_out, "c.tsv"), "\t".join(map(str, range(49))) + "\n")
+    os.mkdir(tmp_out + "/st")
+    for name, n, head in (("a", 3, "id,state\n"), ("b", 4000, "state,id\n"), ("c", 800, "id,state\n")):
+        _write(f"{tmp_out}/st/{name}.csv", head + "".join(f"7,{name}{i}\n" if head[0] == "i" else f"{name}{i},7\n" for i in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        st = ingest_files(spark, veh, cmp, tmp_out + "/st", tmp_out + "/out")["raw_stations"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [f"{name}{i}" for name, n in (("a", 3), ("b", 4000), ("c", 800)) for i in range(n)]
+    assert [r.state for r in st.orderBy(ROW).select("state").collect()] == want

@@ -28,7 +28,7 @@ def main(argv=None) -> int:
     ap.add_argument("--stations-format", choices=["csv", "json"], default="csv")
     ap.add_argument("--out", required=True)
     ap.add_argument("--as-of", default=dt.date.today().isoformat())
-    ap.add_argument("--single-line", action="store_true", help="no field holds a line break: files are read in splits")
+    ap.add_argument("--single-line", action="store_true", help="no field of any file holds a line break (else it is found out)")
     ap.add_argument("--min-rows-percent", type=int, default=100, help="share of the least numbers of rows that is asked for")
     ap.add_argument("--report-only", action="append", default=[], metavar="DATASET.RULE",
                     help="a scored rule that is reported but refuses no load")
@@ -39,7 +39,7 @@ def main(argv=None) -> int:
     spec = {n: (cols, least * a.min_rows_percent // 100) for n, (cols, least) in K.CONTRACT.items()}
     try:
         done = load_files(spark, a.vehicles, a.complaints, a.stations, a.out, dt.date.fromisoformat(a.as_of),
-                          a.stations_format, not a.single_line, spec, a.report_only)
+                          a.stations_format, False if a.single_line else None, spec, a.report_only)
     except GateFailed as e:
         for r in e.rules:
             print(f"{r['dataset']}.{r['rule']}: {r['violations']} {'ok' if r['passed'] else 'FAILED'}"

@@ -58,10 +58,43 @@ def vehicle_summary(vehicles: DataFrame, complaints: DataFrame) -> DataFrame:
 
 
 # X3 ----------------------------------------------------------------------
-def aggressive_key(col, abbreviations: Mapping[str, str] | None = None) -> Column:
-    """F1 plus removal of hyphens and all whitespace, then optional
-    whole-key abbreviation expansion (a lookup map; none by default)."""
-    k = F.regexp_replace(norm_key(col), r"(?U)[\s-]+", "")
+def standard_words(col, words: Mapping[str, str]) -> Column:
+    """Abbreviations inside a name: F1, then words (parted by whitespace or
+    hyphens) are read from the left; where the longest run of words that ``words``
+    lists begins, its replacement stands, else the word itself. Replacements are
+    not read again; an empty one takes the words away; one blank parts the result.
+    A null name stays null, a blank one is empty.
+
+    One regular expression cuts the name into listed runs and single words
+    (alternatives from the longest on, each up to the blank that ends it), a
+    literal map replaces them: no join, no shuffle, no Python."""
+    listed = {" ".join(_name_words(k)): " ".join(_name_words(v)) for k, v in words.items()}
+    if "" in listed:
+        raise ValueError("an abbreviation has no word")
+    text = F.concat(F.trim(F.regexp_replace(norm_key(col), r"(?U)[\s-]+", " ")), F.lit(" "))
+    runs = [_literal(k) for k in sorted(listed, key=lambda k: (-len(k), k))]
+    parts = F.regexp_extract_all(text, F.lit(f"({'|'.join([*runs, '[^ ]+'])}) "), F.lit(1))
+    if listed:
+        from ..functions.scalar import map_code
+        parts = F.transform(parts, lambda p: F.coalesce(map_code(p, listed), p))
+    return F.array_join(F.filter(parts, lambda p: p != ""), " ")
+
+
+def _name_words(name: str) -> list[str]:
+    return name.upper().replace("-", " ").split()
+
+
+def _literal(text: str) -> str:
+    """A regular expression that matches just this text."""
+    return "".join(c if c.isalnum() or c == " " or ord(c) > 127 else "\\" + c for c in text)
+
+
+def aggressive_key(col, abbreviations: Mapping[str, str] | None = None,
+                   words: Mapping[str, str] | None = None) -> Column:
+    """F1 plus removal of hyphens and all whitespace. Optional lookup maps
+    (none by default): ``words`` are abbreviations inside the name
+    (``standard_words``), ``abbreviations`` those of a whole key."""
+    k = F.regexp_replace(standard_words(col, words) if words else norm_key(col), r"(?U)[\s-]+", "")
     if abbreviations:
         from ..functions.scalar import map_code
         k = F.coalesce(map_code(k, {a.upper(): b.upper() for a, b in abbreviations.items()}), k)

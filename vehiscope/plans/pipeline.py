@@ -112,20 +112,23 @@ def run(spark: SparkSession, sf_dir: str, as_of=K.DEFAULT_AS_OF,
 
 
 def ingest_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stations: str, root: str,
-                 stations_format: str = "csv", parallel: bool = True, multi_line: bool = True) -> dict[str, DataFrame]:
+                 stations_format: str = "csv", parallel: bool = True, multi_line: bool | None = None) -> dict[str, DataFrame]:
     """Raw files as Parquet below ``root``/raw, each row with its place (``ROW``)."""
     from ..sources import readers as RD
-    st = (RD.read_station_json(spark, stations, multi_line=multi_line) if stations_format == "json"
+    st = (RD.read_station_json(spark, stations, multi_line=multi_line is not False) if stations_format == "json"
           else RD.read_stations(spark, stations, multi_line))
     raw = {"raw_vehicles": RD.read_vehicles(spark, vehicles_csv, multi_line),
            "raw_complaints": RD.read_complaints(spark, complaints_tsv, multi_line=multi_line),
            "raw_stations": st}
-    return _write_all({n: (df.withColumn(ROW, F.monotonically_increasing_id()), f"{root}/raw/{n}")
+    # files are read in any order and in splits; rows of a split keep theirs
+    place = F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("start"),
+                     F.monotonically_increasing_id().alias("row"))
+    return _write_all({n: (df.withColumn(ROW, place), f"{root}/raw/{n}")
                        for n, df in raw.items()}, parallel)
 
 
 def load_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stations: str, out_dir: str,
-               as_of=K.DEFAULT_AS_OF, stations_format: str = "csv", multi_line: bool = True, spec=K.CONTRACT,
+               as_of=K.DEFAULT_AS_OF, stations_format: str = "csv", multi_line: bool | None = None, spec=K.CONTRACT,
                report_only: tuple | list = ()) -> dict:
     """The pipeline on raw files behind the validation gate: the log entry of the
     version published at ``out_dir``/release, or `gate.GateFailed`."""
@@ -140,12 +143,12 @@ def load_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stat
 
 def run_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stations: str,
               out_dir: str, as_of=K.DEFAULT_AS_OF, stations_format: str = "csv",
-              parallel: bool = True, multi_line: bool = True) -> Tables:
+              parallel: bool = True, multi_line: bool | None = None) -> Tables:
     """The pipeline on raw files: header CSV of vehicles, headerless TSV of
     complaints, stations as header CSV or ``{"fuel_stations": [...]}`` JSON.
-    The raw edge is ingested once into Parquet (multi-line text is not
-    splittable; ``multi_line=False`` reads files without line breaks inside
-    fields in splits), each row with its place in the files (``ROW``), which is
+    The raw edge is ingested once into Parquet (files without line breaks inside
+    fields in splits; ``multi_line`` says so of all files, else it is found out),
+    each row with its place in the files (``ROW``), which is
     the keep-first order of the stations; then the layers are built as in
     ``run``."""
     root = out_dir.rstrip("/")
