@@ -81,3 +81,29 @@ def test_offsets_of_the_query_locate_records_in_its_files(spark, monkeypatch):
         assert (r.offset, r.length) == list(W.parse(data))[r.idx][:2]
         parts = {hashlib.sha256(files[1][r.file_id][o:o + n]).hexdigest() for o, n, *_ in W.parse(files[1][r.file_id])}
         assert r.expected not in parts and (r.found in parts) == (r.status == "corrupt")
+
+
+def test_registered_query_leaves_no_archive(spark, tmp_out, monkeypatch):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    many = spark.range(500).selectExpr("CAST(13 AS BIGINT) AS page_id", "'u' AS url", "'same' AS html")
+    path = tmp_out + "/sf"
+    pages.unionByName(many).repartition(3).write.parquet(path + "/pages.parquet")
+    monkeypatch.setattr(W, "RECORDS_PER_FILE", 50)
+    monkeypatch.setattr(W, "COPY_CHUNK", 64)
+    made = []
+    monkeypatch.setattr(W, "run_folder", lambda s, n, f=W.run_folder: made.append(f(s, n)) or made[-1])
+    want = sorted(map(str, W.op3_warc_fixity(spark, path).collect()))
+    assert len(want) >= 500 and len(made) == 2
+    got = sorted(map(str, W.op3_query(spark, path).collect()))
+    assert got == want and len(made) == 4
+
+    def there(folder):
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+    assert [there(f) for f in made] == [True, True, False, False]
+
+
+def test_query_on_empty_pages(spark, tmp_out):
+    spark.read.parquet(f"{SF}/pages.parquet").limit(0).write.parquet(tmp_out + "/sf/pages.parquet")
+    assert W.op3_query(spark, tmp_out + "/sf").count() == 0

@@ -13,7 +13,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": lines.op1_line_dedup,
         "op2_sentencepiece": sentencepieces.op2_sentencepiece,
-        "op3_warc_fixity": warc.op3_warc_fixity,
+        "op3_warc_fixity": warc.op3_query,
         "op4_passages": passages.op4_passages,
         "op5_sharding": sharding.op5_sharding,
         "op6_quality": quality.op6_quality,

@@ -9,8 +9,10 @@ the differing records, with their byte ranges, are found.
 
 Records are spread over files by hash, about ``RECORDS_PER_FILE`` in each, so no
 file and no task grows with the data; identical pages are numbered before they
-are spread. The places are made from digests, lengths and keys; the pages are only
-moved to write the files, whose bytes the audit reads.
+are spread. The places are made from digests, lengths and keys. A page that is there
+once finds its file from its own digest, so it is moved once a replica, to its file;
+only pages that may have copies (a set of fixed size says so) are brought together
+first. One replica lies on disk at a time, unless its files are asked for.
 
 Defined results
     null URL or page text: empty; line ends in a URL are percent-encoded; null
@@ -29,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vehiscope.llm.common import run_folder, table, written
+from vehiscope.llm.common import _delete, bit_set, in_bit_set, run_folder, scratch, table, written
 
 FANOUT = 16
 RECORDS_PER_FILE = 1000
@@ -55,18 +57,33 @@ def _closed(rec: Column) -> Column:
     return F.concat(rec, F.lit(CRLF + CRLF))
 
 
+def _files(records: int) -> int:
+    return max(1, math.ceil(records / RECORDS_PER_FILE))
+
+
+def _file_of(key: str, copy: Column, files: int) -> Column:
+    """The file of a copy of a record with ``key`` and ``hash``."""
+    name = F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), "hash", copy.cast("string")).cast("binary"))
+    return F.pmod(F.conv(F.substring(name, 1, 8), 16, 10).cast("long"), F.lit(files))
+
+
+def _copies(counted: DataFrame, *spread: str) -> DataFrame:
+    """A row for each of a row's ``copies``, numbered as ``copy``; ``spread``
+    deals the copies of one row to tasks in portions."""
+    portions = counted.withColumn("from", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPY_CHUNK).cast("long"))))
+    if spread:
+        portions = portions.repartition(*spread, "from")
+    return portions.withColumn("copy", F.explode(F.sequence(
+        F.col("from"), F.least(F.col("from") + COPY_CHUNK, F.col("copies")) - 1)))
+
+
 def layout(rows: DataFrame, key: str = "page_id") -> DataFrame:
     """Places of records. ``rows``: key, length, hash and any further columns
     that depend on them; returns file_id, idx, offset and the columns of rows."""
     counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
     total = counted.agg(F.sum("copies")).first()[0] or 0
-    files = max(1, math.ceil(total / RECORDS_PER_FILE))
-    each = (counted.withColumn("from", F.explode(F.sequence(
-                F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPY_CHUNK).cast("long"))))
-            .withColumn("copy", F.explode(F.sequence(
-                F.col("from"), F.least(F.col("from") + COPY_CHUNK, F.col("copies")) - 1))))
-    name = F.md5(F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), "hash", F.col("copy").cast("string")).cast("binary"))
-    each = each.withColumn("file_id", F.pmod(F.conv(F.substring(name, 1, 8), 16, 10).cast("long"), F.lit(files)))
+    each = _copies(counted).withColumn("file_id", _file_of(key, F.col("copy"), _files(total)))
     order = Window.partitionBy("file_id").orderBy(F.col(key).asc_nulls_first(), "hash", "copy")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     return each.select("file_id", (F.row_number().over(order) - 1).cast("long").alias("idx"),
@@ -144,11 +161,11 @@ def write_warc(pages: DataFrame, path: str) -> None:
      .write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
-def write_replica(records: DataFrame, path: str) -> None:
-    """Write ``file_id, idx, value`` as one WARC file per file_id, in the order of
-    idx: ``value`` is a record without the two line ends that close it."""
-    (records.repartition("file_id").sortWithinPartitions("file_id", "idx").select("file_id", "value")
-     .write.partitionBy("file_id").option("lineSep", CRLF + CRLF).text(path))
+def write_replica(records: DataFrame, path: str, order: list[Column], compression: str = "none") -> None:
+    """Write ``file_id, value`` as one WARC file per file_id, in the given order:
+    ``value`` is a record without the two line ends that close it."""
+    (records.repartition("file_id").sortWithinPartitions("file_id", *order).select("file_id", "value")
+     .write.partitionBy("file_id").option("lineSep", CRLF + CRLF).option("compression", compression).text(path))
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -172,9 +189,12 @@ def read_leaves(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path)
 
     def cut(frames):
+        import gzip
         import hashlib
         for f in frames:
             for name, data in zip(f["path"], f["content"]):
+                if data[:2] == b"\x1f\x8b":
+                    data = gzip.decompress(data)
                 rows = [(name, i, o, n, hashlib.sha256(data[o:o + n]).hexdigest(), h["WARC-Target-URI"])
                         for i, (o, n, h, _) in enumerate(parse(data))]
                 yield pd.DataFrame(rows, columns=["name", "idx", "offset", "length", "hash", "uri"])
@@ -194,9 +214,8 @@ def read_leaves(spark: SparkSession, path: str) -> DataFrame:
 FLIPPED, LOST = (97, 13), (389, 11)
 
 
-def replicas(spark: SparkSession, pages: DataFrame) -> tuple[DataFrame, str, str]:
-    """Writes an archive of the pages and its damaged copy: ``file_id, idx,
-    page_id, lost`` of every record of the archive, and the two folders."""
+def _damaged(pages: DataFrame) -> tuple[Column, Column, Column]:
+    """The record of a page, the one in the second replica, and whether that is lost."""
     flip = (F.pmod("page_id", F.lit(FLIPPED[0])) == FLIPPED[1]) & (F.octet_length("html") > 0) & (F.ascii("html") < 128)
     lost = F.coalesce(F.pmod("page_id", F.lit(LOST[0])) == LOST[1], F.lit(False))
     other = F.when(flip, F.concat(F.when(F.substring("html", 1, 1) == "#", "+").otherwise("#"),
@@ -204,31 +223,61 @@ def replicas(spark: SparkSession, pages: DataFrame) -> tuple[DataFrame, str, str
     good, bad = record(F.col("url"), F.col("html")), record(F.col("url"), other)
     # the damaged copy keeps the header, whose record id is that of the good page
     at = F.instr(good, CRLF + CRLF)
-    bad = F.concat(F.substr(good, F.lit(1), at - 1), F.substr(bad, at))
-    hashed = pages.withColumn("hash", F.sha2(_closed(good), 256))
-    places = written(layout(hashed.select("page_id", F.octet_length(_closed(good)).cast("long").alias("length"), "hash")),
-                     "warc-places")
-    # a record is known by its page_id and hash; each is moved once
-    key = F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("")), "hash")
-    texts = hashed.select(key.alias("key"), "page_id", "url", "html").dropDuplicates(["key"])
-    placed = places.select(key.alias("key"), "file_id", "idx").join(texts, "key")
-    folders = run_folder(spark, "warc-a"), run_folder(spark, "warc-b")
-    write_replica(placed.select("file_id", "idx", good.alias("value")), folders[0])
-    write_replica(placed.where(~lost).select("file_id", "idx", bad.alias("value")), folders[1])
-    return places.select("file_id", "idx", "page_id", lost.alias("lost")), *folders
-
-
-def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return good, F.concat(F.substr(good, F.lit(1), at - 1), F.substr(bad, at)), lost
+
+
+def placed(hashed: DataFrame, counted: DataFrame, records: int) -> DataFrame:
+    """Pages with the file_id of each of their records. ``hashed``: page_id, url,
+    html, hash; ``counted``: page_id, hash, copies of the pages that are there more
+    than once; ``records``: number of all."""
+    code = F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.col("hash"))
+    counted = counted.withColumn("code", code)
+    rows = hashed.withColumn("code", code).withColumn("many", in_bit_set(bit_set(counted, "code"), "code"))
+    once = rows.where(~F.col("many")).withColumn("copy", F.lit(0).cast("long"))
+    # a page that only seems to have copies has one
+    same = F.col("r.page_id").eqNullSafe(F.col("c.page_id")) & (F.col("r.hash") == F.col("c.hash"))
+    many = rows.where("many").dropDuplicates(["page_id", "hash"]).alias("r").join(
+        counted.alias("c"), (F.col("r.code") == F.col("c.code")) & same, "left").select(
+        "r.*", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
+    names = ["page_id", "url", "html", "hash", "copy"]
+    return once.select(*names).unionByName(_copies(many, "page_id", "hash").select(*names)).withColumn(
+        "file_id", _file_of("page_id", F.col("copy"), _files(records)))
+
+
+def op3_warc_fixity(spark: SparkSession, sf_dir: str, scratch_archives: bool = False) -> DataFrame:
     """Audit of an archive of all pages against a replica with known damage, both
-    read from their files."""
-    places, first, second = replicas(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    a = written(read_leaves(spark, first).drop("uri"), "warc-leaves-a")
-    # the index of the second replica: the n-th record of its file is number idx of the archive's
-    index = places.where("not lost").select("file_id", F.col("idx").alias("number"), (F.row_number().over(
-        Window.partitionBy("file_id").orderBy("idx")) - 1).cast("long").alias("idx"))
-    b = written(read_leaves(spark, second).join(index, ["file_id", "idx"]).select(
-        "file_id", F.col("number").alias("idx"), "offset", "length", "hash"), "warc-leaves-b")
-    return places.select("file_id", "idx", "page_id").join(audit(a, b), ["file_id", "idx"])
+    read from their files. With ``scratch_archives`` each replica is compressed and
+    its folder is deleted as soon as its leaves are read."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    good, bad, lost = _damaged(pages)
+    hashed = pages.withColumn("hash", F.sha2(_closed(good), 256))
+    with scratch(spark):
+        places = written(layout(hashed.select("page_id", F.octet_length(_closed(good)).cast("long").alias("length"), "hash")),
+                         "warc-places")
+        copies = written(places.groupBy("page_id", "hash").agg(F.count("*").alias("copies")).where("copies > 1"), "warc-copies")
+        each = placed(hashed, copies, places.count())
+        order = [F.col("page_id").asc_nulls_first(), F.col("hash")]
+
+        def leaves(records: DataFrame, value: Column, name: str) -> DataFrame:
+            folder = run_folder(spark, name)
+            write_replica(records.withColumn("value", value), folder, order, "gzip" if scratch_archives else "none")
+            found = written(read_leaves(spark, folder).drop("uri"), f"{name}-leaves")
+            if scratch_archives:
+                _delete(spark, folder)
+            return found
+
+        a = leaves(each, good, "warc-a")
+        # the index of the second replica: the n-th record of its file is number idx of the archive's
+        index = places.where(~lost).select("file_id", F.col("idx").alias("number"), (F.row_number().over(
+            Window.partitionBy("file_id").orderBy("idx")) - 1).cast("long").alias("idx"))
+        b = written(leaves(each.where(~lost), bad, "warc-b").join(index, ["file_id", "idx"]).select(
+            "file_id", F.col("number").alias("idx"), "offset", "length", "hash"), "warc-leaves-b")
+        return written(places.select("file_id", "idx", "page_id").join(audit(a, b), ["file_id", "idx"]), "warc-audit", keep=True)
+
+
+def op3_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registered query: no archive is left behind."""
+    return op3_warc_fixity(spark, sf_dir, scratch_archives=True)
 
 
 OP3_SQL = f"""
