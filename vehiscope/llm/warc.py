@@ -40,8 +40,8 @@ COPY_CHUNK = 65_536
 CRLF = "\r\n"
 
 
-def record(url: Column, html: Column) -> Column:
-    """The WARC record of a page, without the two line ends that close it."""
+def _head(url: Column, html: Column) -> Column:
+    """The header of a page's record, with the blank line below it."""
     uri = F.replace(F.replace(F.coalesce(url, F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     body = F.coalesce(html, F.lit(""))
     h = F.md5(F.concat_ws("\n", uri, body).cast("binary"))
@@ -50,7 +50,12 @@ def record(url: Column, html: Column) -> Column:
         F.lit(f"WARC/1.0{CRLF}WARC-Type: resource{CRLF}WARC-Record-ID: <urn:uuid:"), uuid,
         F.lit(f">{CRLF}WARC-Date: 2024-01-01T00:00:00Z{CRLF}WARC-Target-URI: "), uri,
         F.lit(f"{CRLF}Content-Type: text/html{CRLF}Content-Length: "), F.octet_length(body).cast("string"),
-        F.lit(CRLF + CRLF), body)
+        F.lit(CRLF + CRLF))
+
+
+def record(url: Column, html: Column) -> Column:
+    """The WARC record of a page, without the two line ends that close it."""
+    return F.concat(_head(url, html), F.coalesce(html, F.lit("")))
 
 
 def _closed(rec: Column) -> Column:
@@ -165,7 +170,8 @@ def write_replica(records: DataFrame, path: str, order: list[Column], compressio
     """Write ``file_id, value`` as one WARC file per file_id, in the given order:
     ``value`` is a record without the two line ends that close it."""
     (records.repartition("file_id").sortWithinPartitions("file_id", *order).select("file_id", "value")
-     .write.partitionBy("file_id").option("lineSep", CRLF + CRLF).option("compression", compression).text(path))
+     .write.partitionBy("file_id").option("lineSep", CRLF + CRLF).option("compression", compression)
+     .option("zlib.compress.level", "BEST_SPEED").text(path))
 
 
 def parse(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -220,28 +226,26 @@ def _damaged(pages: DataFrame) -> tuple[Column, Column, Column]:
     lost = F.coalesce(F.pmod("page_id", F.lit(LOST[0])) == LOST[1], F.lit(False))
     other = F.when(flip, F.concat(F.when(F.substring("html", 1, 1) == "#", "+").otherwise("#"),
                                   F.expr("substr(html, 2)"))).otherwise(F.col("html"))
-    good, bad = record(F.col("url"), F.col("html")), record(F.col("url"), other)
-    # the damaged copy keeps the header, whose record id is that of the good page
-    at = F.instr(good, CRLF + CRLF)
-    return good, F.concat(F.substr(good, F.lit(1), at - 1), F.substr(bad, at)), lost
+    url, html = F.col("url"), F.col("html")
+    # the damaged copy keeps the header: its record id is that of the good page
+    return record(url, html), F.concat(_head(url, html), F.coalesce(other, F.lit(""))), lost
 
 
 def placed(hashed: DataFrame, counted: DataFrame, records: int) -> DataFrame:
     """Pages with the file_id of each of their records. ``hashed``: page_id, url,
     html, hash; ``counted``: page_id, hash, copies of the pages that are there more
     than once; ``records``: number of all."""
-    code = F.xxhash64(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.col("hash"))
-    counted = counted.withColumn("code", code)
-    rows = hashed.withColumn("code", code).withColumn("many", in_bit_set(bit_set(counted, "code"), "code"))
-    once = rows.where(~F.col("many")).withColumn("copy", F.lit(0).cast("long"))
-    # a page that only seems to have copies has one
-    same = F.col("r.page_id").eqNullSafe(F.col("c.page_id")) & (F.col("r.hash") == F.col("c.hash"))
-    many = rows.where("many").dropDuplicates(["page_id", "hash"]).alias("r").join(
-        counted.alias("c"), (F.col("r.code") == F.col("c.code")) & same, "left").select(
-        "r.*", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
     names = ["page_id", "url", "html", "hash", "copy"]
-    return once.select(*names).unionByName(_copies(many, "page_id", "hash").select(*names)).withColumn(
-        "file_id", _file_of("page_id", F.col("copy"), _files(records)))
+    once = hashed.withColumn("copy", F.lit(0).cast("long")).select(*names)
+    if counted.head(1):
+        # pages are told apart by their number before they are hashed; one that
+        # only seems to have copies has one
+        perhaps = in_bit_set(bit_set(counted, "page_id"), "page_id")
+        same = F.col("r.page_id").eqNullSafe(F.col("c.page_id")) & (F.col("r.hash") == F.col("c.hash"))
+        many = hashed.where(perhaps).dropDuplicates(["page_id", "hash"]).alias("r").join(
+            counted.alias("c"), same, "left").select("r.*", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
+        once = once.where(~perhaps).unionByName(_copies(many, "page_id", "hash").select(*names))
+    return once.withColumn("file_id", _file_of("page_id", F.col("copy"), _files(records)))
 
 
 def op3_warc_fixity(spark: SparkSession, sf_dir: str, scratch_archives: bool = False) -> DataFrame:
