@@ -1,6 +1,10 @@
+import random
+import struct
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 from vehiscope.llm import sharding as S
 
 from .conftest import SF, clashing
@@ -58,3 +62,43 @@ def test_map_versions_and_growth(spark, tmp_out):
     assert moved and all(new[s] == 8 for s in moved)
     share = sum(sizes.values()) / 9
     assert 0.7 * share <= sum(sizes.get(s, 0) for s in moved) <= share
+
+
+def plain(rows, n_shards, n_slots):
+    """The whole result for few rows: hash, slot sums, map edited by the stated rule, positions."""
+    seen, recs = Counter(), []
+    for doc_id, text in rows:
+        body = (text or "").encode()
+        key = (doc_id, len(body) + 1, zlib.crc32(body))
+        h = 42
+        for v in (*key, seen[key]):
+            if v is not None:
+                h = xxhash.xxh64(struct.pack("<q", v), seed=h).intdigest()
+        recs.append((h % 2 ** 64 % n_slots, *key, seen[key]))  # n_slots is a power of two
+        seen[key] += 1
+    size = Counter()
+    for r in recs:
+        size[r[0]] += r[2]
+    owner = {s: s % n_shards for s in range(n_slots)}
+    while True:
+        load = [sum(size[s] for s in owner if owner[s] == i) for i in range(n_shards)]
+        high, low = load.index(max(load)), load.index(min(load))
+        gap = load[high] - load[low]
+        moves = [(abs(gap - 2 * size[s]), s) for s in owner if owner[s] == high and 0 < size[s] < gap]
+        if not moves:
+            break
+        owner[min(moves)[1]] = low
+    out, nth = Counter(), Counter()
+    for slot, doc_id, n, crc, _ in sorted(recs, key=lambda r: (r[0], r[1] is not None, r[1] or 0, *r[2:])):
+        out[doc_id, n, crc, owner[slot], nth[owner[slot]], slot] += 1
+        nth[owner[slot]] += 1
+    return out
+
+
+def test_whole_result_equals_brute_force(spark, edge_docs):
+    rng = random.Random(3)
+    rows = [(rng.choice([k, k % 7, None]), "x" * rng.choice([0, 1, 5, 90, 4000])) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(edge_docs.select("doc_id", "text")).repartition(3)
+    want = plain([tuple(r) for r in docs.collect()], 8, 128)
+    got = S.shard(docs, n_slots=128).collect()
+    assert Counter((r.doc_id, r["size"], r.text_crc32, r.shard, r.slot, r.virtual_slot) for r in got) == want

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -75,3 +76,56 @@ def test_held_out_rules(spark):
     wins = sum((g > b) + 0.5 * (g == b) for g in good for b in bad)
     assert good and bad and wins >= 0.9 * len(good) * len(bad)
     assert re.match("allow|block", rows[0].verdict)
+
+
+def test_verdicts_equal_brute_force(spark):
+    """Rules, models, threshold and verdict of every page, computed plainly."""
+    rng = random.Random(5)
+    hosts = ["a.org", "b.org", "example.org", "x.com", "y.com", "z.net"]
+    paths = ["/es/", "/en/1", "/en/2", "/fr/", "/de/", "/it/"]
+    pages = [(k, f"http://{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['spam', 'news', 'page'])}{rng.randrange(60)}?q={k}")
+             for k in range(700)] + [(700, None), (701, "http://z.net/" + "long" * 3000)]
+    df = spark.createDataFrame(pages, "page_id long, url string").repartition(4)
+    s = U.F.concat(U.F.lit(U.START), "host", "path", U.F.lit(U.END))
+    got = U.judge(df).select("*", s.alias("s"), (U.F.pmod(U.F.xxhash64(s), U.F.lit(5)) == 0).alias("held")).collect()
+    rules = sorted(U.RULES, key=lambda r: -len(r[1]))
+
+    def ruled(r):
+        for v, rule in rules:
+            h, _, p = rule.partition("/")
+            if (r.host == h or r.host.endswith("." + h)) and r.path.startswith("/" + p):
+                return rule, v
+        return None, None
+
+    seen = {}
+    for r in got:
+        seen.setdefault(r.s, [0, 0, r.held, r.score])
+        v = ruled(r)[1]
+        if v:
+            seen[r.s][v == "block"] += 1
+    counts, context = [Counter(), Counter()], [Counter(), Counter()]
+    for t, (*n, held, _) in seen.items():
+        for i in range(1, len(t)):
+            for k in range(min(i, U.ORDER) + 1):
+                for c, m, w in zip(counts, context, n):
+                    c[t[i - k:i + 1]] += 0 if held else w
+                    m[t[i - k:i]] += 0 if held else w
+
+    def delta(g):
+        q = [1 / U.ALPHABET] * 2
+        for k in range(1, len(g) + 1):
+            q = [(c[g[-k:]] + U.A * x) / (m[g[-k:-1] if k > 1 else ""] + U.A) for c, m, x in zip(counts, context, q)]
+        return math.log(q[0]) - math.log(q[1])
+
+    for t, (*_, score) in seen.items():
+        own = [delta(t[max(0, i - U.ORDER):i + 1]) for i in range(1, len(t))]
+        assert score == pytest.approx(sum(own) / len(own), abs=1e-8)
+    # the threshold, on the scores themselves: every bin's lower edge is tried
+    held = [(math.floor(max(-U.BIN_LIMIT, min(U.BIN_LIMIT, x)) * U.BIN_SCALE), a, b) for a, b, h, x in seen.values() if h and a + b]
+    good, bad = sum(h[1] for h in held), sum(h[2] for h in held)
+    value = {k: sum(a for j, a, _ in held if j >= k) / good + sum(b for j, _, b in held if j < k) / bad for k, *_ in held}
+    limit = min(k for k in value if value[k] == max(value.values())) / U.BIN_SCALE
+    assert good and bad and {r.verdict for r in got} == {"allow", "block"}
+    for r in got:
+        rule, verdict = ruled(r)
+        assert (r.rule, r.verdict) == (rule, verdict or ("allow" if r.score >= limit else "block"))

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vehiscope.llm.common import lower_ascii, table, written
+from vehiscope.llm.common import lower_ascii, scratch, table, written
 
 #: The rules as (verdict, host/path).
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -79,20 +79,33 @@ def _suffixes(grams: DataFrame) -> DataFrame:
 
 def char_ratios(urls: DataFrame) -> DataFrame:
     """``gram, delta``: log P_allow - log P_block of the last character of each
-    gram of the URLs. ``urls``: s, allow and block (numbers of fitting URLs)."""
-    grams = written(_positions(urls).groupBy("gram").agg(F.sum("allow").alias("a"), F.sum("block").alias("b")), "url-grams")
+    gram of the URLs. ``urls``: s, allow and block (numbers of fitting URLs).
+
+    Built from the endings of one character up: an ending meets its context and
+    the ending one character shorter, each of which at most as many endings share
+    as there are characters."""
+    grams = _positions(urls).groupBy("gram").agg(F.sum("allow").alias("a"), F.sum("block").alias("b"))
     counts = _suffixes(grams).groupBy("end").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    counts = written(counts, "url-endings")
-    before = F.expr("left(end, length(end) - 1)")
-    contexts = counts.groupBy(before.alias("context")).agg(F.sum("a").alias("ma"), F.sum("b").alias("mb"))
-    # smoothing runs from the shortest ending of a gram to the longest, at most ORDER + 1
-    parts_ = (_suffixes(grams.select("gram")).join(counts, "end").withColumn("context", before)
-              .join(contexts, "context").groupBy("gram").agg(F.array_sort(F.collect_list(
-                  F.struct("k", "a", "b", "ma", "mb"))).alias("p")))
-    one = F.struct(F.lit(1.0 / ALPHABET).alias("a"), F.lit(1.0 / ALPHABET).alias("b"))
-    p = F.aggregate("p", one, lambda q, x: F.struct(
-        ((x["a"] + A * q["a"]) / (x["ma"] + A)).alias("a"), ((x["b"] + A * q["b"]) / (x["mb"] + A)).alias("b")))
-    return parts_.select("gram", p.alias("q")).select("gram", (F.log("q.a") - F.log("q.b")).alias("delta"))
+    counts = written(counts.withColumn("k", F.length("end")), "url-endings")
+
+    def smoothed(n: Column, m: Column, shorter: Column) -> Column:
+        return (n + A * shorter) / (m + A)
+
+    ones = counts.where("k = 1")
+    total = ones.agg(F.struct(F.sum("a").alias("a"), F.sum("b").alias("b"))).scalar()
+    start = F.lit(1.0 / ALPHABET)
+    level = ones.select("end", smoothed(F.col("a"), total["a"], start).alias("pa"), smoothed(F.col("b"), total["b"], start).alias("pb"))
+    levels = None
+    for k in range(2, ORDER + 2):
+        own = counts.where(F.col("k") == k).select(
+            "end", "a", "b", F.expr("left(end, length(end) - 1)").alias("context"), F.right("end", F.lit(k - 1)).alias("shorter"))
+        contexts = own.groupBy("context").agg(F.sum("a").alias("ma"), F.sum("b").alias("mb"))
+        below = level.select(F.col("end").alias("shorter"), F.col("pa").alias("qa"), F.col("pb").alias("qb"))
+        level = written(own.join(contexts, "context").join(below, "shorter").select(
+            "end", smoothed(F.col("a"), F.col("ma"), F.col("qa")).alias("pa"),
+            smoothed(F.col("b"), F.col("mb"), F.col("qb")).alias("pb")), f"url-level-{k}")
+        levels = level if levels is None else levels.unionByName(level)
+    return levels.select(F.col("end").alias("gram"), (F.log("pa") - F.log("pb")).alias("delta"))
 
 
 def scores(urls: DataFrame, ratios: DataFrame) -> DataFrame:
@@ -126,13 +139,14 @@ def judge(pages: DataFrame, id_col: str = "page_id", rules=None, folds: int = 5)
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("r", rule_for(F.col("host"), F.col("path"), rules)).select(
         "id", "host", "path", "r.rule", "r.verdict", F.concat(F.lit(START), "host", "path", F.lit(END)).alias("s"))
-    urls = written(rows.groupBy("s").agg(F.sum((F.col("verdict") == "allow").cast("long")).alias("allow"),
-                                         F.sum((F.col("verdict") == "block").cast("long")).alias("block"))
-                   .na.fill(0, ["allow", "block"])
-                   .withColumn("held", F.pmod(F.xxhash64("s"), F.lit(folds)) == 0), "urls")
-    fit = urls.withColumns({c: F.when(F.col("held"), 0).otherwise(F.col(c)) for c in ("allow", "block")})
-    scored = written(scores(urls, char_ratios(fit)), "url-scores")
-    limit = threshold(urls.where("held and allow + block > 0").join(scored, "s"))
+    with scratch(pages.sparkSession):
+        urls = written(rows.groupBy("s").agg(F.sum((F.col("verdict") == "allow").cast("long")).alias("allow"),
+                                             F.sum((F.col("verdict") == "block").cast("long")).alias("block"))
+                       .na.fill(0, ["allow", "block"])
+                       .withColumn("held", F.pmod(F.xxhash64("s"), F.lit(folds)) == 0), "urls")
+        fit = urls.withColumns({c: F.when(F.col("held"), 0).otherwise(F.col(c)) for c in ("allow", "block")})
+        scored = written(scores(urls, char_ratios(fit)), "url-scores", keep=True)
+        limit = threshold(urls.where("held and allow + block > 0").join(scored, "s"))
     verdict = F.lit("allow") if limit is None else F.when(F.col("score") >= limit, "allow").otherwise("block")
     return rows.join(scored, "s", "left").select(
         "id", "host", "path", "rule", F.coalesce("verdict", verdict).alias("verdict"), "score")
