@@ -69,3 +69,15 @@ def test_cluster_conf_sizes_partitions():
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = cluster_conf(1 << 20, executors=10)
     assert int(small["spark.sql.shuffle.partitions"]) == 3 * 10 * 4
+
+
+def _scans(df) -> int:
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    return sum("Relation" in x and "l_orderkey#" in x for x in lines)
+
+
+def test_a2_makes_the_complaints_once(spark):
+    """Groups are counted before the join, so no count runs it again."""
+    from vehiscope.plans import catalog
+    for q in ("A2", "J2"):
+        assert _scans(catalog.queries()[q](spark, SF)) == 1

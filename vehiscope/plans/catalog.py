@@ -447,8 +447,10 @@ def _a1(t):
 
 @q("A2", "SELECT * FROM vca_variants")
 def _a2(t):
+    # the join keeps the vehicle rows, so their groups are counted before it
     return attach_group_count(I.vehicle_complaints_joined(t.vehicles, t.complaints),
-                              ["year", "make", "model"], "vehicle_variants", null_keys_match=False)
+                              ["year", "make", "model"], "vehicle_variants", null_keys_match=False,
+                              counts_from=t.vehicles)
 
 
 @q("A3", "SELECT * FROM fuel_year")
@@ -804,8 +806,10 @@ def _q12(t):
 @q("J2", "SELECT * FROM vca_variants")
 def _j2(t):
     """The reference's self-join for the group size, written as A2."""
+    # the join keeps the vehicle rows, so their groups are counted before it
     return attach_group_count(I.vehicle_complaints_joined(t.vehicles, t.complaints),
-                              ["year", "make", "model"], "vehicle_variants", null_keys_match=False)
+                              ["year", "make", "model"], "vehicle_variants", null_keys_match=False,
+                              counts_from=t.vehicles)
 
 
 # =====================================================================  D1..D9
