@@ -81,3 +81,16 @@ def test_a2_makes_the_complaints_once(spark):
     from vehiscope.plans import catalog
     for q in ("A2", "J2"):
         assert _scans(catalog.queries()[q](spark, SF)) == 1
+
+
+def test_l4_publishes_written_layers(spark, monkeypatch):
+    """Neither version is made from the raw rows again."""
+    from vehiscope.plans import catalog
+    from vehiscope.sources import versions as V
+    seen, write = [], V.write_data
+    monkeypatch.setattr(V, "write_data", lambda df, *a, **k: seen.append(_scans(df)) or write(df, *a, **k))
+    rows = {r["name"]: r["rows"] for r in catalog.queries()["L4_release"](spark, SF).collect()}
+    t = Tables(spark, SF)
+    assert seen == [0] * 6
+    assert rows == {"vehicle_complaints_analysis": t.vca.count(), "fuel_infrastructure_analysis": t.infra.count(),
+                    "comprehensive_vehicle_analysis": t.comp.count()}

@@ -1404,9 +1404,12 @@ def _x12t(t):
   UNION ALL SELECT 'vehicle_complaints_analysis', count(*), 2 FROM vca""")
 def _l4r(t):
     """L4: the integrated tables published as one version, after an older one of
-    which nothing may show; rows read back through the log."""
+    which nothing may show; rows read back through the log. The layers are written
+    first: both versions read them."""
     from ..sources import versions as V
+    from .pipeline import layers
     root = _io_root(t, "L4_release")
+    t = layers(t, f"{root}/layers")
     tables = {"vehicle_complaints_analysis": t.vca, "fuel_infrastructure_analysis": t.infra,
               "comprehensive_vehicle_analysis": t.comp}
     V.write_release({n: df.limit(1) for n, df in tables.items()}, root)

@@ -99,16 +99,19 @@ def run(spark: SparkSession, sf_dir: str, as_of=K.DEFAULT_AS_OF,
     """Build and materialise both layers; later layers read the written ones,
     so P6 reuses the stored P4 instead of recomputing it. Independent layers
     (P1-P3, then P4 and P5) are written concurrently."""
-    root = out_dir or shared_path(spark, "pipeline")
-    t = Tables(spark, sf_dir, as_of)
-    over = _write_all({n: (getattr(t, n), f"{root}/processed/{n}") for n in PROCESSED},
-                      parallel)
-    t2 = Tables(spark, sf_dir, as_of, dict(over))
+    return layers(Tables(spark, sf_dir, as_of), out_dir or shared_path(spark, "pipeline"), parallel)
+
+
+def layers(t: Tables, root: str, parallel: bool = True) -> Tables:
+    """The tables of ``t``, both layers written below ``root``: each raw source is
+    read and cleaned once, whatever is asked of the result."""
+    over = t._over | _write_all({n: (getattr(t, n), f"{root}/processed/{n}") for n in PROCESSED}, parallel)
+    t2 = Tables(t.spark, t.sf_dir, t.as_of, dict(over))
     over.update(_write_all({n: (getattr(t2, n), f"{root}/integrated/{INTEGRATED[n]}")
                             for n in ("vca", "infra")}, parallel))
-    t3 = Tables(spark, sf_dir, as_of, dict(over))
+    t3 = Tables(t.spark, t.sf_dir, t.as_of, dict(over))
     over["comp"] = materialize(t3.comp, f"{root}/integrated/{INTEGRATED['comp']}")
-    return Tables(spark, sf_dir, as_of, over)
+    return Tables(t.spark, t.sf_dir, t.as_of, over)
 
 
 def ingest_files(spark: SparkSession, vehicles_csv: str, complaints_tsv: str, stations: str, root: str,
