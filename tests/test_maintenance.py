@@ -63,3 +63,30 @@ def test_vehicle_rows_with_null_keys(spark):
     c = M.complaint_state(t.complaints)
     new = M.updated_analysis(t.vca, state, c, M.touched_keys(dv, c.limit(0)))
     assert rows(new) == rows(I.vehicle_complaints_analysis(after, t.complaints))
+
+
+def test_clean_tables_are_made_once(spark, monkeypatch):
+    """Of all that is written, only the clean complaints read the raw ones; the
+    clean vehicles are read by the rest too."""
+    seen, write = [], catalog.materialize
+
+    def noted(df, path, *more):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        seen.append(("l_orderkey#" in plan, "p_brand#" in plan))
+        return write(df, path, *more)
+    monkeypatch.setattr(catalog, "materialize", noted)
+    got = catalog.queries()["X11_maintained_P4"](spark, SF)
+    assert [s for s in seen if s != (False, False)] == [(False, True), (True, True)]
+    assert rows(got) == rows(Tables(spark, SF).vca)
+    for q in ("X11_maintained_A1", "X11_maintained_A3"):
+        plan = catalog.queries()[q](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey#" not in plan and "p_brand#" not in plan
+
+
+def test_earlier_rows_null_keys_and_repeats(spark):
+    """A null key is in no side of the change set; a row may be in both."""
+    df = spark.createDataFrame([(5, 1), (5, 1), (38, 2), (3, 3), (None, 4), (22, None)], "id long, v long")
+    got = catalog._changed(df, "id", "id % 10 <> 3", "id % 11 = 5", "v", F.col("v") + 1)
+    assert got.schema.simpleString() == df.schema.simpleString()
+    assert rows(got) == rows(spark.createDataFrame(
+        [(5, 2), (5, 2), (-5, 1), (-5, 1), (38, 3), (-38, 2), (22, None)], "id long, v long"))

@@ -1321,16 +1321,30 @@ def _x11u(t):
     return U.current(t.spark, root).drop("snapshot")
 
 
+def _changed(df, key, kept, gone, column, value):
+    """The rows of an earlier state: those of ``kept`` with another ``column``,
+    and rows of ``gone`` again under a key of their own; one pass."""
+    def row(own):
+        return F.struct(*[own.get(c, F.col(c)).alias(c) for c in df.columns])
+
+    rows = F.array(F.when(F.expr(kept), row({column: value})), F.when(F.expr(gone), row({key: -F.col(key)})))
+    return df.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
+
+
 def _earlier(t):
     """Vehicles and complaints as they were before a change set: some rows are
     not there yet, some are there that go, some have other values."""
-    vehicles = (t.vehicles.where("id % 10 <> 3")
-                .withColumn("comb08", F.when(F.col("id") % 7 == 1, F.col("comb08") + 1).otherwise(F.col("comb08")))
-                .unionByName(t.vehicles.where("id % 11 = 5").withColumn("id", -F.col("id"))))
-    complaints = (t.complaints.where("ODINO % 6 <> 2")
-                  .withColumn("MILEAGE", F.when(F.col("ODINO") % 9 == 4, F.lit(None)).otherwise(F.col("MILEAGE")))
-                  .unionByName(t.complaints.where("ODINO % 13 = 7").withColumn("ODINO", -F.col("ODINO"))))
-    return vehicles, complaints
+    comb08 = F.when(F.col("id") % 7 == 1, F.col("comb08") + 1).otherwise(F.col("comb08"))
+    mileage = F.when(F.col("ODINO") % 9 == 4, F.lit(None)).otherwise(F.col("MILEAGE"))
+    return (_changed(t.vehicles, "id", "id % 10 <> 3", "id % 11 = 5", "comb08", comb08),
+            _changed(t.complaints, "ODINO", "ODINO % 6 <> 2", "ODINO % 13 = 7", "MILEAGE", mileage))
+
+
+def _clean(t, root, *names):
+    """The tables of ``t`` with the named clean ones written: they are made from
+    the raw rows once, and every state and both sides of a change set read them."""
+    from .pipeline import Tables
+    return Tables(t.spark, t.sf_dir, t.as_of, t._over | {n: materialize(getattr(t, n), f"{root}/clean/{n}") for n in names})
 
 
 def _complaint_states(t):
@@ -1344,13 +1358,14 @@ def _complaint_states(t):
 def _x11m1(t):
     """A1 kept up to date from changed complaints equals A1 from scratch."""
     from . import maintenance as M
-    return M.rollup_of(M.merged(*_complaint_states(t)))
+    return M.rollup_of(M.merged(*_complaint_states(_clean(t, _io_root(t, "X11_maintained_A1"), "complaints"))))
 
 
 @q("X11_maintained_A3", "SELECT * FROM fuel_year")
 def _x11m3(t):
     """A3 kept up to date from changed vehicle rows."""
     from . import maintenance as M
+    t = _clean(t, _io_root(t, "X11_maintained_A3"), "vehicles")
     before, _ = _earlier(t)
     coded = [v.withColumn("fuel_type_code", S.map_code("fuel_used")) for v in (before, t.vehicles)]
     change = M.fuel_state(M.signed_changes(*coded, ["id", "fuel_rank"]))
@@ -1360,9 +1375,11 @@ def _x11m3(t):
 @q("X11_maintained_P4", "SELECT * FROM vca")
 def _x11m4(t):
     """P4 kept up to date from changed vehicles and complaints; the states, the
-    change states and the old P4 are written, the update reads these alone."""
+    change states and the old P4 are written, the update reads these alone. The
+    clean tables are written before them, each once."""
     from . import maintenance as M
     root = _io_root(t, "X11_maintained_P4")
+    t = _clean(t, root, "vehicles", "complaints")
     vehicles, complaints = _earlier(t)
     kept = {"vehicles": M.vehicle_state(vehicles), "complaints": M.complaint_state(complaints),
             "analysis": I.vehicle_complaints_analysis(vehicles, complaints),
