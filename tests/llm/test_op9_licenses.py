@@ -3,6 +3,8 @@ import re
 
 import duckdb
 
+from pyspark.sql import functions as F
+
 from vehiscope.llm import licenses as L
 
 from .conftest import clashing
@@ -150,3 +152,16 @@ def test_query_equals_sql(spark, edge_docs, no_docs, tmp_out):
     got = L.op9_licenses(spark, path).select(*want.columns).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
     assert L.scan(no_docs).count() == 0
+
+
+def test_the_pattern_finds_just_the_texts_with_a_bigram(spark):
+    """One search instead of a cut of every text into words."""
+    grams = ["mit license", "the mit", "axb c", "gr\u00fcn tee"]
+    texts = ["the mit", "see the  MIT-License!", "thee mit", "the mitt", "the", "mit\nlicense", "amit license", "mit licenses",
+             "\u00e9mit license", "mit license\u00e9", "\U0001f600mit license", "mit license\U0001f600", "mit \U0001f600 license",
+             "axb\tc", "axb c0", "Gr\u00fcn, Tee", "gr\u00fcn\u00a0tee", "", "the 'mit'", "(the) mit"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("w", L._words(F.col("text")))
+    own = F.arrays_overlap(L._neighbours("w"), F.array(*[F.lit(g) for g in grams]))
+    got = df.select("text", F.lower("text").rlike(L.bigram_pattern(grams)).alias("p"), own.alias("o")).collect()
+    assert [r.p for r in got] == [bool(r.o) for r in got] and sum(r.p for r in got) == 7
+    assert not spark.range(1).select(F.lit("a b").rlike(L.bigram_pattern([]))).first()[0]

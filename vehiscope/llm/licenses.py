@@ -14,8 +14,8 @@ unit meets only the templates under its own size, by an equality join.
 
 Such a unit shares at least the least overlap of these sizes, so it holds one of
 any |B| - least + 1 bigrams of the template: the longest ones, which are rare in
-other texts, are its anchors. Texts without any anchor's longer word are left out
-before bigrams are made, then texts without any anchor; this loses no unit. Equal texts are compared once.
+other texts, are its anchors. Texts without any anchor are left out by one pattern
+search, before they are cut into words; this loses no unit. Equal texts are compared once.
 
 DataFrame functions only. The templates are a parameter of the job, at most
 ``MAX_TEMPLATES`` of them, and are broadcast.
@@ -119,6 +119,20 @@ def anchors(text: str, dice: float) -> list[tuple[str, int]]:
     return [(g, i) for i, g in enumerate(" ".join(p) for p in zip(w, w[1:])) if g in chosen]
 
 
+def bigram_pattern(grams: list[str]) -> str:
+    """A pattern that a lower-cased text holds just if one of the bigrams is among
+    its word bigrams; it is tried where a word starts."""
+    following: dict[str, list[str]] = {}
+    for first, second in sorted(g.split(" ") for g in grams):
+        following.setdefault(first, []).append(second)
+    if not following:
+        return "(?!)"
+    word, between = WORD.removesuffix("+"), "[" + WORD.removeprefix("[^")
+    return f"(?<!{word})(?:" + "|".join(
+        rf"\Q{first}\E{between}(?:" + "|".join(rf"\Q{w}\E" for w in seconds) + ")"
+        for first, seconds in following.items()) + f")(?!{word})"
+
+
 def _neighbours(words: str) -> Column:
     """The bigrams of a column of words, in order."""
     return F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0))),
@@ -167,10 +181,8 @@ def _text_matches(docs: DataFrame, templates: list[tuple[str, str]], dice: float
     spark = docs.sparkSession
     by_size = spark.createDataFrame(sized, "n int, template int, license string, own array<string>")
     rare = sorted({g for _, text in templates for g, _ in anchors(text, dice)})
-    longer = sorted({max(g.split(" "), key=len) for g in rare})
-    held = (docs.select("text", _words(F.col("text")).alias("words"))
-            .where(F.arrays_overlap("words", F.split(F.lit(" ".join(longer)), " ")))
-            .where(F.arrays_overlap(_neighbours("words"), F.split(F.lit(",".join(rare)), ","))))
+    held = (docs.where(F.lower("text").rlike(bigram_pattern(rare)))
+            .select("text", _words(F.col("text")).alias("words")))
     texts = written(held.groupBy(F.md5(F.col("text").cast("binary")).alias("digest"))
                     .agg(F.first("text").alias("text"), F.first("words").alias("words")), "licence-texts")
     lines = F.split("text", "\n")
