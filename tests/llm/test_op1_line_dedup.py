@@ -5,6 +5,8 @@ import re
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from vehiscope.llm import lines as L
 
 from .conftest import clashing, words
@@ -105,3 +107,23 @@ def test_query_equals_sql(spark, edge_docs, tmp_out):
     q = L.op1_line_dedup(spark, path)
     want = con.sql(L.OP1_SQL)
     assert sorted(map(str, (tuple(r) for r in q.select(*want.columns).collect()))) == sorted(map(str, want.fetchall()))
+
+
+def test_members_of_a_group_that_differ_do_not_meet(spark):
+    """Near copies of a line, none similar to another: no pair of them passes the
+    filters; a similar one still meets its line."""
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(f"x{m}-{k}" if k in (12, 24, 36, 48) else w for k, w in enumerate(words)) for m in range(40)]
+    texts.append(" ".join([*words[:12], "x7-12", *words[13:24], "x7-24", *words[25:36], "x7-36", *words[37:48], "x7-48",
+                           *words[49:59], "other"]))
+    lines = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "line long, text string").withColumn("line_", F.col("text"))
+    rare = L._rarity_literal(L._rarity(lines.select(F.col("text").alias("line"))))
+    tokens = lines.select("line", L._tokens(F.col("text"), rare).alias("t"))
+    n = F.size("t")
+    prefix = tokens.select("line", n.alias("n"), F.posexplode(F.slice("t", F.lit(1), L._prefix(n))).alias("i", "token"))
+    a, b = prefix.alias("a"), prefix.alias("b")
+    met = a.join(b, "token").where("a.line > b.line").where(
+        L._possible(F.col("a.n"), F.col("a.i"), F.col("b.n"), F.col("b.i"))).select("a.line", "b.line").distinct().collect()
+    assert [tuple(r) for r in met] == [(40, 7)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert [(r.doc_id, r.removed) for r in L.removed_lines(docs).collect()] == [(40, [0])]

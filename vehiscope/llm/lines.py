@@ -6,8 +6,9 @@ the count class of their hash bucket over the whole corpus, then by hash, which
 is one total order for all lines. Two lines of Jaccard similarity ``t`` or more
 share a token among the first ``n - ceil(t n) + 1`` of each (prefix filter); a
 shared prefix token gives a candidate only if the sizes allow ``t`` (length
-filter) and the tokens behind it could still reach the overlap (positional
-filter); candidates are verified by exact Jaccard over the whole sets. A line
+filter) and it and the tokens behind it could reach the overlap alone (positional
+filter: nothing is shared before the first shared token, so similar lines meet at
+that one); candidates are verified by exact Jaccard over the whole sets. A line
 goes if an equal line or a similar one occurs earlier (by doc_id, then text
 digest, then line number).
 
@@ -117,9 +118,12 @@ def _prefix(n: Column) -> Column:
 
 
 def _possible(na: Column, ia: Column, nb: Column, ib: Column) -> Column:
-    """Length and positional filter for a token at places ia, ib (from 0)."""
+    """Length and positional filter for a token at places ia, ib (from 0), taken
+    as the first that both lines hold: it holds there for all similar lines, and
+    members of a group that only have most of their common tokens left do not meet
+    at any of them."""
     return ((T_DEN * F.least(na, nb) >= T_NUM * F.greatest(na, nb))
-            & (1 + F.least(ia, ib) + F.least(na - ia - 1, nb - ib - 1) >= _overlap(na, nb)))
+            & (F.least(na - ia, nb - ib) >= _overlap(na, nb)))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -144,8 +148,10 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
     tokens = lines.select("k1", "k2", _tokens(F.col("line"), rare).alias("tokens"))
     n = F.size("tokens")
     size = _prefix(n)
-    prefix = written(tokens.select("k1", "k2", n.alias("n"), F.posexplode(F.slice("tokens", F.lit(1), size))
-                                   .alias("i", "token")), "prefix-tokens")
+    # one row a line: its keys are not repeated with every token
+    lists = written(tokens.select("k1", "k2", n.alias("n"), F.slice("tokens", F.lit(1), size).alias("prefix")),
+                    "prefix-tokens")
+    prefix = lists.select("k1", "k2", "n", F.posexplode("prefix").alias("i", "token"))
     shared = written(prefix.groupBy("token").agg(F.min("k1").alias("a"), F.max("k1").alias("b"))
                      .where("a <> b").select("token"), "shared-tokens")
     places = (prefix.where(in_bit_set(bit_set(shared, "token"), "token")).join(shared, "token")
@@ -153,7 +159,7 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
     # a line is known by its place from here on
     places = written(places.join(first, ["k1", "k2"]).select("token", "k1", "k2", F.col("place").alias("line"), "n", "i"),
                      "line-prefixes")
-    discard(prefix, shared)
+    discard(lists, shared)
     known = places.select("k1", "k2", "line").distinct()
     involved = bit_set(known.select("k1"), "k1")
     # the texts of these lines, each once: shorter to move than their tokens
@@ -184,11 +190,7 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
               .select("token", F.col("line").alias("y"), F.col("n").alias("ny"), F.col("i").alias("iy")))
     pairs = (open_.join(others, "token").where("line > y")
              .where(_possible(F.col("n"), F.col("i"), F.col("ny"), F.col("iy")))
-             .groupBy(F.col("line").alias("x"), "y", "n", "ny").agg(F.count("*").alias("shared")))
-    # these are all prefix tokens that the pair shares (pairs with a leader are
-    # decided); what it shares beyond is in the rest of one of the two lines
-    beyond = F.greatest(F.col("n") - _prefix(F.col("n")), F.col("ny") - _prefix(F.col("ny")))
-    pairs = pairs.where(F.col("shared") + beyond >= _overlap(F.col("n"), F.col("ny"))).select("x", "y")
+             .select(F.col("line").alias("x"), "y").distinct())
     found = found.unionByName(_verified(pairs, texts).select(F.col("x").alias("line")))
     return known.join(found.distinct(), "line").select("k1", "k2")
 
