@@ -127,3 +127,26 @@ def test_members_of_a_group_that_differ_do_not_meet(spark):
     assert [tuple(r) for r in met] == [(40, 7)]
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
     assert [(r.doc_id, r.removed) for r in L.removed_lines(docs).collect()] == [(40, [0])]
+
+
+def test_documents_are_numbered_in_order(spark, edge_rows, edge_docs):
+    got = [(r.doc, r.doc_id, r.digest) for r in L._numbered(edge_docs.repartition(7)).collect()]
+    want = {(i is None, i or 0, hashlib.md5(t.encode()).hexdigest(), i) for i, t, *_ in edge_rows if t is not None}
+    assert sorted(got, key=lambda r: r[0]) == [(k, i, d) for k, (_, _, d, i) in enumerate(sorted(want, key=lambda r: r[:3]))]
+
+
+def test_joins_of_tokens_move_numbers_only(spark, rows, monkeypatch):
+    kinds, texts, write = {}, [], L.written
+
+    def spy(df, name, keep=False):
+        kinds[name] = {t for _, t in df.dtypes}
+        if name.endswith("-pairs"):
+            texts.append(name)
+        return write(df, name, keep)
+
+    monkeypatch.setattr(L, "written", spy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    assert L.removed_lines(docs).count() > 0
+    tables = [n for n in kinds if n.startswith(("line-prefixes", "line-leaders", "open-lines", "similar-lines", "marked"))]
+    assert len(tables) > 2 * L.ROUNDS and all(kinds[n] <= {"bigint", "int", "boolean"} for n in tables)
+    assert len(texts) == L.ROUNDS + 1

@@ -17,8 +17,12 @@ of each token, which settles the members of a large group without its pairs; the
 lines that are left meet all earlier lines of their tokens. No candidate is
 dropped.
 
+Documents are numbered in their order and a line is known by one number, so that
+the joins of tokens move numbers only; texts are moved for the lines that share a
+prefix token, and once a round for those of the pairs to verify.
+
 DataFrame functions only. What is gathered has a fixed size: ``RARITY_BUCKETS``
-count classes and two bit sets, which only spare shuffles.
+count classes, one number a partition, and bit sets, which only spare shuffles.
 
 Defined results
     null text stays null; blank lines stay; null doc_id: sorted last; rows that
@@ -45,6 +49,10 @@ RARITY_BUCKETS = 1 << 18
 #: The rarity class is in the bits above the hash.
 HASH_BITS = 57
 ROUNDS = 3
+#: Below a document's number, the bits of the number of a line in it.
+POS_BITS = 31
+#: `monotonically_increasing_id`: bits of the row below the partition.
+ROW_BITS = 33
 
 
 def _docs(docs: DataFrame) -> DataFrame:
@@ -52,11 +60,38 @@ def _docs(docs: DataFrame) -> DataFrame:
         "doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), "text")
 
 
+def _keys(line: Column) -> tuple[Column, Column]:
+    """``k1, k2`` of a lower-cased line."""
+    return F.xxhash64(line).alias("k1"), F.xxhash64(F.lit("second"), line).alias("k2")
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, pos, line, k1, k2`` of every line with a word, lower-cased."""
-    lines = _docs(docs).select("doc_id", "digest", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return lines.where(F.col("line").rlike(A_WORD)).withColumn("line", F.lower("line")).withColumns(
-        {"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit("second"), "line")})
+    """``line, k1, k2`` of every line with a word, lower-cased."""
+    lines = _docs(docs).select(F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(A_WORD))
+    return lines.select(F.lower("line").alias("line")).select("line", *_keys(F.col("line")))
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``doc, doc_id, digest, keys`` of every document: its place in the order, from
+    0, and ``pos, k1, k2`` of its lines with a word."""
+    keys = F.transform(F.split("text", "\n"), lambda x, i: F.struct(
+        i.alias("pos"), *_keys(F.lower(x)), x.rlike(A_WORD).alias("word")))
+    keys = F.transform(F.filter(keys, lambda k: k["word"]), lambda k: F.struct(k["pos"], k["k1"], k["k2"]))
+    found = written(_docs(docs).select("doc_id", "digest", keys.alias("keys")), "line-keys")
+    row = F.monotonically_increasing_id()
+    rows = written(found.dropDuplicates(["doc_id", "digest"]).orderBy(F.col("doc_id").isNull(), "doc_id", "digest")
+                   .withColumn("row", row), "ordered-documents")
+    discard(found)
+    # rows of the partitions before each: one number a partition
+    part = F.shiftright("row", ROW_BITS).cast("int")
+    before, n = [], 0
+    sizes = {r["p"]: r["n"] for r in rows.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
+    for k in range(max(sizes, default=-1) + 1):
+        before.append(n)
+        n += sizes.get(k, 0)
+    start = F.get(F.split(F.lit(",".join(map(str, before or [0]))), ",").cast("array<bigint>"), part)
+    doc = start + F.col("row").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return rows.select(doc.alias("doc"), "doc_id", "digest", "keys")
 
 
 def _words(line: Column) -> Column:
@@ -92,7 +127,8 @@ def _rarity_literal(rarity: DataFrame) -> Column:
 def _tokens(line: Column, rarity: Column) -> Column:
     """Distinct token numbers of a line, rarest first."""
     def number(t: Column) -> Column:
-        rank = F.get(rarity, t.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int"))
+        # known not to be null: long values are sorted as such
+        rank = F.coalesce(F.get(rarity, t.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")), F.lit(0).cast("long"))
         return F.shiftleft(rank, HASH_BITS).bitwiseOR(t.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
     return F.sort_array(F.array_distinct(F.transform(_grams(line), number)))
@@ -126,23 +162,32 @@ def _possible(na: Column, ia: Column, nb: Column, ib: Column) -> Column:
             & (F.least(na - ia, nb - ib) >= _overlap(na, nb)))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The candidate pairs ``x, y`` (line numbers) of similarity T or more."""
-    a = texts.select(F.col("line").alias("x"), F.col("text").alias("tx"))
-    b = texts.select(F.col("line").alias("y"), F.col("text").alias("ty"))
+def _verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """``line``: x of the candidate pairs ``x, y`` (line numbers) of similarity T
+    or more. Only the texts of the pairs are moved."""
+    pairs = written(pairs, f"{name}-pairs")
+    met = bit_set(pairs.select(F.explode(F.array("x", "y")).alias("line")), "line")
+    some = texts.where(in_bit_set(met, "line"))
+    a = some.select(F.col("line").alias("x"), F.col("text").alias("tx"))
+    b = some.select(F.col("line").alias("y"), F.col("text").alias("ty"))
     sets = F.struct(_set(F.col("tx")).alias("a"), _set(F.col("ty")).alias("b"))
 
     def similar(s: Column) -> Column:
         both = F.size(F.array_intersect(s["a"], s["b"]))
         return T_DEN * both >= T_NUM * (F.size(s["a"]) + F.size(s["b"]) - both)
 
-    return pairs.join(a, "x").join(b, "y").where(F.transform(F.array(sets), similar)[0]).select("x", "y")
+    hits = (pairs.join(a, "x").join(b, "y").where(F.transform(F.array(sets), similar)[0])
+            .select(F.col("x").alias("line")).distinct())
+    hits = written(hits, name)
+    discard(pairs)
+    return hits
 
 
 def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
-    """``k1, k2`` of the distinct lines that have a similar line before them.
+    """``line`` of the distinct lines that have a similar line before them.
 
-    ``first`` has ``k1, k2, place`` of all distinct lines, ``place`` sortable.
+    ``first`` has ``k1, k2, line`` of all distinct lines; the order is that of
+    the numbers ``line``.
     """
     rare = _rarity_literal(_rarity(lines))
     tokens = lines.select("k1", "k2", _tokens(F.col("line"), rare).alias("tokens"))
@@ -156,29 +201,29 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
                      .where("a <> b").select("token"), "shared-tokens")
     places = (prefix.where(in_bit_set(bit_set(shared, "token"), "token")).join(shared, "token")
               .groupBy("token", "k1", "k2").agg(F.min("n").alias("n"), F.min("i").alias("i")))
-    # a line is known by its place from here on
-    places = written(places.join(first, ["k1", "k2"]).select("token", "k1", "k2", F.col("place").alias("line"), "n", "i"),
-                     "line-prefixes")
+    # a line is known by its number from here on
+    named = written(places.join(first, ["k1", "k2"]).select("token", "k1", "k2", "line", "n", "i"), "line-prefixes")
     discard(lists, shared)
-    known = places.select("k1", "k2", "line").distinct()
-    involved = bit_set(known.select("k1"), "k1")
+    known = named.select("k1", "k2", "line").distinct()
     # the texts of these lines, each once: shorter to move than their tokens
-    some = lines.where(in_bit_set(involved, "k1")).select("k1", "k2", F.col("line").alias("text"))
-    texts = written(some.join(known.withColumnRenamed("line", "place"), ["k1", "k2"])
-                    .groupBy(F.col("place").alias("line")).agg(F.first("text").alias("text")), "line-texts")
+    some = (lines.where(in_bit_set(bit_set(named.select("k1"), "k1"), "k1"))
+            .groupBy("k1", "k2").agg(F.first("line").alias("text")))
+    texts = written(some.join(known, ["k1", "k2"]).select("line", "text"), "line-texts")
+    places = named.select("token", "line", "n", "i")
 
-    open_, found, earlier = places, None, None
+    open_, found, earlier, lead_before = places, None, None, None
     for r in range(ROUNDS):
         # compare with the earliest line of the token that was not yet compared
         pool = places if earlier is None else places.join(earlier, "token").where("line > last").drop("last")
-        lead = pool.groupBy("token").agg(F.min(F.struct("line", "n", "i")).alias("y")).select("token", "y")
+        lead = (pool.groupBy("token").agg(F.min("line").alias("y"), F.min_by(F.struct("n", "i"), "line").alias("at"))
+                .select("token", "y", F.col("at.n").alias("ny"), F.col("at.i").alias("iy")))
         lead = written(lead, f"line-leaders-{r}")
-        pairs = (open_.join(lead, "token").where(F.col("line") > F.col("y.line"))
-                 .where(_possible(F.col("n"), F.col("i"), F.col("y.n"), F.col("y.i")))
-                 .select(F.col("line").alias("x"), F.col("y.line").alias("y")).distinct())
-        hits = written(_verified(pairs, texts).select(F.col("x").alias("line")).distinct(), f"similar-lines-{r}")
+        pairs = (open_.join(lead, "token").where("line > y")
+                 .where(_possible(F.col("n"), F.col("i"), F.col("ny"), F.col("iy")))
+                 .select(F.col("line").alias("x"), "y").distinct())
+        hits = _verified(pairs, texts, f"similar-lines-{r}")
         found = hits if found is None else found.unionByName(hits)
-        earlier = lead.select("token", F.col("y.line").alias("last"))
+        earlier = lead.select("token", F.col("y").alias("last"))
         # open: the lines not settled that still have other lines before them
         left = written(open_.join(hits, "line", "left_anti").join(earlier, "token").where("line > last").drop("last"),
                        f"open-lines-{r}")
@@ -191,25 +236,27 @@ def similar_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
     pairs = (open_.join(others, "token").where("line > y")
              .where(_possible(F.col("n"), F.col("i"), F.col("ny"), F.col("iy")))
              .select(F.col("line").alias("x"), "y").distinct())
-    found = found.unionByName(_verified(pairs, texts).select(F.col("x").alias("line")))
-    return known.join(found.distinct(), "line").select("k1", "k2")
+    found = found.unionByName(_verified(pairs, texts, "similar-lines")).distinct()
+    discard(named, texts, open_, lead_before)
+    return found
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, digest, removed``: per document (doc_id and md5 of the text) the
     sorted numbers of the lines that go, from 0; documents without any are absent."""
-    lines = _lines(docs)
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "pos")
-    every = written(lines.select("k1", "k2", place.alias("place")), "line-places")
-    first = written(every.groupBy("k1", "k2").agg(F.min("place").alias("place"), F.max("place").alias("last")), "lines")
-    similar = written(similar_lines(lines, first.drop("last")), "similar-lines")
+    numbered = _numbered(docs)
+    every = numbered.select("doc", F.explode("keys").alias("k")).select(
+        "k.k1", "k.k2", F.shiftleft("doc", POS_BITS).bitwiseOR(F.col("k.pos").cast("long")).alias("line"))
+    first = written(every.groupBy("k1", "k2").agg(F.min("line").alias("line"), F.max("line").alias("last")), "lines")
+    similar = similar_lines(_lines(docs), first.drop("last"))
     # lines that occur more than once, or go altogether
-    marked = written(first.join(similar.withColumn("goes", F.lit(True)), ["k1", "k2"], "left")
-                     .where("goes or place <> last").select("k1", "k2", F.col("place").alias("kept"), "goes"),
+    marked = written(first.join(similar.withColumn("goes", F.lit(True)), "line", "left")
+                     .where("goes or line <> last").select("k1", "k2", F.col("line").alias("kept"), "goes"),
                      "marked-lines")
-    return (every.join(marked, ["k1", "k2"]).where("goes or place <> kept")
-            .groupBy(F.col("place.doc_id").alias("doc_id"), F.col("place.digest").alias("digest"))
-            .agg(F.array_sort(F.collect_set("place.pos")).alias("removed")))
+    gone = (every.join(marked, ["k1", "k2"]).where("goes or line <> kept")
+            .groupBy(F.shiftright("line", POS_BITS).alias("doc"))
+            .agg(F.array_sort(F.collect_set(F.col("line").bitwiseAND(F.lit((1 << POS_BITS) - 1)).cast("int"))).alias("removed")))
+    return gone.join(numbered.select("doc", "doc_id", "digest"), "doc").select("doc_id", "digest", "removed")
 
 
 def _same(a: Column, b: Column) -> Column:
